@@ -289,7 +289,7 @@ FROM dated GROUP BY born, mon""",
         ),
         "retention_matrix": query(
             [*first, active, sizes],
-            f"SELECT {name}, {step} AS month_number, {half_up('users', 'size', 4)} * 10000 / 100 AS retention_pct FROM active JOIN sizes USING (born)",
+            f"SELECT {name}, {step} AS month_number, {half_up('100 * users', 'size', 2)} AS retention_pct FROM active JOIN sizes USING (born)",
         ),
         "ltv_curve": query(
             [*first, earned, sizes],

@@ -83,7 +83,7 @@ class Ordered:
         """
         measures = list(sums.values())
         by_key = self._rows.groupBy(_PARTITION, F.col(key).alias("__key")).agg(
-            F.min(_SEAT).alias("at"), *[F.sum(m).alias(m) for m in measures]
+            F.min(_SEAT).alias("at"), *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures]
         )
         edge = F.struct(F.col("__key").alias("key"), *measures)
         summaries = (
@@ -107,7 +107,7 @@ class Ordered:
         window = Window.partitionBy(_PARTITION).orderBy(ordering)
         local = rows
         for measure in measures:
-            local = local.withColumn(f"__local_{measure}", F.sum(measure).over(window))
+            local = local.withColumn(f"__local_{measure}", F.coalesce(F.sum(measure).over(window), F.lit(0)))
         joined = local.join(F.broadcast(self._spark.createDataFrame(notes, layout)), _PARTITION)
         for name, m in sums.items():
             following = F.when(F.col(key) == F.col("__last"), F.col(f"__peers_{m}")).otherwise(F.lit(0))
@@ -118,15 +118,18 @@ class Ordered:
     @staticmethod
     def _edge_notes(stretches: Sequence[Row], measures: Sequence[str]) -> list[tuple]:
         """Per partition: its last key, the sums ahead of it, and what peers of that key follow it."""
-        peers = [dict.fromkeys(measures, 0)]
+        if not stretches:
+            return []
+        nothing = {m: stretches[0]["all"][m] * 0 for m in measures}  # zero of the column's own type
+        peers = [nothing]
         for here, following in reversed(list(zip(stretches, stretches[1:]))):
-            found = dict.fromkeys(measures, 0)
+            found = nothing
             if here["tail"]["key"] == following["head"]["key"]:
                 single_key = following["head"]["key"] == following["tail"]["key"]
-                found = {m: following["head"][m] + (peers[-1][m] if single_key else 0) for m in measures}
+                found = {m: following["head"][m] + (peers[-1][m] if single_key else nothing[m]) for m in measures}
             peers.append(found)
         peers.reverse()
-        before = dict.fromkeys(measures, 0)
+        before = nothing
         notes = []
         for stretch, after in zip(stretches, peers):
             notes.append(
