@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,35 +98,30 @@ def train(
 ) -> ChurnModel:
     """Fits on the training rows of a stratified split. `exclude=()` keeps the leaking input.
 
-    The folds are cross-validated side by side; the final fit on all training rows is part of it.
+    The cross-validation folds and the final fit do not depend on each other, so their jobs are
+    submitted side by side and share the cluster.
     """
     ensure_checkpoint_dir(features.sparkSession)
     columns = numeric_columns(features, exclude)
     split = settle(_model_input(stratified_split(features), columns))
-    training, test = split.filter(~F.col("is_test")), split.filter("is_test")
-    training = training.persist()
+    training, test = split.filter(~F.col("is_test")).persist(), split.filter("is_test")
+    assembler = VectorAssembler(inputCols=columns, outputCol="assembled")
+    scaler = StandardScaler(inputCol="assembled", outputCol="scaled", withMean=True, withStd=True)
+    evaluator = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="probability", numBins=0)
+
+    def fit(rows: DataFrame) -> PipelineModel:
+        return Pipeline(stages=[assembler, scaler, _estimator(kind, rows.count())]).fit(rows)
+
+    def area_of(fold: int) -> float:
+        held_out = F.col("fold") == fold
+        return evaluator.evaluate(fit(training.filter(~held_out)).transform(training.filter(held_out)))
+
     try:
-        rows = training.count()
-        pipeline = Pipeline(
-            stages=[
-                VectorAssembler(inputCols=columns, outputCol="assembled"),
-                StandardScaler(inputCol="assembled", outputCol="scaled", withMean=True, withStd=True),
-                _estimator(kind, rows),
-            ]
-        )
-        if not cross_validate:
-            return ChurnModel(kind, tuple(columns), pipeline.fit(training), test, None)
-        area = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="probability", numBins=0)
-        fitted = CrossValidator(
-            estimator=pipeline,
-            estimatorParamMaps=ParamGridBuilder().build(),
-            evaluator=area,
-            numFolds=FOLDS,
-            foldCol="fold",
-            parallelism=FOLDS,
-            collectSubModels=False,
-        ).fit(training)
-        spread = (float(np.mean(fitted.avgMetrics)), float(fitted.stdMetrics[0]))
-        return ChurnModel(kind, tuple(columns), fitted.bestModel, test, spread)
+        with ThreadPool(FOLDS + 1) as pool:
+            final = pool.apply_async(inheritable_thread_target(fit), [training])
+            areas = pool.map(inheritable_thread_target(area_of), range(FOLDS)) if cross_validate else []
+            pipeline = final.get()
     finally:
         training.unpersist()
+    spread = (float(np.mean(areas)), float(np.std(areas))) if areas else None
+    return ChurnModel(kind, tuple(columns), pipeline, test, spread)

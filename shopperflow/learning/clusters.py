@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -35,7 +36,7 @@ def _best_of_restarts(vectors: DataFrame, k: int, restarts: int) -> KMeansModel:
         ).fit(vectors)
 
     with ThreadPool(min(CONCURRENT_FITS, restarts)) as pool:
-        models = pool.map(fit, [SEED + n for n in range(restarts)])
+        models = pool.map(inheritable_thread_target(fit), [SEED + n for n in range(restarts)])
     return min(models, key=lambda model: model.summary.trainingCost)
 
 
