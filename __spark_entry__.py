@@ -48,7 +48,7 @@ def _query(report: Callable[[StarSchema], DataFrame]) -> Query:
 
 
 def _people(s: StarSchema) -> DataFrame:
-    return weekly.with_tenure(s.customers(), SNAPSHOT)
+    return weekly.with_tenure(s.customers(with_country=True), SNAPSHOT)
 
 
 def _clean(s: StarSchema) -> DataFrame:
@@ -69,7 +69,7 @@ def _duplicates(s: StarSchema) -> DataFrame:
 
 
 def _features(s: StarSchema) -> DataFrame:
-    return features.churn_features(s.customers(), s.transactions(with_category=True), s.sessions(), SNAPSHOT)
+    return features.churn_features(s.customers(with_country=True), s.transactions(with_category=True), s.sessions(), SNAPSHOT)
 
 
 def _split(s: StarSchema) -> DataFrame:

@@ -16,12 +16,12 @@ Moment = dt.date | dt.datetime | str | None
 
 
 def as_of(snapshot: Moment) -> Column:
-    """The day a report looks back from; today unless pinned."""
+    """The moment a report looks back from; now unless pinned."""
     if snapshot is None:
-        return F.current_date()
-    if isinstance(snapshot, str):
-        snapshot = dt.datetime.fromisoformat(snapshot)
-    return F.lit(snapshot)
+        return F.current_timestamp()
+    if isinstance(snapshot, dt.date) and not isinstance(snapshot, dt.datetime):
+        return F.lit(snapshot)
+    return F.lit(str(snapshot)).cast("timestamp_ntz")
 
 
 def calendar_days_since(column: Column, snapshot: Moment) -> Column:
@@ -29,16 +29,20 @@ def calendar_days_since(column: Column, snapshot: Moment) -> Column:
     return F.datediff(as_of(snapshot).cast("date"), column.cast("date"))
 
 
+def _time_of_day(moment: Column) -> Column:
+    return F.date_format(moment.cast("timestamp_ntz"), "HHmmssSSSSSS")
+
+
 def elapsed_days_since(column: Column, kind: T.DataType, snapshot: Moment) -> Column:
-    """Whole days of elapsed time, rounded down (12 hours ahead of the snapshot is -1).
+    """Whole days of elapsed time, rounded down (12 hours after the snapshot is -1).
 
-    For a date column and a midnight snapshot this is the calendar difference.
+    One day less than the calendar difference when the snapshot has not yet reached the column's
+    time of day; a date column counts from midnight, so there the two agree.
     """
-    clock = isinstance(snapshot, dt.datetime) or isinstance(snapshot, str)
-    if isinstance(kind, T.DateType) and not clock:
-        return calendar_days_since(column, snapshot)
-    seconds = F.unix_micros(as_of(snapshot).cast("timestamp")) - F.unix_micros(column.cast("timestamp"))
-    return F.floor(seconds / F.lit(86_400_000_000.0)).cast("int")
+    days = calendar_days_since(column, snapshot)
+    if isinstance(kind, T.DateType):
+        return days
+    return days - F.when(_time_of_day(column) > _time_of_day(as_of(snapshot)), 1).otherwise(0)
 
 
 def month_index(column: Column) -> Column:

@@ -47,7 +47,7 @@ def weekly_report(
     summary = weekly.weekly_summary(orders, week)
     categories = weekly.category_breakdown(orders)
     segments = weekly.segment_weekly_kpis(orders)
-    churn = weekly.churn_risk_summary(people, history, today)
+    churn = weekly.churn_risk_summary(people, weekly.positive_amounts(history), today)
 
     sinks.write_json(summary, f"{out}/summary_week{week:02d}.json")
     sinks.write_csv(categories, f"{out}/category_breakdown_week{week:02d}.csv")

@@ -28,7 +28,7 @@ def ranking_scores(predictions: DataFrame, label: str, score: str) -> tuple[floa
         F.sum(actual).alias("pos"), F.sum(1 - actual).alias("neg")
     )
     ordered = Ordered(by_score, F.col("score").desc())
-    curve = ordered.running_sums(ordered.first(ordered.total), "score", {"tp": "pos", "fp": "neg"}, descending=True)
+    curve = ordered.running_sums(ordered.rows, "score", {"tp": "pos", "fp": "neg"}, descending=True)
     above = F.col("tp") - F.col("pos")
     sums = curve.agg(
         F.sum("pos").alias("p"),

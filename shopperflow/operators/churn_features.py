@@ -106,7 +106,7 @@ def stratified_split(
     ordered = Ordered(hashed, label, "__hash", key)
     first = 0
     start, test = F.lit(None), F.lit(None)
-    for row in sorted(ordered.first(ordered.total).groupBy(label).count().collect(), key=lambda row: row[label]):
+    for row in sorted(ordered.rows.groupBy(label).count().collect(), key=lambda row: row[label]):
         in_class = F.col(label) == F.lit(row[label])
         start = F.when(in_class, F.lit(first)).otherwise(start)
         test = F.when(in_class, F.lit((2 * row["count"] * test_percent + 100) // 200)).otherwise(test)

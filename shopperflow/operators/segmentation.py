@@ -98,18 +98,20 @@ def pareto_customers(
         .join(customers.select("customer_id", "segment"), "customer_id")
     )
     ordered = Ordered(settle(revenue), F.col("revenue").desc(), F.col("customer_id").asc())
-    wanted = int(ordered.total * Fraction(top_fraction)) if top_n is None else top_n
-    # Every peer of the last ranked customer counts towards its cumulative value, so the sums
-    # run over all rows and the cut comes after.
-    summed = ordered.running_sums(ordered.first(ordered.total), "revenue", {"cumulative": "revenue"}, descending=True)
-    total = ordered.first(ordered.total).agg(F.sum("revenue")).first()[0]
+    wanted = min(int(ordered.total * Fraction(top_fraction)) if top_n is None else top_n, ordered.total)
+    # Peers of the last ranked customer count towards its cumulative value, so they stay in until
+    # the ranks are known.
+    last = ordered.rows_at([wanted - 1])[wanted - 1]["revenue"] if wanted > 0 else None
+    leading = ordered.rows.filter(F.col("revenue") >= F.lit(last))
+    summed = ordered.running_sums(leading, "revenue", {"cumulative": "revenue"}, descending=True)
+    total = F.lit(ordered.rows.agg(F.sum("revenue")).first()[0])
     return (
         ordered.numbered("rank_num", summed)
         .filter(F.col("rank_num") <= wanted)
         .select(
             "customer_id", "segment", "revenue", "rank_num",
-            ratio(F.col("revenue") * 100, F.lit(total), 3).alias("pct_of_total"),
-            ratio(F.col("cumulative") * 100, F.lit(total), 2).alias("cumulative_pct"),
+            ratio(F.col("revenue") * 100, total, 3).alias("pct_of_total"),
+            ratio(F.col("cumulative") * 100, total, 2).alias("cumulative_pct"),
         )
         .orderBy("rank_num")
     )

@@ -55,16 +55,20 @@ def one_per_key(df: DataFrame, key: str, preference: Sequence[str] | None = None
     return df.withColumn("__copy", F.row_number().over(copies)).filter("__copy = 1").drop("__copy")
 
 
-def clean_transactions(df: DataFrame, preference: Sequence[str] | None = None) -> DataFrame:
-    """One row per id, positive amounts only, calendar columns added."""
-    require_columns(df, TRANSACTION_CONTRACT, "transactions")
-    single = one_per_key(df, "transaction_id", preference)
+def positive_amounts(df: DataFrame) -> DataFrame:
     amount = F.col("total_amount")
     positive = amount > 0
     if dict(df.dtypes)["total_amount"] in ("double", "float"):
         positive = positive & ~F.isnan(amount)  # Spark ranks NaN above every number
+    return df.filter(positive)
+
+
+def clean_transactions(df: DataFrame, preference: Sequence[str] | None = None) -> DataFrame:
+    """One row per id, positive amounts only, calendar columns added."""
+    require_columns(df, TRANSACTION_CONTRACT, "transactions")
+    single = one_per_key(df, "transaction_id", preference)
     day = F.col("order_date")
-    return single.filter(positive).withColumns(
+    return positive_amounts(single).withColumns(
         {
             "week": F.weekofyear(day),
             "month": F.date_format(day, "yyyy-MM"),

@@ -56,11 +56,10 @@ class Ordered:
         found = self._rows.filter(F.col(_SEAT).isin(list(wanted))).collect()
         return {wanted[row[_SEAT]]: row for row in found}
 
-    def first(self, n: int) -> DataFrame:
-        """The leading n rows, still distributed."""
-        if n >= self.total:
-            return self._rows
-        return self._rows.filter(F.col(_SEAT) < self._seat_at(n))
+    @property
+    def rows(self) -> DataFrame:
+        """All rows, still distributed, with the layout's own columns."""
+        return self._rows
 
     def numbered(self, name: str, rows: DataFrame | None = None) -> DataFrame:
         """Adds the 1-based position; `rows` may be a subset obtained from this object."""
@@ -80,6 +79,7 @@ class Ordered:
         """Adds running sums over the order of `key`; rows with equal keys share the value.
 
         `key` must lead the ordering this object was made with. `sums` maps new names to columns.
+        `rows` is what gets the new columns: all rows, or a subset that keeps a leading stretch of keys whole.
         """
         measures = list(sums.values())
         by_key = self._rows.groupBy(_PARTITION, F.col(key).alias("__key")).agg(

@@ -2,7 +2,8 @@
 
 Each order line is a transaction. Lines are reduced to one per (order, line number) before the
 joins, on the line table alone; the joins to orders and parts are outer joins on their primary
-keys, so the part join is simply left out when no caller needs the category.
+keys, so the part join is simply left out when no caller needs the category (and the nation join
+when none needs the country).
 """
 
 from __future__ import annotations
@@ -68,20 +69,22 @@ class StarSchema:
         """One row per transaction_id."""
         return self._as_transactions(self.single_lines(), with_category)
 
-    def customers(self) -> DataFrame:
+    def customers(self, with_country: bool = False) -> DataFrame:
         key = F.col("c_custkey")
-        nation = self._table("nation").select("n_nationkey", F.col("n_name").alias("country"))
-        return self._table("customer").join(
-            nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"
-        ).select(
+        people = self._table("customer")
+        columns = [
             key.alias("customer_id"),
-            "country",
             F.date_add(F.lit("1994-01-01").cast("date"), (key % 2400).cast("int")).alias("signup_date"),
             (18 + key % 52).cast("int").alias("age"),
             ladder([(key % 3 == 0, "Male"), (key % 3 == 1, "Female")], "Other").alias("gender"),
             ladder([(F.col("c_mktsegment") == k, v) for k, v in SEGMENTS.items()], "Churned").alias("segment"),
             F.col("c_acctbal").cast("decimal(18,2)").alias("lifetime_value"),
-        )
+        ]
+        if with_country:
+            nation = self._table("nation").select("n_nationkey", F.col("n_name").alias("country"))
+            people = people.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            columns.append(F.col("country"))
+        return people.select(*columns)
 
     def sessions(self) -> DataFrame:
         key = F.col("event_id")
