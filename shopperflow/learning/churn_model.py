@@ -116,10 +116,11 @@ def train(
         held_out = F.col("fold") == fold
         return evaluator.evaluate(fit(training.filter(~held_out)).transform(training.filter(held_out)))
 
+    carry = inheritable_thread_target(features.sparkSession)
     try:
         with ThreadPool(FOLDS + 1) as pool:
-            final = pool.apply_async(inheritable_thread_target(fit), [training])
-            areas = pool.map(inheritable_thread_target(area_of), range(FOLDS)) if cross_validate else []
+            final = pool.apply_async(carry(fit), [training])
+            areas = pool.map(carry(area_of), range(FOLDS)) if cross_validate else []
             pipeline = final.get()
     finally:
         training.unpersist()

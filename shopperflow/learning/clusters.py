@@ -36,7 +36,7 @@ def _best_of_restarts(vectors: DataFrame, k: int, restarts: int) -> KMeansModel:
         ).fit(vectors)
 
     with ThreadPool(min(CONCURRENT_FITS, restarts)) as pool:
-        models = pool.map(inheritable_thread_target(fit), [SEED + n for n in range(restarts)])
+        models = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), [SEED + n for n in range(restarts)])
     return min(models, key=lambda model: model.summary.trainingCost)
 
 
