@@ -126,7 +126,7 @@ _REPORTS: dict[str, Callable[[StarSchema], DataFrame]] = {
     "etl_enriched": _enriched,
     "weekly_summary": lambda s: weekly.weekly_summary(_clean(s), duckdb_sql.WEEK),
     "category_breakdown": lambda s: weekly.category_breakdown(_clean(s)),
-    "segment_weekly_kpis": lambda s: weekly.segment_weekly_kpis(_enriched(s)),
+    "segment_weekly_kpis": lambda s: weekly.segment_weekly_kpis(_clean(s), s.customers()),
     "churn_risk_summary": lambda s: weekly.churn_risk_summary(s.customers(), s.transactions(), SNAPSHOT),
     "null_profile": lambda s: weekly.null_profile(s.raw_transactions(), TRANSACTION_CONTRACT),
     "duplicates_removed": _duplicates,

@@ -22,6 +22,9 @@ HISTOGRAM_BINS = 30
 HISTOGRAM_CEILING = 30
 SCATTER_ROWS = 300
 
+# Groups one customer's orders are spread over; also the most rows of a customer in the second round.
+SPREAD = 1024
+
 
 def _of_total(count: str) -> Column:
     """Percent of the sum over all rows; only for results of a handful of rows."""
@@ -183,17 +186,24 @@ def device_split(sessions: DataFrame) -> DataFrame:
 def first_purchase_flag(transactions: DataFrame) -> DataFrame:
     """transaction_id, customer_id, is_first_purchase: the earliest order (then lowest id) of each customer.
 
-    The first order is found by an aggregation that reduces before the shuffle, then matched back by
-    transaction_id: a customer with very many orders is never gathered in one task.
+    Two rounds, without a join: the orders of a customer are first spread over many groups and each
+    group names its earliest order; the overall first is the earliest of those. A customer with very
+    many orders is thus never gathered in one task. Give it cleaned transactions (one row per id).
     """
-    order = Window.partitionBy("customer_id").orderBy("order_date", "transaction_id")
-    firsts = (
-        known(transactions)
-        .select("customer_id", "transaction_id", "order_date")
-        .withColumn("__rank", F.row_number().over(order))
-        .filter("__rank = 1")
-        .select("transaction_id", "customer_id", F.lit(True).alias("first"))
-    )
-    return transactions.join(firsts, ["transaction_id", "customer_id"], "left").select(
-        "transaction_id", "customer_id", F.coalesce("first", F.lit(False)).alias("is_first_purchase")
+    earliest = ["order_date", "transaction_id"]
+    group = F.pmod(F.xxhash64("transaction_id"), F.lit(SPREAD))
+    in_group = F.row_number().over(Window.partitionBy("customer_id", "__group").orderBy(*earliest))
+    # Orders that cannot be first stay in their group; only the groups' earliest come together.
+    among_leaders = F.row_number().over(Window.partitionBy("customer_id", "__round").orderBy(*earliest))
+    leads = F.col("__in_group") == 1
+    return (
+        transactions.select("transaction_id", "customer_id", "order_date", group.alias("__group"))
+        .withColumn("__in_group", in_group)
+        .withColumn("__round", F.when(leads, -1).otherwise(F.col("__group")))
+        .withColumn("__rank", among_leaders)
+        .select(
+            "transaction_id",
+            "customer_id",
+            (F.col("customer_id").isNotNull() & leads & (F.col("__rank") == 1)).alias("is_first_purchase"),
+        )
     )

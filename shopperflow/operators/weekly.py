@@ -128,10 +128,18 @@ def category_breakdown(transactions: DataFrame) -> DataFrame:
     )
 
 
-def segment_weekly_kpis(transactions: DataFrame) -> DataFrame:
-    """Revenue and customers per week and segment; needs enriched transactions."""
+def segment_weekly_kpis(transactions: DataFrame, customers: DataFrame | None = None) -> DataFrame:
+    """Revenue and customers per week and segment.
+
+    Takes enriched transactions, or plain ones and the customers: then each customer's week is summed
+    before the join, so the orders themselves are not shuffled for it.
+    """
+    done = known(completed(transactions), "week")
+    if customers is not None:
+        weeks = known(done).groupBy("week", "customer_id").agg(F.sum("total_amount").alias("total_amount"))
+        done = weeks.join(customers.select("customer_id", "segment"), "customer_id")
     return (
-        known(known(completed(transactions), "segment"), "week")
+        known(done, "segment")
         .groupBy("week", "segment")
         .agg(F.sum("total_amount").alias("revenue"), F.count_distinct("customer_id").alias("customers"))
         .orderBy("week", "segment")

@@ -83,6 +83,17 @@ def test_weekly_summary(orders):
     assert (row[0], float(row[1]), row[2], row[3], row[4]) == (30, 0.0, 0, 0, 0.0)
 
 
+def test_segment_kpis_from_either_form(orders, people):
+    made = weekly.clean_transactions(orders(
+        ("t1", "a", "2024-01-01", 1, "Completed"), ("t2", "a", "2024-01-02", 2, "Completed"), ("t3", "b", "2024-01-02", 4, "Completed"),
+        ("t4", "zz", "2024-01-02", 8, "Completed"), ("t5", "a", "2024-01-09", 16, "Completed"), ("t6", None, "2024-01-02", 32, "Completed"),
+    ))
+    known = weekly.with_tenure(people(("a", "R", "2023-01-01", 1), ("b", "R", "2023-01-01", 1)), "2024-01-31")
+    found = [(r[0], r[1], float(r[2]), r[3]) for r in rows(weekly.segment_weekly_kpis(made, known))]
+    assert found == [(1, "R", 7.0, 2), (2, "R", 16.0, 1)]
+    assert rows(weekly.segment_weekly_kpis(weekly.enriched(made, known))) == rows(weekly.segment_weekly_kpis(made, known))
+
+
 def test_churn_risk_counts_every_band(orders, people):
     made = orders(
         ("t1", "a", "2024-01-31", 1, "Completed"), ("t2", "b", "2024-01-30", 1, "Completed"), ("t3", "c", "2023-12-31", 1, "Completed"), ("t4", "d", "2023-01-01", 1, "Completed")
