@@ -23,10 +23,13 @@ from shopperflow.operators import (  # noqa: E402
     segmentation,
     weekly,
 )
+from shopperflow.plans.durable import settle, shared_folder  # noqa: E402
 from shopperflow.schemas import TRANSACTION_CONTRACT  # noqa: E402
+from shopperflow.sources import sinks, tables  # noqa: E402
 from shopperflow.sources.star_schema import StarSchema  # noqa: E402
 
 SNAPSHOT = dt.date(2001, 8, 2)
+WINDOW = (dt.date(2000, 1, 15), dt.date(2000, 3, 20))
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -68,6 +71,35 @@ def _duplicates(s: StarSchema) -> DataFrame:
     )
 
 
+def _window_scan(s: StarSchema) -> DataFrame:
+    return tables.within(s.transactions(), "order_date", *WINDOW)
+
+
+def _landed_window(s: StarSchema) -> DataFrame:
+    """Lands the transactions by month, then reads the window back."""
+    folder = shared_folder(s.spark, "landed")
+    tables.land_table(s.transactions(), folder, "transactions")
+    return tables.landed(s.spark, folder, "transactions", *WINDOW)
+
+
+def _customers_from_csv(s: StarSchema) -> DataFrame:
+    """Writes the customers as CSV and reads them back with the declared types."""
+    folder = shared_folder(s.spark, "delivered")
+    s.customers(with_country=True).write.option("header", True).csv(f"{folder}/customers.csv")
+    return tables.read_customers(s.spark, folder)
+
+
+def _report_lines(s: StarSchema) -> DataFrame:
+    clean = settle(_clean(s))
+    return sinks.weekly_markdown(
+        weekly.weekly_summary(clean, duckdb_sql.WEEK),
+        weekly.category_breakdown(clean),
+        weekly.churn_risk_summary(s.customers(), clean, SNAPSHOT),
+        duckdb_sql.WEEK,
+        f"{SNAPSHOT} 06:00",
+    )
+
+
 def _features(s: StarSchema) -> DataFrame:
     return features.churn_features(s.customers(with_country=True), s.transactions(with_category=True), s.sessions(), SNAPSHOT)
 
@@ -113,14 +145,21 @@ _REPORTS: dict[str, Callable[[StarSchema], DataFrame]] = {
     "rfm_scaled": lambda s: segmentation.rfm_scaled(s.transactions(), SNAPSHOT),
     "kmeans_clusters": lambda s: clusters.cluster_labels(segmentation.rfm_base(s.transactions(), SNAPSHOT)),
     "kmeans_optimal_k": lambda s: clusters.optimal_k(segmentation.rfm_base(s.transactions(), SNAPSHOT)),
+    "retention_matrix_wide": lambda s: cohorts.widened(cohorts.retention_matrix(s.transactions()), list(range(12))),
     "retention_matrix": lambda s: cohorts.retention_matrix(s.transactions()),
     "ltv_curve": lambda s: cohorts.ltv_curve(s.transactions()),
     "churn_features": _features,
     "churn_split": _split,
     "churn_model_metrics": lambda s: _model("gbm", cross_validate=True)(s).metrics(),
+    "churn_model_metrics_rf": lambda s: _model("rf", cross_validate=True)(s).metrics(),
+    "churn_model_metrics_lr": lambda s: _model("lr", cross_validate=True)(s).metrics(),
     "binary_eval_metrics": _graded,
     "churn_proba": lambda s: _model("gbm")(s).probabilities(_features(s)),
     "churn_feature_importance": lambda s: _model("gbm")(s).importance(),
+    "window_scan": _window_scan,
+    "landed_window": _landed_window,
+    "customers_from_csv": _customers_from_csv,
+    "weekly_report_lines": _report_lines,
     "etl_clean_transactions": _clean,
     "etl_customers": _people,
     "etl_enriched": _enriched,

@@ -291,6 +291,12 @@ FROM dated GROUP BY born, mon""",
             [*first, active, sizes],
             f"SELECT {name}, {step} AS month_number, {half_up('100 * users', 'size', 2)} AS retention_pct FROM active JOIN sizes USING (born)",
         ),
+        "retention_matrix_wide": query(
+            [*first, active, sizes],
+            f"SELECT {name}, " + ", ".join(
+                f"MAX({half_up('100 * users', 'size', 2)}) FILTER (WHERE step = {m}) AS \"{m}\"" for m in range(12)
+            ) + " FROM active JOIN sizes USING (born) GROUP BY born",
+        ),
         "ltv_curve": query(
             [*first, earned, sizes],
             f"""SELECT {name}, {step} AS month_number, {money(running)} / CAST(size AS DOUBLE) AS cumulative_avg_revenue
@@ -325,6 +331,54 @@ TENURE = f"""people AS (
   FROM (SELECT *, {days_since('signup_date')} AS days FROM customers))"""
 
 
+def thousands(number: str, places: int) -> str:
+    return f"format('{{:,.{places}f}}', CAST({number} AS DOUBLE))"
+
+
+def report_lines() -> str:
+    fixed = [
+        f"# Weekly Behavioral Report — Week {WEEK}", "*Generated: 2001-08-02 06:00*", "", "## 📊 Key Metrics", "| Metric | Value |", "|---|---|",
+        "", "## 🛒 Category Breakdown", "| category | revenue | orders |", "|---|---|---|", "", "## 👥 Customer Churn Risk",
+        "| churn_risk | count |", "|---|---|", "",
+    ]
+    texts = ", ".join(f"('{line}')" for line in fixed)
+    figures = {
+        "Total Revenue": "'₹' || " + thousands("SUM(total_amount)", 2),
+        "Total Orders": thousands("COUNT(*)", 0),
+        "Unique Customers": thousands("COUNT(DISTINCT customer_id)", 0),
+        "Avg Order Value": "'₹' || " + thousands(money_mean("total_amount"), 2),
+    }
+    parts = [f"SELECT value FROM (VALUES {texts}) AS t(value)"]
+    parts += [f"SELECT '| {name} | ' || {value} || ' |' FROM sold WHERE week = {WEEK}" for name, value in figures.items()]
+    parts.append("SELECT '| ' || category || ' | ' || CAST(SUM(total_amount) AS VARCHAR) || ' | ' || COUNT(*) || ' |' FROM sold GROUP BY category")
+    parts.append(
+        f"""SELECT '| ' || label || ' | ' || COUNT(customer_id) || ' |' FROM {in_given_order(['Active', 'Cooling', 'At Risk', 'Churned'])}
+LEFT JOIN (customers JOIN idle USING (customer_id))
+  ON place = CASE WHEN days <= 0 THEN -1 WHEN days <= 30 THEN 0 WHEN days <= 60 THEN 1 WHEN days <= 90 THEN 2 ELSE 3 END GROUP BY label"""
+    )
+    sold = "sold AS (SELECT * FROM cleaned WHERE status = 'Completed')"
+    idle = f"idle AS (SELECT customer_id, {days_since('MAX(order_date)')} AS days FROM sold GROUP BY customer_id)"
+    return query([RAW, CLEAN, CUSTOMERS, sold, idle], "\nUNION ALL ".join(parts))
+
+
+def sources() -> dict[str, str]:
+    window = query(
+        [TRANSACTIONS],
+        """SELECT transaction_id, customer_id, CAST(order_date AS VARCHAR) AS order_date, quantity, CAST(discount_pct AS DOUBLE) AS discount_pct,
+  CAST(total_amount AS DOUBLE) AS total_amount, status FROM transactions WHERE order_date BETWEEN DATE '2000-01-15' AND DATE '2000-03-20'""",
+    )
+    return {
+        "window_scan": window,
+        "landed_window": window,
+        "customers_from_csv": query(
+            [CUSTOMERS],
+            """SELECT CAST(customer_id AS VARCHAR) AS customer_id, CAST(signup_date AS VARCHAR) AS signup_date, age, gender, segment,
+  CAST(lifetime_value AS DOUBLE) AS lifetime_value, country FROM customers""",
+        ),
+        "weekly_report_lines": report_lines(),
+    }
+
+
 def weekly() -> dict[str, str]:
     cleaned = [RAW, CLEAN]
     weeks = f"SELECT * FROM cleaned WHERE week = {WEEK} AND status = 'Completed'"
@@ -518,4 +572,4 @@ FROM bought JOIN undone USING (customer_id) LEFT JOIN customers USING (customer_
 
 
 def all_queries() -> dict[str, str]:
-    return {**churn_reports(), **segmentation(), **cohorts(), **weekly(), **dashboards(), **churn_model()}
+    return {**churn_reports(), **segmentation(), **cohorts(), **sources(), **weekly(), **dashboards(), **churn_model()}

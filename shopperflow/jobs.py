@@ -14,6 +14,7 @@ from .functions.calendar import Moment
 from .learning import churn_model
 from .operators import cohorts, dashboards, segmentation, weekly
 from .operators.churn_features import churn_features
+from .operators.common import completed
 from .plans.durable import settle
 from .schemas import CUSTOMER_CONTRACT, TRANSACTION_CONTRACT
 from .sources import sinks, tables
@@ -42,12 +43,13 @@ def weekly_report(
     weekly.warn_about_nulls(weekly.require_columns(recent, TRANSACTION_CONTRACT, "transactions"), TRANSACTION_CONTRACT, "transactions")
     weekly.warn_about_nulls(weekly.require_columns(customers, CUSTOMER_CONTRACT, "customers"), CUSTOMER_CONTRACT, "customers")
 
-    people = weekly.with_tenure(customers, today)
-    orders = settle(weekly.enriched(weekly.clean_transactions(recent), people))
+    # The three KPI reports share one pass; they need the completed orders and a few columns.
+    needed = ["transaction_id", "customer_id", "order_date", "week", "category", "total_amount", "status"]
+    orders = settle(completed(weekly.clean_transactions(recent)).select(*needed))
     summary = weekly.weekly_summary(orders, week)
     categories = weekly.category_breakdown(orders)
-    segments = weekly.segment_weekly_kpis(orders)
-    churn = weekly.churn_risk_summary(people, weekly.positive_amounts(history), today)
+    segments = weekly.segment_weekly_kpis(orders, customers)
+    churn = weekly.churn_risk_summary(customers, weekly.positive_amounts(history), today)
 
     sinks.write_json(summary, f"{out}/summary_week{week:02d}.json")
     sinks.write_csv(categories, f"{out}/category_breakdown_week{week:02d}.csv")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(named)
 
 
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder name below the checkpoint folder, for tables written between two jobs."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{purpose}-{uuid.uuid4().hex}"
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute `df` once into the checkpoint folder and carry on from those files."""
     ensure_checkpoint_dir(df.sparkSession)

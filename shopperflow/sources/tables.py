@@ -58,30 +58,29 @@ def read_sessions(spark: SparkSession, folder: str, start: Day = None, end: Day
     return within(sessions, "session_date", start, end)
 
 
-# table -> date column it is laid out by
-_DATED = {"transactions": "order_date", "sessions": "session_date"}
+# table -> date column it is laid out by, and id
+_DATED = {"transactions": ("order_date", "transaction_id"), "sessions": ("session_date", "session_id")}
 
 
-def land(spark: SparkSession, csv_folder: str, parquet_folder: str) -> None:
-    """Writes the CSV tables as Parquet, dated tables in one folder per month.
+def land_table(df: DataFrame, parquet_folder: str, table: str) -> None:
+    """Writes one table as Parquet, a dated one in a folder per month.
 
-    Rows are range-partitioned on the date and an id first: each task then writes few months, and a
-    busy month is still written by many tasks.
+    Dated rows are range-partitioned on the date and the id first: each task then writes few months,
+    and a busy month is still written by many tasks.
     """
-    read_customers(spark, csv_folder).write.mode("overwrite").parquet(f"{parquet_folder}/customers")
-    for table, reader, key in (
-        ("transactions", read_transactions, "transaction_id"),
-        ("sessions", read_sessions, "session_id"),
-    ):
-        day = _DATED[table]
-        (
-            reader(spark, csv_folder)
-            .withColumn("month_start", F.trunc(day, "MM"))
-            .repartitionByRange(day, key)
-            .write.mode("overwrite")
-            .partitionBy("month_start")
-            .parquet(f"{parquet_folder}/{table}")
-        )
+    path = f"{parquet_folder}/{table}"
+    if table not in _DATED:
+        df.write.mode("overwrite").parquet(path)
+        return
+    day, key = _DATED[table]
+    months = df.withColumn("month_start", F.trunc(day, "MM")).repartitionByRange(day, key)
+    months.write.mode("overwrite").partitionBy("month_start").parquet(path)
+
+
+def land(spark: SparkSession, csv_folder: str, parquet_folder: str) -> None:
+    """Lands all three CSV tables."""
+    for table, read in (("customers", read_customers), ("transactions", read_transactions), ("sessions", read_sessions)):
+        land_table(read(spark, csv_folder), parquet_folder, table)
 
 
 def landed(spark: SparkSession, parquet_folder: str, table: str, start: Day = None, end: Day = None) -> DataFrame:
@@ -93,7 +92,7 @@ def landed(spark: SparkSession, parquet_folder: str, table: str, start: Day = No
         df = df.filter(F.col("month_start") >= F.trunc(F.lit(start).cast("date"), "MM"))
     if end is not None:
         df = df.filter(F.col("month_start") <= F.lit(end).cast("date"))
-    return within(df, _DATED[table], start, end).drop("month_start")
+    return within(df, _DATED[table][0], start, end).drop("month_start")
 
 
 def register_views(customers: DataFrame, transactions: DataFrame, sessions: DataFrame | None = None) -> None:

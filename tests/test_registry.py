@@ -5,7 +5,10 @@ import pytest
 import __spark_entry__ as registry
 from checks.compare import difference
 
-FITTED = {"kmeans_clusters", "kmeans_optimal_k", "churn_model_metrics", "churn_proba", "churn_feature_importance"}
+FITTED = {
+    "kmeans_clusters", "kmeans_optimal_k", "churn_proba", "churn_feature_importance",
+    "churn_model_metrics", "churn_model_metrics_rf", "churn_model_metrics_lr",
+}
 
 
 def test_only_fitted_models_lack_a_counterpart():
