@@ -11,7 +11,7 @@ FITTED = set(registry.queries()) - set(registry.oracle_sql())
 # A handful of rows: totals of a result that has one row per segment, device, bucket or table.
 SMALL_TOTALS = {"segment_distribution", "device_split", "inactivity_buckets"}
 # One row per task reaches the last step of a table-wide aggregate.
-TABLE_WIDE = {"kpi_overview", "weekly_summary", "null_profile", "duplicates_removed"}
+TABLE_WIDE = {"weekly_report_lines", "kpi_overview", "weekly_summary", "null_profile", "duplicates_removed"}
 
 
 @pytest.fixture(scope="module")
