@@ -124,6 +124,11 @@ def _model(kind: str, cross_validate: bool = False) -> Callable[[StarSchema], ch
     return lambda s: churn_model.train(_features(s), kind, cross_validate)
 
 
+def _probabilities(s: StarSchema) -> DataFrame:
+    table = _features(s)
+    return churn_model.train(table, cross_validate=False).probabilities(table)
+
+
 _UNIQUE = {"unique_ids": True}  # transactions() holds one row per id
 
 _REPORTS: dict[str, Callable[[StarSchema], DataFrame]] = {
@@ -154,7 +159,7 @@ _REPORTS: dict[str, Callable[[StarSchema], DataFrame]] = {
     "churn_model_metrics_rf": lambda s: _model("rf", cross_validate=True)(s).metrics(),
     "churn_model_metrics_lr": lambda s: _model("lr", cross_validate=True)(s).metrics(),
     "binary_eval_metrics": _graded,
-    "churn_proba": lambda s: _model("gbm")(s).probabilities(_features(s)),
+    "churn_proba": _probabilities,
     "churn_feature_importance": lambda s: _model("gbm")(s).importance(),
     "window_scan": _window_scan,
     "landed_window": _landed_window,

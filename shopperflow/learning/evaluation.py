@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.durable import settle
 from ..plans.ordering import Ordered
 
 
@@ -75,7 +76,8 @@ def binary_metrics(predictions: DataFrame, label: str, score: str, threshold: fl
 
     A row is predicted positive when its score lies above the threshold.
     """
-    decided = predictions.withColumn("__said", (F.col(score) > threshold).cast("int"))
+    said = (F.col(score) > threshold).cast("int").alias("__said")
+    decided = settle(predictions.select(label, score, said))  # read by two jobs
     area, precision = ranking_scores(decided, label, score)
     rows = [("roc_auc", area, 4), ("avg_precision", precision, 4)]
     rows += [(name, value, 6) for name, value in report_rows(confusion_counts(decided, label, "__said"))]

@@ -115,7 +115,8 @@ def churn_signals(
             "cancellations", "days_since_last_order", "avg_session_duration", "bounce_rate",
             risk.alias("churn_risk_level"),
         )
-        .orderBy(idle.desc())
+        # The id lets a day shared by very many customers be sorted by more than one task.
+        .orderBy(idle.desc(), "customer_id")
     )
 
 

@@ -97,7 +97,7 @@ def pareto_customers(
         .agg(F.round(F.sum("total_amount"), 2).alias("revenue"))
         .join(customers.select("customer_id", "segment"), "customer_id")
     )
-    ordered = Ordered(settle(revenue), F.col("revenue").desc(), F.col("customer_id").asc())
+    ordered = Ordered(revenue, F.col("revenue").desc(), F.col("customer_id").asc())
     wanted = min(int(ordered.total * Fraction(top_fraction)) if top_n is None else top_n, ordered.total)
     # Peers of the last ranked customer count towards its cumulative value, so they stay in until
     # the ranks are known.

@@ -105,7 +105,8 @@ class Ordered:
         )
         ordering = F.col(key).desc() if descending else F.col(key).asc()
         window = Window.partitionBy(_PARTITION).orderBy(ordering)
-        local = rows
+        # One stretch per task; hashing the partition numbers would put several into some.
+        local = rows.repartitionById(self._partitions[-1][0] + 1, F.col(_PARTITION)) if stretches else rows
         for measure in measures:
             local = local.withColumn(f"__local_{measure}", F.coalesce(F.sum(measure).over(window), F.lit(0)))
         joined = local.join(F.broadcast(self._spark.createDataFrame(notes, layout)), _PARTITION)
