@@ -82,22 +82,14 @@ class Ordered:
         `rows` is what gets the new columns: all rows, or a subset that keeps a leading stretch of keys whole.
         """
         measures = list(sums.values())
-        by_key = self._rows.groupBy(_PARTITION, F.col(key).alias("__key")).agg(
-            F.min(_SEAT).alias("at"), *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures]
+        summaries = self._rows.groupBy(_PARTITION).agg(
+            F.min_by(key, _SEAT).alias("head"),
+            F.max_by(key, _SEAT).alias("tail"),
+            *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures],
         )
-        edge = F.struct(F.col("__key").alias("key"), *measures)
-        summaries = (
-            by_key.groupBy(_PARTITION)
-            .agg(
-                F.min_by(edge, "at").alias("head"),
-                F.max_by(edge, "at").alias("tail"),
-                F.struct(*[F.sum(m).alias(m) for m in measures]).alias("all"),
-            )
-            .orderBy(_PARTITION)
-        )
-        stretches = summaries.collect()  # one row per partition
-        sum_type = {field.name: field.dataType for field in summaries.schema["all"].dataType}
-        notes = self._edge_notes(stretches, measures)
+        stretches = sorted(summaries.collect(), key=lambda row: row[_PARTITION])  # one row per partition
+        notes = self._edge_notes(stretches, key, measures)
+        sum_type = {m: summaries.schema[m].dataType for m in measures}
         layout = T.StructType(
             [T.StructField(_PARTITION, T.IntegerType()), T.StructField("__last", rows.schema[key].dataType)]
             + [T.StructField(f"__before_{m}", sum_type[m]) for m in measures]
@@ -116,27 +108,32 @@ class Ordered:
         spare = [f"__{kind}_{m}" for kind in ("local", "before", "peers") for m in measures]
         return joined.drop("__last", *spare)
 
-    @staticmethod
-    def _edge_notes(stretches: Sequence[Row], measures: Sequence[str]) -> list[tuple]:
+    def _edge_notes(self, stretches: Sequence[Row], key: str, measures: Sequence[str]) -> list[tuple]:
         """Per partition: its last key, the sums ahead of it, and what peers of that key follow it."""
         if not stretches:
             return []
-        nothing = {m: stretches[0]["all"][m] * 0 for m in measures}  # zero of the column's own type
+        nothing = {m: stretches[0][m] * 0 for m in measures}  # zero of the column's own type
+        # Keys that go on in the next partition, and what each partition holds of them.
+        shared = {here["tail"] for here, after in zip(stretches, stretches[1:]) if here["tail"] == after["head"]}
+        held = {}
+        if shared:
+            parts = self._rows.filter(F.col(key).isin(list(shared))).groupBy(_PARTITION, F.col(key).alias("__key"))
+            found = parts.agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures]).collect()
+            held = {(row[_PARTITION], row["__key"]): row for row in found}
         peers = [nothing]
-        for here, following in reversed(list(zip(stretches, stretches[1:]))):
-            found = nothing
-            if here["tail"]["key"] == following["head"]["key"]:
-                single_key = following["head"]["key"] == following["tail"]["key"]
-                found = {m: following["head"][m] + (peers[-1][m] if single_key else nothing[m]) for m in measures}
-            peers.append(found)
+        for here, after in reversed(list(zip(stretches, stretches[1:]))):
+            following = nothing
+            if here["tail"] == after["head"]:
+                part = held[after[_PARTITION], after["head"]]
+                beyond = peers[-1] if after["head"] == after["tail"] else nothing
+                following = {m: part[m] + beyond[m] for m in measures}
+            peers.append(following)
         peers.reverse()
-        before = nothing
-        notes = []
+        before, notes = nothing, []
         for stretch, after in zip(stretches, peers):
-            notes.append(
-                (stretch[_PARTITION], stretch["tail"]["key"], *[before[m] for m in measures], *[after[m] for m in measures])
-            )
-            before = {m: before[m] + stretch["all"][m] for m in measures}
+            sums = [before[m] for m in measures] + [after[m] for m in measures]
+            notes.append((stretch[_PARTITION], stretch["tail"], *sums))
+            before = {m: before[m] + stretch[m] for m in measures}
         return notes
 
     @staticmethod

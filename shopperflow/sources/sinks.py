@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The weekly report's headings, metric names and column heads.
+REPORT_TITLE = "# Weekly Behavioral Report — Week {week}"
+REPORT_STAMP = "*Generated: {generated}*"
+METRICS_HEADING, METRICS_COLUMNS = "## 📊 Key Metrics", ("Metric", "Value")
+METRIC_NAMES = ("Total Revenue", "Total Orders", "Unique Customers", "Avg Order Value")
+CATEGORY_HEADING, CATEGORY_COLUMNS = "## 🛒 Category Breakdown", ("category", "revenue", "orders")
+CHURN_HEADING, CHURN_COLUMNS = "## 👥 Customer Churn Risk", ("churn_risk", "count")
+CURRENCY = "₹"
+
 
 def write_json(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").json(path)
@@ -18,44 +28,47 @@ def write_csv(report: DataFrame, path: str) -> None:
 
 
 def _amount(column: str) -> Column:
-    return F.concat(F.lit("₹"), F.format_number(F.col(column).cast("decimal(28,2)"), 2))
+    return F.concat(F.lit(CURRENCY), F.format_number(F.col(column).cast("decimal(28,2)"), 2))
+
 
+def _row(cells: list[Column]) -> Column:
+    return F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
 
-def _table(df: DataFrame, columns: list[str], section: int) -> DataFrame:
+
+def _table(df: DataFrame, columns: Sequence[str], section: int) -> DataFrame:
     """Markdown lines of a small table, numbered in its own order."""
-    cells = F.concat(F.lit("| "), F.concat_ws(" | ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), F.lit(" |"))
-    return df.select(F.lit(section).alias("section"), F.monotonically_increasing_id().alias("line"), cells.alias("value"))
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    return df.select(F.lit(section).alias("section"), F.monotonically_increasing_id().alias("line"), _row(cells).alias("value"))
 
 
 def weekly_markdown(summary: DataFrame, categories: DataFrame, churn: DataFrame, week: int, generated: str) -> DataFrame:
     """The lines of the weekly report in column `value`, in reading order."""
-    spark = summary.sparkSession
 
     def lines(section: int, *texts: str) -> DataFrame:
         rows = [(section, number, text) for number, text in enumerate(texts)]
-        return spark.createDataFrame(rows, "section int, line bigint, value string")
+        return summary.sparkSession.createDataFrame(rows, "section int, line bigint, value string")
 
-    def header(*names: str) -> tuple[str, str]:
+    def header(names: Sequence[str]) -> tuple[str, str]:
         return "| " + " | ".join(names) + " |", "|" + "|".join("---" for _ in names) + "|"
 
-    metrics = {
-        "Total Revenue": _amount("revenue"),
-        "Total Orders": F.format_number(F.col("orders"), 0),
-        "Unique Customers": F.format_number(F.col("unique_customers"), 0),
-        "Avg Order Value": _amount("avg_order_value"),
-    }
-    pairs = [F.concat(F.lit(f"| {name} | "), value, F.lit(" |")) for name, value in metrics.items()]
-    figures = summary.select(F.posexplode(F.array(*pairs)).alias("line", "value")).select(
+    values = (
+        _amount("revenue"),
+        F.format_number(F.col("orders"), 0),
+        F.format_number(F.col("unique_customers"), 0),
+        _amount("avg_order_value"),
+    )
+    pairs = F.array(*[_row([F.lit(name), value]) for name, value in zip(METRIC_NAMES, values)])
+    figures = summary.select(F.posexplode(pairs).alias("line", "value")).select(
         F.lit(2).alias("section"), F.col("line").cast("bigint"), "value"
     )
-    title = f"# Weekly Behavioral Report — Week {week}"
+    title, stamp = REPORT_TITLE.format(week=week), REPORT_STAMP.format(generated=generated)
     parts = [
-        lines(1, title, f"*Generated: {generated}*", "", "## 📊 Key Metrics", *header("Metric", "Value")),
+        lines(1, title, stamp, "", METRICS_HEADING, *header(METRICS_COLUMNS)),
         figures,
-        lines(3, "", "## 🛒 Category Breakdown", *header("category", "revenue", "orders")),
-        _table(categories, ["category", "revenue", "orders"], 4),
-        lines(5, "", "## 👥 Customer Churn Risk", *header("churn_risk", "count")),
-        _table(churn, ["churn_risk", "count"], 6),
+        lines(3, "", CATEGORY_HEADING, *header(CATEGORY_COLUMNS)),
+        _table(categories, CATEGORY_COLUMNS, 4),
+        lines(5, "", CHURN_HEADING, *header(CHURN_COLUMNS)),
+        _table(churn, CHURN_COLUMNS, 6),
         lines(7, ""),
     ]
     return reduce(DataFrame.unionByName, parts).orderBy("section", "line").select("value")
