@@ -13,7 +13,7 @@ SCORE_THRESHOLD = "0.06"
 SINGLE_LINES = """single_lines AS (
   SELECT * FROM lineitem
   QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
-    ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) = 1)"""
+    ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag) = 1)"""
 
 
 def _transactions(name: str, lines: str) -> str:

@@ -5,12 +5,13 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bands import cut
 from ..functions.calendar import Moment, elapsed_days_since, quarter_index, quarter_label
 from ..functions.numbers import flag, mean, ratio
+from ..plans.copies import one_per_key
 from ..schemas import CUSTOMER_CONTRACT, TRANSACTION_CONTRACT
 from .common import completed, known, last_order_age
 
@@ -44,17 +45,6 @@ def warn_about_nulls(df: DataFrame, columns: Sequence[str], table: str) -> dict[
     return found
 
 
-def one_per_key(df: DataFrame, key: str, preference: Sequence[str] | None = None) -> DataFrame:
-    """The first row of each key in the order of `preference` (default: all other columns).
-
-    Spark limits each key to one row before the shuffle too, so a key with very many copies
-    does not pile up in one task.
-    """
-    order = [c for c in df.columns if c != key] if preference is None else list(preference)
-    copies = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("__copy", F.row_number().over(copies)).filter("__copy = 1").drop("__copy")
-
-
 def positive_amounts(df: DataFrame) -> DataFrame:
     amount = F.col("total_amount")
     positive = amount > 0
@@ -63,10 +53,11 @@ def positive_amounts(df: DataFrame) -> DataFrame:
     return df.filter(positive)
 
 
-def clean_transactions(df: DataFrame, preference: Sequence[str] | None = None) -> DataFrame:
-    """One row per id, positive amounts only, calendar columns added."""
+def clean_transactions(df: DataFrame, preference: Sequence[str] = ()) -> DataFrame:
+    """One row per id (first by `preference`, then by the other columns), positive amounts only,
+    calendar columns added."""
     require_columns(df, TRANSACTION_CONTRACT, "transactions")
-    single = one_per_key(df, "transaction_id", preference)
+    single = one_per_key(df, ["transaction_id"], preference)
     day = F.col("order_date")
     return positive_amounts(single).withColumns(
         {

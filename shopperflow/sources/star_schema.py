@@ -10,14 +10,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.bands import ladder
+from ..plans.copies import one_per_key
 from ..schemas import CANCELLED, COMPLETED, RETURNED
 
+LINE_KEY = ("l_orderkey", "l_linenumber")
 # Which copy of a line counts: a total order, so the choice does not depend on file order.
-LINE_PREFERENCE = ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+LINE_PREFERENCE = (
+    "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+)
 
 DEVICES = {3: "Desktop", 4: "Tablet"}
 TRAFFIC_SOURCES = ("Organic Search", "Paid Search", "Social Media", "Email", "Direct", "Referral")
@@ -37,9 +41,7 @@ class StarSchema:
         return self._table("lineitem")
 
     def single_lines(self) -> DataFrame:
-        copies = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*LINE_PREFERENCE)
-        # Spark keeps one row per key before the shuffle as well, so copies are not all moved.
-        return self.lines().withColumn("copy", F.row_number().over(copies)).filter("copy = 1").drop("copy")
+        return one_per_key(self.lines().select(*LINE_KEY, *LINE_PREFERENCE), LINE_KEY, LINE_PREFERENCE)
 
     def _as_transactions(self, lines: DataFrame, with_category: bool) -> DataFrame:
         price = F.col("l_extendedprice").cast("decimal(12,2)")

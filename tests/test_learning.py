@@ -84,6 +84,25 @@ def test_split_is_stratified(features):
     assert all((r["fold"] is None) == r["is_test"] for r in split)
 
 
+def test_cross_validated_area_comes_from_the_folds(features):
+    model = churn_model.train(features, "lr")
+    split = cf.stratified_split(features).filter("not is_test")
+    areas = []
+    for fold in range(5):
+        inputs = churn_model._model_input(split, model.columns)
+        train, held = inputs.filter(f"fold <> {fold}"), inputs.filter(f"fold = {fold}")
+        refit = churn_model.Pipeline(stages=[
+            churn_model.VectorAssembler(inputCols=list(model.columns), outputCol="assembled"),
+            churn_model.StandardScaler(inputCol="assembled", outputCol="scaled", withMean=True, withStd=True),
+            churn_model._estimator("lr", train.count()),
+        ]).fit(train)
+        scored = refit.transform(held).select("churned", churn_model.vector_to_array("probability")[1].alias("p")).collect()
+        areas.append(brute_force([(r["p"], r["churned"]) for r in scored])[0])
+    mean = sum(areas) / 5
+    spread = (sum((a - mean) ** 2 for a in areas) / 5) ** 0.5
+    assert model.cv_areas == pytest.approx((mean, spread), abs=1e-6)
+
+
 @pytest.mark.parametrize("kind", ["lr", "rf"])
 def test_models(features, kind, tmp_path):
     model = churn_model.train(features, kind)
@@ -142,11 +161,40 @@ def test_one_class_has_no_area(spark):
     assert found["roc_auc"] is None and found["true_positives"] == 1 and found["precision_0"] == 0
 
 
+def brute_silhouette(groups):
+    """Mean over all points, with squared distances over all pairs."""
+    def mean_square(p, others):
+        return sum(float(((p - o) ** 2).sum()) for o in others) / len(others)
+
+    values = []
+    for cluster, members in groups.items():
+        for i, p in enumerate(members):
+            if len(members) == 1:
+                values.append(0.0)
+                continue
+            inside = mean_square(p, members[:i] + members[i + 1:])
+            outside = min(mean_square(p, other) for name, other in groups.items() if name != cluster)
+            values.append((outside - inside) / max(inside, outside))
+    return sum(values) / len(values)
+
+
 def test_clusters(shop):
     rfm = rfm_base(shop[1], TODAY)
     model, labelled, silhouette = clusters.fit_clusters(rfm, k=3, restarts=3)
     assert labelled.count() == rfm.count() and -1 <= silhouette <= 1
     assert {r["cluster"] for r in labelled.select("cluster").distinct().collect()} == {0, 1, 2}
+    points = {r["customer_id"]: r["scaled"].toArray() for r in clusters.scaled_vectors(rfm).collect()}
+    centers = model.clusterCenters()
+    cost = 0.0
+    for row in labelled.collect():
+        squared = [float(((points[row["customer_id"]] - center) ** 2).sum()) for center in centers]
+        assert squared[row["cluster"]] == pytest.approx(min(squared))
+        cost += min(squared)
+    assert model.summary.trainingCost == pytest.approx(cost)
+    groups = {}
+    for row in labelled.collect():
+        groups.setdefault(row["cluster"], []).append(points[row["customer_id"]])
+    assert silhouette == pytest.approx(brute_silhouette(groups))
     search = clusters.optimal_k(rfm, range(2, 5), restarts=2).collect()
     assert [r["k"] for r in search] == [2, 3, 4]
     assert all(r["inertia"] > 0 for r in search)

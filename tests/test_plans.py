@@ -41,7 +41,7 @@ def test_no_gathering_and_no_cross_joins(large, sf_dir, name):
 def test_copies_are_reduced_before_the_shuffle(large, sf_dir):
     plan = plan_of(StarSchema(large, sf_dir).single_lines())
     below = plan.split("Exchange hashpartitioning")[1]
-    assert re.search(r"WindowGroupLimit .* Partial", below)
+    assert "partial_min(struct(" in below
 
 
 def test_sample_is_reduced_before_the_shuffle(large, sf_dir):
