@@ -20,7 +20,7 @@ SEED = 42
 RESTARTS = 10
 ITERATIONS = 300
 # Fits of one search that may run at the same time; each is itself a distributed job.
-CONCURRENT_FITS = 4
+CONCURRENT_FITS = RESTARTS
 
 
 def scaled_vectors(rfm: DataFrame) -> DataFrame:
