@@ -62,15 +62,6 @@ def _enriched(s: StarSchema) -> DataFrame:
     return weekly.enriched(_clean(s), _people(s))
 
 
-def _duplicates(s: StarSchema) -> DataFrame:
-    per_id = s.raw_transactions().groupBy("transaction_id").agg(F.count("*").alias("copies"))
-    return per_id.agg(
-        F.sum("copies").alias("rows_in"),
-        F.count("*").alias("rows_kept"),
-        (F.sum("copies") - F.count("*")).alias("removed"),
-    )
-
-
 def _window_scan(s: StarSchema) -> DataFrame:
     return tables.within(s.transactions(), "order_date", *WINDOW)
 
@@ -173,7 +164,7 @@ _REPORTS: dict[str, Callable[[StarSchema], DataFrame]] = {
     "segment_weekly_kpis": lambda s: weekly.segment_weekly_kpis(_clean(s), s.customers()),
     "churn_risk_summary": lambda s: weekly.churn_risk_summary(s.customers(), s.transactions(), SNAPSHOT),
     "null_profile": lambda s: weekly.null_profile(s.raw_transactions(), TRANSACTION_CONTRACT),
-    "duplicates_removed": _duplicates,
+    "duplicates_removed": lambda s: weekly.duplicates_removed(s.raw_transactions()),
     "kpi_overview": lambda s: dashboards.kpi_overview(s.transactions()),
     "monthly_revenue_last18": lambda s: dashboards.monthly_revenue(s.transactions()),
     "revenue_by_category": lambda s: dashboards.revenue_by_category(s.transactions(with_category=True)),

@@ -70,10 +70,11 @@ def clean_transactions(df: DataFrame, preference: Sequence[str] = ()) -> DataFra
     )
 
 
-def duplicates_removed(df: DataFrame) -> int:
-    """How many rows cleaning drops as repeated ids (a null id counts as one id)."""
-    totals = df.groupBy("transaction_id").agg((F.count("*") - 1).alias("extra")).agg(F.sum("extra")).first()
-    return int(totals[0] or 0)
+def duplicates_removed(df: DataFrame) -> DataFrame:
+    """rows_in, rows_kept, removed: what cleaning makes of repeated ids (a null id counts as one id)."""
+    copies = df.groupBy("transaction_id").agg(F.count("*").alias("copies"))
+    found, kept = F.coalesce(F.sum("copies"), F.lit(0)), F.count("*")
+    return copies.agg(found.alias("rows_in"), kept.alias("rows_kept"), (found - kept).alias("removed"))
 
 
 def with_tenure(customers: DataFrame, snapshot_date: Moment = None, include_lowest: bool = False) -> DataFrame:

@@ -101,7 +101,8 @@ class Ordered:
         local = rows.repartitionById(self._partitions[-1][0] + 1, F.col(_PARTITION)) if stretches else rows
         for measure in measures:
             local = local.withColumn(f"__local_{measure}", F.coalesce(F.sum(measure).over(window), F.lit(0)))
-        joined = local.join(F.broadcast(self._spark.createDataFrame(notes, layout)), _PARTITION)
+        edges = self._spark.createDataFrame(notes, layout)  # again one row per partition
+        joined = local.join(F.broadcast(edges), _PARTITION)
         for name, m in sums.items():
             following = F.when(F.col(key) == F.col("__last"), F.col(f"__peers_{m}")).otherwise(F.lit(0))
             joined = joined.withColumn(name, F.col(f"__before_{m}") + F.col(f"__local_{m}") + following)

@@ -19,7 +19,7 @@ def test_cleaning_keeps_one_row_per_id_and_positive_amounts(orders):
     assert (kept["order_date"], float(kept["total_amount"])) == (dt.date(2024, 1, 1), 8.0)
     (kept,) = weekly.clean_transactions(raw, ["total_amount"]).collect()
     assert float(kept["total_amount"]) == 7.0
-    assert weekly.duplicates_removed(raw) == 2
+    assert rows(weekly.duplicates_removed(raw)) == [(6, 4, 2)]
 
 
 def test_nan_amounts_are_dropped(spark):
