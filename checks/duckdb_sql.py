@@ -89,7 +89,7 @@ def label_of_month(number: str) -> str:
 
 
 def days_since(day: str) -> str:
-    return f"date_diff('day', {day}, {SNAPSHOT})"
+    return f"CAST(date_diff('day', {day}, {SNAPSHOT}) AS INTEGER)"
 
 
 RFM = f"""rfm AS (
@@ -325,7 +325,7 @@ CLEAN = f"""cleaned AS (
       ORDER BY customer_id, order_date, quantity, discount_pct, total_amount, status, category) = 1)
   WHERE total_amount > 0)"""
 TENURE = f"""people AS (
-  SELECT *, CAST(days AS INTEGER) AS tenure_days,
+  SELECT *, days AS tenure_days,
     CASE WHEN days <= 0 THEN NULL WHEN days <= 90 THEN 'New (<3m)' WHEN days <= 365 THEN 'Growing (3-12m)'
       WHEN days <= 730 THEN 'Established (1-2y)' ELSE 'Veteran (2y+)' END AS tenure_band
   FROM (SELECT *, {days_since('signup_date')} AS days FROM customers))"""
@@ -556,9 +556,9 @@ s AS (SELECT *, COALESCE(tn / NULLIF(tn + fn, 0), 0) AS p0, COALESCE(tp / NULLIF
         "churn_features": query(
             [TRANSACTIONS, DONE, CUSTOMERS, SESSIONS, bought, undone, visits],
             f"""SELECT customer_id, total_orders, {money('revenue')} AS total_revenue, {money('revenue')} / total_orders AS avg_order_value,
-  {money('top')} AS max_order_value, unique_categories, CAST(recency_days AS INTEGER) AS recency_days, CAST(first_order_days AS INTEGER) AS first_order_days,
+  {money('top')} AS max_order_value, unique_categories, recency_days, first_order_days,
   CAST(discounts AS DOUBLE) / total_orders AS avg_discount, total_orders / (first_order_days / CAST(30 AS DOUBLE) + 1) AS order_frequency,
-  returns, cancellations, CAST(returns AS DOUBLE) / total_orders AS return_rate, age, CAST({days_since('signup_date')} AS INTEGER) AS tenure_days,
+  returns, cancellations, CAST(returns AS DOUBLE) / total_orders AS return_rate, age, {days_since('signup_date')} AS tenure_days,
   total_sessions, avg_session_duration, avg_pages_viewed, bounce_rate, conversion_rate,
   {', '.join(flags)}, CAST(recency_days > 90 AS INTEGER) AS churned
 FROM bought JOIN undone USING (customer_id) LEFT JOIN customers USING (customer_id) LEFT JOIN visits USING (customer_id)""",
