@@ -19,6 +19,7 @@ from .plans.durable import settle
 from .schemas import CUSTOMER_CONTRACT, TRANSACTION_CONTRACT
 from .sources import sinks, tables
 
+# Days a weekly report looks back.
 LOOKBACK_DAYS = 7
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..operators.segmentation import standardised
 from ..plans.durable import settle
 
+# Features, seed, restarts and iterations of a fit.
 AXES = ("recency", "frequency", "monetary")
 SEED = 42
 RESTARTS = 10

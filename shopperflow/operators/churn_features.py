@@ -14,11 +14,12 @@ from ..plans.ordering import Ordered
 from ..schemas import CANCELLED, COMPLETED, RETURNED
 from .common import known
 
+# Days without a purchase after which a customer counts as churned, encoded columns, folds.
 CHURN_DAYS = 90
 ENCODED = ("gender", "country")
+FOLDS = 5
 # A category list becomes columns, so it must stay short; a longer one is an error, not a cut.
 MOST_CATEGORIES = 2000
-FOLDS = 5
 
 
 def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:

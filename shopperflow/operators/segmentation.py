@@ -15,6 +15,7 @@ from ..plans.durable import settle
 from ..plans.ordering import Ordered, cut_points, ntile_of, ntile_starts, quantile_positions
 from .common import completed, known, orders_counted
 
+# Score groups.
 BINS = 5
 
 # Monthly spend from which a customer counts as the given tier.
