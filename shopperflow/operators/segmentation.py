@@ -163,7 +163,7 @@ def rfm_base(transactions: DataFrame, snapshot_date: Moment = None) -> DataFrame
         .agg(
             elapsed_days_since(F.max("order_date"), kind, snapshot_date).alias("recency"),
             F.count("transaction_id").alias("frequency"),
-            F.sum("total_amount").alias("monetary"),
+            F.coalesce(F.sum("total_amount"), F.lit(0)).alias("monetary"),  # unknown amounts add nothing
         )
     )
 

@@ -57,6 +57,12 @@ def test_orders_without_customer_are_left_out_of_quantile_scores(orders):
     assert found.count() == 6
 
 
+def test_unknown_amounts_add_nothing(orders):
+    made = [(f"t{i}", f"c{i}", f"2024-01-{i + 1:02d}", i + 1, "Completed") for i in range(6)]
+    found = segmentation.rfm_qcut(orders(*made, ("t", "c9", "2024-01-09", None, "Completed")), "2024-02-01")
+    assert float({r["customer_id"]: r["monetary"] for r in found.collect()}["c9"]) == 0.0
+
+
 def test_segment_summary(orders):
     summary = segmentation.rfm_segment_summary(segmentation.rfm_qcut(spread(orders), "2024-02-01"))
     found = rows(summary)
