@@ -30,15 +30,20 @@ def scaled_vectors(rfm: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol="scaled").transform(standardised(rfm, AXES)).drop(*columns)
 
 
-def _best_of_restarts(vectors: DataFrame, k: int, restarts: int) -> KMeansModel:
-    def fit(seed: int) -> KMeansModel:
-        return KMeans(
-            k=k, seed=seed, maxIter=ITERATIONS, featuresCol="scaled", predictionCol="cluster"
-        ).fit(vectors)
+def _best_models(vectors: DataFrame, ks: Iterable[int], restarts: int) -> dict[int, KMeansModel]:
+    """Per k the restart with the lowest inertia; fits do not depend on each other and overlap."""
 
-    with ThreadPool(min(CONCURRENT_FITS, restarts)) as pool:
-        models = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), [SEED + n for n in range(restarts)])
-    return min(models, key=lambda model: model.summary.trainingCost)
+    def fit(k: int, seed: int) -> tuple[int, KMeansModel]:
+        means = KMeans(k=k, seed=seed, maxIter=ITERATIONS, featuresCol="scaled", predictionCol="cluster")
+        return k, means.fit(vectors)
+
+    runs = [(k, SEED + n) for k in ks for n in range(restarts)]
+    best: dict[int, KMeansModel] = {}
+    with ThreadPool(CONCURRENT_FITS) as pool:
+        for k, model in pool.starmap(inheritable_thread_target(vectors.sparkSession)(fit), runs):
+            if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
+                best[k] = model
+    return best
 
 
 def fit_clusters(rfm: DataFrame, k: int = 5, restarts: int = RESTARTS) -> tuple[KMeansModel, DataFrame, float]:
@@ -48,7 +53,7 @@ def fit_clusters(rfm: DataFrame, k: int = 5, restarts: int = RESTARTS) -> tuple[
     """
     vectors = scaled_vectors(settle(rfm)).persist()
     try:
-        model = _best_of_restarts(vectors, k, restarts)
+        model = _best_models(vectors, [k], restarts)[k]
         labelled = settle(model.transform(vectors))
     finally:
         vectors.unpersist()
@@ -63,10 +68,10 @@ def optimal_k(rfm: DataFrame, ks: Iterable[int] = range(2, 11), restarts: int =
     """k, inertia, silhouette: one row per number of clusters tried."""
     vectors = scaled_vectors(settle(rfm)).persist()
     try:
-        rows = []
-        for k in ks:
-            model = _best_of_restarts(vectors, k, restarts)
-            rows.append((k, float(model.summary.trainingCost), float(silhouette(model.transform(vectors)))))
+        rows = [
+            (k, float(model.summary.trainingCost), float(silhouette(model.transform(vectors))))
+            for k, model in _best_models(vectors, ks, restarts).items()
+        ]
     finally:
         vectors.unpersist()
     return rfm.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
