@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -182,13 +183,37 @@ _REPORTS: dict[str, Callable[[StarSchema], DataFrame]] = {
 }
 
 
+def _present(module: str) -> bool:
+    """Whether a part of the repository that may be left out is there; errors inside it are not hidden."""
+    return importlib.util.find_spec(module) is not None
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return queries()["rfm_ntile_summary"](spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
-    return {name: _query(report) for name, report in _REPORTS.items()}
+    found = {name: _query(report) for name, report in _REPORTS.items()}
+    if _present("shopperflow.llm"):
+        from shopperflow.llm.queries import QUERIES
+
+        found |= QUERIES
+        if _present("corpus_pipeline"):
+            import corpus_pipeline
+
+            found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return duckdb_sql.all_queries()
+    found = duckdb_sql.all_queries()
+    if _present("shopperflow.llm"):
+        from shopperflow.llm.duckdb_sql import QUERIES
+
+        found |= QUERIES
+        if _present("corpus_pipeline"):
+            import corpus_pipeline
+
+            if corpus_pipeline.ORACLE_SQL:
+                found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
