@@ -69,4 +69,4 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, c AS component_id
 FROM docs LEFT JOIN sizes USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS c FROM reach GROUP BY x) USING (doc_id)
 """
 
-QUERIES = {"op3_decontamination": OP3, "op9_license_rules": OP9}
+QUERIES = {"op1_ngram_join": OP1, "op3_decontamination": OP3, "op9_license_rules": OP9}

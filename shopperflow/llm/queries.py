@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_blocks, license_rules, line_quality, order_minhash, piece_lattice, pseudonyms, sentence_spans
+from . import decontaminate, html_blocks, license_rules, line_quality, ngram_join, order_minhash, piece_lattice, pseudonyms, sentence_spans, suffix_dedup
 
 #: The key of the pseudonyms in these queries; in use it is the caller's secret.
 KEY = b"a key for the test tables only"
@@ -25,6 +25,15 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.joined(_table(spark, folder, "documents"))
+
+
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = suffix_dedup.without_repeats(_table(spark, folder, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.automata(_table(spark, folder, "benchmark"))
     rows = decontaminate.contaminated(_table(spark, folder, "documents"), found, passed=["doc_id"])
