@@ -169,6 +169,7 @@ class BitSet:
         at = F.col(column).bitwiseAND(F.lit(2**bits - 1))
         found = (
             hashes.select(at.alias("at"))
+            .where("at is not null")
             .groupBy(F.shiftrightunsigned("at", 6).alias("word"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("held"))
             .toArrow()
