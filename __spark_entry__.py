@@ -8,7 +8,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,7 @@ from shopperflow.operators import (  # noqa: E402
     segmentation,
     weekly,
 )
-from shopperflow.plans.durable import settle, shared_folder  # noqa: E402
+from shopperflow.plans.durable import passing_folder, settle  # noqa: E402
 from shopperflow.schemas import TRANSACTION_CONTRACT  # noqa: E402
 from shopperflow.sources import sinks, tables  # noqa: E402
 from shopperflow.sources.star_schema import StarSchema  # noqa: E402
@@ -64,21 +64,60 @@ def _enriched(s: StarSchema) -> DataFrame:
 
 
 def _window_scan(s: StarSchema) -> DataFrame:
-    return tables.within(s.transactions(), "order_date", *WINDOW)
+    return s.transactions(start=WINDOW[0], end=WINDOW[1])
 
 
 def _landed_window(s: StarSchema) -> DataFrame:
     """Lands the transactions by month, then reads the window back."""
-    folder = shared_folder(s.spark, "landed")
-    tables.land_table(s.transactions(), folder, "transactions")
-    return tables.landed(s.spark, folder, "transactions", *WINDOW)
-
-
-def _customers_from_csv(s: StarSchema) -> DataFrame:
-    """Writes the customers as CSV and reads them back with the declared types."""
-    folder = shared_folder(s.spark, "delivered")
-    s.customers(with_country=True).write.option("header", True).csv(f"{folder}/customers.csv")
-    return tables.read_customers(s.spark, folder)
+    with passing_folder(s.spark, "landed") as folder:
+        tables.land_table(s.transactions(), folder, "transactions")
+        return settle(tables.landed(s.spark, folder, "transactions", *WINDOW))
+
+
+def _from_csv(df: DataFrame, table: str, read: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """Writes a table as CSV and reads it back with the declared types."""
+    with passing_folder(df.sparkSession, "delivered") as folder:
+        df.write.option("header", True).csv(f"{folder}/{table}.csv")
+        return settle(read(df.sparkSession, folder))
+
+
+def _transactions_from_csv(s: StarSchema) -> DataFrame:
+    """Order dates with a time of day; whole numbers written 2.0."""
+    hour = F.lpad((F.col("customer_id") % 24).cast("string"), 2, "0")
+    timed = s.transactions().withColumns(
+        {"order_date": F.concat_ws(" ", F.col("order_date").cast("string"), F.concat(hour, F.lit(":30:00"))),
+         "quantity": F.concat(F.col("quantity").cast("string"), F.lit(".0"))}
+    )
+    read = _from_csv(timed, "transactions", tables.read_transactions)
+    return read.withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd HH:mm:ss"))
+
+
+def _bad_cells(s: StarSchema) -> DataFrame:
+    """What a delivery with unreadable cells reports: every seventh customer's amounts, every eleventh's dates."""
+    key = F.col("customer_id")
+    spoilt = s.transactions().withColumns(
+        {"total_amount": F.when(key % 7 == 0, "n/a").otherwise(F.col("total_amount").cast("string")),
+         "order_date": F.when(key % 11 == 0, "soon").otherwise(F.col("order_date").cast("string"))}
+    )
+    with passing_folder(s.spark, "delivered") as folder:
+        spoilt.write.option("header", True).csv(f"{folder}/transactions.csv")
+        return settle(tables.bad_cells(s.spark, folder, "transactions").select("column", "bad_cells"))
+
+
+def _some_amounts_unknown(s: StarSchema) -> DataFrame:
+    """Transactions in which every fourth customer's amounts are NULL."""
+    unknown = F.col("customer_id") % 4 == 0
+    return s.transactions().withColumn("total_amount", F.when(~unknown, F.col("total_amount")))
+
+
+def _views(s: StarSchema) -> DataFrame:
+    """A report written as SQL over the registered views."""
+    tables.register_views(s.customers(with_country=True), s.transactions(), s.sessions())
+    return s.spark.sql(
+        """SELECT c.country, count(*) AS orders, count(DISTINCT t.customer_id) AS buyers, sum(t.total_amount) AS revenue
+        FROM transactions t JOIN customers c ON t.customer_id = c.customer_id
+        WHERE t.status = 'Completed' GROUP BY c.country"""
+    )
 
 
 def _report_lines(s: StarSchema) -> DataFrame:
@@ -92,8 +131,12 @@ def _report_lines(s: StarSchema) -> DataFrame:
     )
 
 
+def _inputs(s: StarSchema) -> tuple:
+    return s.customers(with_country=True), s.transactions(with_category=True), s.sessions(), SNAPSHOT
+
+
 def _features(s: StarSchema) -> DataFrame:
-    return features.churn_features(s.customers(with_country=True), s.transactions(with_category=True), s.sessions(), SNAPSHOT)
+    return features.churn_features(*_inputs(s))
 
 
 def _split(s: StarSchema) -> DataFrame:
@@ -113,14 +156,72 @@ def _graded(s: StarSchema) -> DataFrame:
 
 
 def _model(kind: str, cross_validate: bool = False) -> Callable[[StarSchema], churn_model.ChurnModel]:
-    return lambda s: churn_model.train(_features(s), kind, cross_validate)
+    return lambda s: churn_model.train(features.customer_features(*_inputs(s)), kind, cross_validate)
 
 
 def _probabilities(s: StarSchema) -> DataFrame:
-    table = _features(s)
+    table = settle(features.customer_features(*_inputs(s)))
     return churn_model.train(table, cross_validate=False).probabilities(table)
 
 
+# Facts about fitted results that SQL can state. They are invariants (who is scored, ranges, sums, sizes), not
+# the fitted values themselves.
+
+
+def _in_unit(column: str) -> Column:
+    return F.coalesce(F.col(column).between(0, 1), F.lit(False))
+
+
+def _reloaded(s: StarSchema) -> DataFrame:
+    """Scores by a model that was saved and loaded again, on a table that lacks some of its categories."""
+    table = settle(features.customer_features(*_inputs(s)))
+    with passing_folder(s.spark, "model") as folder:
+        churn_model.train(table, "lr", cross_validate=False).save(folder)
+        loaded = churn_model.ChurnModel.load(s.spark, folder)
+        scores = settle(loaded.probabilities(table.filter("country <> 'NATION_3'").unionByName(table.filter("country = 'NATION_3'").withColumn("country", F.lit("Elsewhere")))))
+    return scores.select("customer_id", _in_unit("churn_probability").alias("in_range"))
+
+
+def _cluster_facts(s: StarSchema) -> DataFrame:
+    labels = clusters.cluster_labels(segmentation.rfm_base(s.transactions(), SNAPSHOT))
+    return labels.agg(
+        F.count("*").alias("customers"), F.count_distinct("customer_id").alias("distinct_customers"),
+        F.count_distinct("cluster").alias("clusters"), F.min("cluster").alias("least"), F.max("cluster").alias("most"),
+    )
+
+
+def _k_search_facts(s: StarSchema) -> DataFrame:
+    found = clusters.optimal_k(segmentation.rfm_base(s.transactions(), SNAPSHOT))
+    before = F.lag("inertia").over(Window.partitionBy(F.lit(1)).orderBy("k"))  # nine rows
+    return found.select(
+        "k", F.coalesce(F.col("inertia") <= before * 1.05, F.lit(True)).alias("inertia_does_not_rise"),
+        F.col("silhouette").between(-1, 1).alias("silhouette_in_range"),
+    )
+
+
+def _model_facts(kind: str) -> Callable[[StarSchema], DataFrame]:
+    def facts(s: StarSchema) -> DataFrame:
+        found = _model(kind)(s).metrics()
+        kept = F.col("metric").isin("support_0", "support_1")
+        ranged = ["roc_auc", "avg_precision", "accuracy", "precision_0", "precision_1", "recall_0", "recall_1", "f1_0", "f1_1"]
+        return found.filter(kept | F.col("metric").isin(ranged)).select(
+            "metric", F.when(kept, F.col("value")).otherwise(F.lit(-1.0)).alias("size"), (kept | _in_unit("value")).alias("in_range")
+        )
+
+    return facts
+
+
+def _probability_facts(s: StarSchema) -> DataFrame:
+    return _probabilities(s).select("customer_id", _in_unit("churn_probability").alias("in_range"))
+
+
+def _importance_facts(s: StarSchema) -> DataFrame:
+    found = _model("gbm")(s).importance()
+    return found.agg(
+        F.count("*").alias("features"), F.round(F.sum("importance"), 6).alias("total"), F.min(_in_unit("importance")).alias("in_range")
+    )
+
+
 _UNIQUE = {"unique_ids": True}  # transactions() holds one row per id
 
 _REPORTS: dict[str, Callable[[StarSchema], DataFrame]] = {
@@ -142,7 +243,7 @@ _REPORTS: dict[str, Callable[[StarSchema], DataFrame]] = {
     "rfm_scaled": lambda s: segmentation.rfm_scaled(s.transactions(), SNAPSHOT),
     "kmeans_clusters": lambda s: clusters.cluster_labels(segmentation.rfm_base(s.transactions(), SNAPSHOT)),
     "kmeans_optimal_k": lambda s: clusters.optimal_k(segmentation.rfm_base(s.transactions(), SNAPSHOT)),
-    "retention_matrix_wide": lambda s: cohorts.widened(cohorts.retention_matrix(s.transactions()), list(range(12))),
+    "retention_matrix_wide": lambda s: cohorts.as_rows_of_text(cohorts.widened(cohorts.retention_matrix(s.transactions()))),
     "retention_matrix": lambda s: cohorts.retention_matrix(s.transactions()),
     "ltv_curve": lambda s: cohorts.ltv_curve(s.transactions()),
     "churn_features": _features,
@@ -155,7 +256,21 @@ _REPORTS: dict[str, Callable[[StarSchema], DataFrame]] = {
     "churn_feature_importance": lambda s: _model("gbm")(s).importance(),
     "window_scan": _window_scan,
     "landed_window": _landed_window,
-    "customers_from_csv": _customers_from_csv,
+    "customers_from_csv": lambda s: _from_csv(s.customers(with_country=True), "customers", tables.read_customers),
+    "transactions_from_csv": _transactions_from_csv,
+    "sessions_from_csv": lambda s: _from_csv(s.sessions(), "sessions", tables.read_sessions),
+    "bad_cells": _bad_cells,
+    "sql_over_views": _views,
+    "rfm_ntile_nulls": lambda s: segmentation.rfm_ntile_scores(_some_amounts_unknown(s), SNAPSHOT, **_UNIQUE),
+    "pareto_nulls": lambda s: segmentation.pareto_customers(_some_amounts_unknown(s), s.customers(), top_fraction="0.9"),
+    "churn_proba_reloaded": _reloaded,
+    "kmeans_facts": _cluster_facts,
+    "kmeans_optimal_k_facts": _k_search_facts,
+    "churn_model_facts": _model_facts("gbm"),
+    "churn_model_facts_rf": _model_facts("rf"),
+    "churn_model_facts_lr": _model_facts("lr"),
+    "churn_proba_facts": _probability_facts,
+    "churn_importance_facts": _importance_facts,
     "weekly_report_lines": _report_lines,
     "etl_clean_transactions": _clean,
     "etl_customers": _people,

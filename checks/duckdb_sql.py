@@ -293,9 +293,8 @@ FROM dated GROUP BY born, mon""",
         ),
         "retention_matrix_wide": query(
             [*first, active, sizes],
-            f"SELECT {name}, " + ", ".join(
-                f"MAX({half_up('100 * users', 'size', 2)}) FILTER (WHERE step = {m}) AS \"{m}\"" for m in range(12)
-            ) + " FROM active JOIN sizes USING (born) GROUP BY born",
+            f"""SELECT {name}, string_agg(CAST({step} AS VARCHAR) || ':' || CAST({half_up('100 * users', 'size', 2)} AS VARCHAR), ' ' ORDER BY step) AS cells
+FROM active JOIN sizes USING (born) GROUP BY born""",
         ),
         "ltv_curve": query(
             [*first, earned, sizes],
@@ -571,5 +570,90 @@ FROM bought JOIN undone USING (customer_id) LEFT JOIN customers USING (customer_
     }
 
 
+UNKNOWN_AMOUNTS = """done AS (SELECT * REPLACE (CASE WHEN customer_id % 4 = 0 THEN NULL ELSE total_amount END AS total_amount)
+  FROM transactions WHERE status = 'Completed')"""
+
+
+def unknown_amounts() -> dict[str, str]:
+    """NULL comes first in ascending and last in descending order."""
+    tiles = NTILES.replace("ORDER BY monetary,", "ORDER BY monetary NULLS FIRST,")
+    named = f"named AS (SELECT *, {segment_case('r', 'f', 'm')} AS segment FROM tiles)"
+    return {
+        "rfm_ntile_nulls": query(
+            [TRANSACTIONS, UNKNOWN_AMOUNTS, RFM, tiles, named],
+            f"""SELECT customer_id, recency AS recency_days, frequency, {money('monetary')} AS monetary, CAST(r AS INTEGER) AS r_score,
+  CAST(f AS INTEGER) AS f_score, CAST(m AS INTEGER) AS m_score, CONCAT(r, f, m) AS rfm_code,
+  {half_up('r + f + m', '3', 2)} AS rfm_avg, segment AS rfm_segment FROM named""",
+        ),
+        "pareto_nulls": query(
+            [TRANSACTIONS, UNKNOWN_AMOUNTS, CUSTOMERS,
+             """earned AS (SELECT customer_id, SUM(total_amount) AS revenue FROM done
+  WHERE customer_id IN (SELECT customer_id FROM customers) GROUP BY customer_id)""",
+             """placed AS (SELECT *, ROW_NUMBER() OVER (ORDER BY revenue DESC NULLS LAST, customer_id) AS rank_num, COUNT(*) OVER () AS everyone,
+  SUM(revenue) OVER () AS total, SUM(revenue) OVER (ORDER BY revenue DESC NULLS LAST) AS running FROM earned)"""],
+            f"""SELECT customer_id, segment, {money('revenue')} AS revenue, rank_num,
+  {half_up('100 * revenue * 100', 'total * 100', 3)} AS pct_of_total, {half_up('100 * running * 100', 'total * 100', 2)} AS cumulative_pct
+FROM placed JOIN customers USING (customer_id) WHERE rank_num <= everyone * 9 // 10""",
+        ),
+    }
+
+
+def deliveries() -> dict[str, str]:
+    return {
+        "transactions_from_csv": query(
+            [TRANSACTIONS],
+            """SELECT transaction_id, CAST(customer_id AS VARCHAR) AS customer_id,
+  strftime(order_date, '%Y-%m-%d') || ' ' || lpad(CAST(customer_id % 24 AS VARCHAR), 2, '0') || ':30:00' AS order_date, quantity,
+  CAST(discount_pct AS DOUBLE) AS discount_pct, CAST(total_amount AS DOUBLE) AS total_amount, status FROM transactions""",
+        ),
+        "sessions_from_csv": query(
+            [SESSIONS],
+            """SELECT CAST(session_id AS VARCHAR) AS session_id, CAST(customer_id AS VARCHAR) AS customer_id,
+  CAST(CAST(e.ts AS DATE) AS VARCHAR) AS session_date, device, traffic_source, pages_viewed, session_duration_sec, bounced, converted
+FROM sessions JOIN events e ON session_id = e.event_id""",
+        ),
+        "bad_cells": query(
+            [TRANSACTIONS],
+            """SELECT "column", bad_cells FROM (
+  SELECT 'total_amount' AS "column", COUNT(*) FILTER (WHERE customer_id % 7 = 0) AS bad_cells FROM transactions
+  UNION ALL SELECT 'order_date', COUNT(*) FILTER (WHERE customer_id % 11 = 0) FROM transactions
+  UNION ALL SELECT 'quantity', 0 UNION ALL SELECT 'discount_pct', 0)""",
+        ),
+        "sql_over_views": query(
+            [TRANSACTIONS, DONE, CUSTOMERS],
+            f"""SELECT country, COUNT(*) AS orders, COUNT(DISTINCT customer_id) AS buyers, {money('SUM(total_amount)')} AS revenue
+FROM done JOIN customers USING (customer_id) GROUP BY country""",
+        ),
+    }
+
+
+def fitted_facts() -> dict[str, str]:
+    """Invariants of fitted results: who is scored, ranges, sums and sizes; not the fitted values."""
+    scored = query([TRANSACTIONS, DONE], "SELECT DISTINCT customer_id, TRUE AS in_range FROM done")
+    labelled = "labelled AS (SELECT customer_id, CAST(idle > 90 AS INTEGER) AS churned FROM last_order)"
+    sizes = "sizes AS (SELECT churned, (COUNT(*) * 40 + 100) // 200 AS n FROM labelled GROUP BY churned)"
+    ranged = ("roc_auc", "avg_precision", "accuracy", "precision_0", "precision_1", "recall_0", "recall_1", "f1_0", "f1_1")
+    metrics = query(
+        [TRANSACTIONS, DONE, LAST_ORDER, labelled, sizes],
+        "SELECT 'support_' || churned AS metric, CAST(n AS DOUBLE) AS size, TRUE AS in_range FROM sizes"
+        + "".join(f" UNION ALL SELECT '{name}', CAST(-1 AS DOUBLE), TRUE" for name in ranged),
+    )
+    return {
+        "churn_proba_reloaded": scored,
+        "churn_proba_facts": scored,
+        "churn_model_facts": metrics,
+        "churn_model_facts_rf": metrics,
+        "churn_model_facts_lr": metrics,
+        "kmeans_facts": query(
+            [TRANSACTIONS, DONE],
+            """SELECT COUNT(DISTINCT customer_id) AS customers, COUNT(DISTINCT customer_id) AS distinct_customers,
+  CAST(5 AS BIGINT) AS clusters, CAST(0 AS INTEGER) AS least, CAST(4 AS INTEGER) AS most FROM done""",
+        ),
+        "kmeans_optimal_k_facts": "SELECT CAST(k AS INTEGER) AS k, TRUE AS inertia_does_not_rise, TRUE AS silhouette_in_range FROM range(2, 11) AS t(k)",
+        # 18 figures without recency_days, 24 countries and 2 genders.
+        "churn_importance_facts": "SELECT CAST(44 AS BIGINT) AS features, CAST(1 AS DOUBLE) AS total, TRUE AS in_range",
+    }
+
+
 def all_queries() -> dict[str, str]:
-    return {**churn_reports(), **segmentation(), **cohorts(), **sources(), **weekly(), **dashboards(), **churn_model()}
+    return {**churn_reports(), **segmentation(), **cohorts(), **sources(), **weekly(), **dashboards(), **churn_model(), **unknown_amounts(), **deliveries(), **fitted_facts()}

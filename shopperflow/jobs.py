@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .functions.calendar import Moment
 from .learning import churn_model
 from .operators import cohorts, dashboards, segmentation, weekly
-from .operators.churn_features import churn_features
+from .operators.churn_features import customer_features
 from .operators.common import completed
 from .plans.durable import settle
 from .schemas import CUSTOMER_CONTRACT, TRANSACTION_CONTRACT
@@ -30,17 +30,22 @@ def weekly_report(
     snapshot_date: dt.date | None = None,
     start: dt.date | None = None,
     end: dt.date | None = None,
+    landed: str | None = None,
 ) -> dict[str, DataFrame]:
     """Cleans the trailing week, computes the KPIs and writes JSON, CSV and Markdown.
 
-    `history` is the full transaction table: the KPIs use the window, churn risk all of it.
+    `history` is the full transaction table: the KPIs use the window, churn risk all of it. If the
+    tables have been landed, name the folder: the window then reads only the months it touches.
     """
     today = snapshot_date or dt.date.today()
     end = end or today
     start = start or today - dt.timedelta(days=LOOKBACK_DAYS)
     week = today.isocalendar()[1]
 
-    recent = tables.within(history, "order_date", start, end)
+    if landed is None:
+        recent = tables.within(history, "order_date", start, end)
+    else:
+        recent = tables.landed(history.sparkSession, landed, "transactions", start, end)
     weekly.warn_about_nulls(weekly.require_columns(recent, TRANSACTION_CONTRACT, "transactions"), TRANSACTION_CONTRACT, "transactions")
     weekly.warn_about_nulls(weekly.require_columns(customers, CUSTOMER_CONTRACT, "customers"), CUSTOMER_CONTRACT, "customers")
 
@@ -76,9 +81,9 @@ def train_churn(
     kind: str = "gbm",
     snapshot_date: Moment = None,
 ) -> churn_model.ChurnModel:
-    """Builds features, fits, evaluates; saves the fitted pipeline and its metrics."""
-    model = churn_model.train(churn_features(customers, transactions, sessions, snapshot_date), kind)
-    model.pipeline.write().overwrite().save(f"{out}/churn_model_{kind}")
+    """Builds features, fits, evaluates; saves the model with what it needs to score other tables, and its metrics."""
+    model = churn_model.train(customer_features(customers, transactions, sessions, snapshot_date), kind)
+    model.save(f"{out}/churn_model_{kind}")
     sinks.write_csv(model.metrics(), f"{out}/churn_metrics_{kind}.csv")
     return model
 
@@ -108,6 +113,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Customer analytics jobs")
     parser.add_argument("--data", required=True, help="folder with customers.csv, transactions.csv, sessions.csv")
     parser.add_argument("--out", required=True, help="folder for reports and models")
+    parser.add_argument("--landed", help="folder for the tables as Parquet (default: landed, in the folder for reports)")
+    parser.add_argument("--strict", action="store_true", help="refuse files with cells that cannot be read")
     parser.add_argument("--snapshot", type=dt.date.fromisoformat, help="day to look back from (default today)")
     parser.add_argument("--model", default="gbm", choices=("gbm", "rf", "lr"))
     steps = ("weekly", "segments", "churn", "dashboards")
@@ -120,11 +127,11 @@ def main(arguments: list[str] | None = None) -> None:
         return
 
     spark = SparkSession.builder.appName("shopperflow").getOrCreate()
-    customers = tables.read_customers(spark, chosen.data)
-    transactions = tables.read_transactions(spark, chosen.data)
-    sessions = tables.read_sessions(spark, chosen.data)
+    home = chosen.landed or f"{chosen.out}/landed"
+    tables.land_news(spark, chosen.data, home, chosen.strict)
+    customers, transactions, sessions = (tables.landed(spark, home, table) for table in ("customers", "transactions", "sessions"))
     if "weekly" in wanted:
-        weekly_report(customers, transactions, chosen.out, chosen.snapshot)
+        weekly_report(customers, transactions, chosen.out, chosen.snapshot, landed=home)
     if "segments" in wanted:
         segment_report(transactions, chosen.out, chosen.snapshot)
     if "churn" in wanted:

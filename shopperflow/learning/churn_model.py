@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
@@ -13,11 +14,11 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.churn_features import FOLDS, stratified_split
+from ..operators.churn_features import ENCODED, FOLDS, category_lists, one_hot, stratified_split
 from ..plans.durable import ensure_checkpoint_dir, settle
 from .evaluation import confusion_counts, metric_table, ranking_scores, report_rows
 
@@ -57,15 +58,34 @@ def _model_input(features: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class ChurnModel:
+    """A fitted pipeline and what it takes to prepare other tables as the training table was."""
+
     kind: str
     columns: tuple[str, ...]
     pipeline: PipelineModel
-    test: DataFrame
-    cv_areas: tuple[float, float] | None
+    lists: dict[str, list[str]]
+    test: DataFrame | None = None
+    cv_areas: tuple[float, float] | None = None
+
+    def save(self, path: str) -> None:
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        spark = SparkSession.active()
+        facts = [(self.kind, list(self.columns), json.dumps(self.lists))]
+        spark.createDataFrame(facts, "kind string, columns array<string>, lists string").coalesce(1).write.mode("overwrite").json(f"{path}/facts")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> ChurnModel:
+        facts = spark.read.schema("kind string, columns array<string>, lists string").json(f"{path}/facts").first()
+        return ChurnModel(facts["kind"], tuple(facts["columns"]), PipelineModel.load(f"{path}/pipeline"), json.loads(facts["lists"]))
+
+    def prepared(self, features: DataFrame) -> DataFrame:
+        """Categories as in training, unknown ones all zeros; inputs that the table lacks are 0."""
+        encoded = one_hot(features, {c: v for c, v in self.lists.items() if c in features.columns})
+        return _model_input(encoded.withColumns({c: F.lit(0.0) for c in self.columns if c not in encoded.columns}), self.columns)
 
     def score(self, features: DataFrame) -> DataFrame:
         """Adds prediction and churn_probability."""
-        scored = self.pipeline.transform(_model_input(features, self.columns))
+        scored = self.pipeline.transform(self.prepared(features))
         probability = vector_to_array("probability")[1]
         return scored.withColumn("churn_probability", probability).drop("assembled", "scaled", "rawPrediction", "probability")
 
@@ -74,6 +94,8 @@ class ChurnModel:
 
     def metrics(self) -> DataFrame:
         """metric, value on the held-out rows, with the cross-validated area if it was computed."""
+        if self.test is None:
+            raise ValueError("a loaded model has no held-out rows")
         scored = settle(self.score(self.test).select(LABEL, "prediction", "churn_probability"))
         area, precision = ranking_scores(scored, LABEL, "churn_probability")
         rows = [("roc_auc", area, 4), ("avg_precision", precision, 4)]
@@ -89,7 +111,7 @@ class ChurnModel:
             raise ValueError(f"model {self.kind!r} has no feature importances")
         weights = classifier.featureImportances.toArray()
         rows = [(name, float(weight)) for name, weight in zip(self.columns, weights)]
-        made = self.test.sparkSession.createDataFrame(rows, "feature string, importance double")
+        made = SparkSession.active().createDataFrame(rows, "feature string, importance double")
         return made.orderBy(F.desc("importance"), "feature")
 
 
@@ -98,10 +120,16 @@ def train(
 ) -> ChurnModel:
     """Fits on the training rows of a stratified split. `exclude=()` keeps the leaking input.
 
+    Text columns of customer_features become 0/1 columns; their values are kept with the model.
     The cross-validation folds and the final fit do not depend on each other, so their jobs are
     submitted side by side and share the cluster.
     """
     ensure_checkpoint_dir(features.sparkSession)
+    texts = [c for c in ENCODED if c in features.columns]
+    if texts:
+        features = settle(features)
+    lists = category_lists(features, texts)
+    features = one_hot(features, lists)
     columns = numeric_columns(features, exclude)
     split = settle(_model_input(stratified_split(features), columns))
     training, test = split.filter(~F.col("is_test")).persist(), split.filter("is_test")
@@ -125,4 +153,4 @@ def train(
     finally:
         training.unpersist()
     spread = (float(np.mean(areas)), float(np.std(areas))) if areas else None
-    return ChurnModel(kind, tuple(columns), pipeline, test, spread)
+    return ChurnModel(kind, tuple(columns), pipeline, lists, test, spread)

@@ -17,6 +17,11 @@ def confusion_counts(predictions: DataFrame, label: str, predicted: str) -> dict
     return cells
 
 
+def _twice_area(neg: str, tp: str, pos: str) -> Column:
+    """Twice a score's part of the area, in decimals: the counts alone may fit a long, their product need not."""
+    return F.col(neg).cast("decimal(18,0)") * (F.col(tp) * 2 - F.col(pos)).cast("decimal(19,0)")
+
+
 def ranking_scores(predictions: DataFrame, label: str, score: str) -> tuple[float | None, float | None]:
     """Area under the ROC curve and average precision.
 
@@ -30,11 +35,10 @@ def ranking_scores(predictions: DataFrame, label: str, score: str) -> tuple[floa
     )
     ordered = Ordered(by_score, F.col("score").desc())
     curve = ordered.running_sums(ordered.rows, "score", {"tp": "pos", "fp": "neg"}, descending=True)
-    above = F.col("tp") - F.col("pos")
     sums = curve.agg(
         F.sum("pos").alias("p"),
         F.sum("neg").alias("n"),
-        F.sum((F.col("neg") * (above * 2 + F.col("pos"))).cast("decimal(38,0)")).alias("twice_area"),
+        F.sum(_twice_area("neg", "tp", "pos")).alias("twice_area"),
         F.sum(F.col("pos") * F.try_divide(F.col("tp").cast("double"), F.col("tp") + F.col("fp"))).alias("steps"),
     ).first()
     p, n = sums["p"] or 0, sums["n"] or 0

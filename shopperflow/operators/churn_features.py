@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,17 +18,17 @@ from .common import known
 CHURN_DAYS = 90
 ENCODED = ("gender", "country")
 FOLDS = 5
-# A category list becomes columns, so it must stay short; a longer one is an error, not a cut.
-MOST_CATEGORIES = 2000
 
 
-def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replaces each column by 0/1 columns for its sorted values but the first; NULL gives all zeros."""
-    for column in columns:
-        found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(MOST_CATEGORIES + 1).collect()
-        if len(found) > MOST_CATEGORIES:
-            raise ValueError(f"{column} has more than {MOST_CATEGORIES} values, too many to make columns of")
-        values = sorted(row[0] for row in found)
+def category_lists(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """The sorted values of each column. They become columns of a model, so they come to the driver."""
+    return {c: sorted(row[0] for row in df.select(c).filter(F.col(c).isNotNull()).distinct().collect()) for c in columns}
+
+
+def one_hot(df: DataFrame, lists: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Replaces each listed column by 0/1 columns for its values but the first; NULL and values that are
+    not listed give all zeros."""
+    for column, values in lists.items():
         df = df.withColumns({f"{column}_{v}": flag(F.col(column) == v) for v in values[1:]}).drop(column)
     return df
 
@@ -39,6 +39,20 @@ def churn_features(
     sessions: DataFrame | None = None,
     snapshot_date: Moment = None,
     threshold_days: int = CHURN_DAYS,
+    lists: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """customer_features with categories as 0/1 columns: those of `lists`, or those that occur."""
+    features = settle(customer_features(customers, transactions, sessions, snapshot_date, threshold_days))
+    encoded = one_hot(features.drop("churned"), lists or category_lists(features, ENCODED))
+    return encoded.withColumn("churned", flag(F.col("recency_days") > threshold_days))
+
+
+def customer_features(
+    customers: DataFrame,
+    transactions: DataFrame,
+    sessions: DataFrame | None = None,
+    snapshot_date: Moment = None,
+    threshold_days: int = CHURN_DAYS,
 ) -> DataFrame:
     """One row per customer with a completed order, plus the label `churned`.
 
@@ -91,8 +105,7 @@ def churn_features(
             share(F.sum(F.col("converted").cast("int")), F.count("converted")).alias("conversion_rate"),
         )
         features = features.join(visits, "customer_id", "left")
-    encoded = one_hot(settle(features), ENCODED)
-    return encoded.withColumn("churned", flag(F.col("recency_days") > threshold_days))
+    return features.withColumn("churned", flag(F.col("recency_days") > threshold_days))
 
 
 def stratified_split(

@@ -165,12 +165,23 @@ def retention_matrix(transactions: DataFrame) -> DataFrame:
 
 
 def widened(matrix: DataFrame, months: list[int] | None = None) -> DataFrame:
-    """The matrix with one column per month number; months nobody was active in stay NULL."""
+    """The matrix with one column per month number; months nobody was active in stay NULL.
+
+    All months that occur, unless the caller lists those wanted.
+    """
     pivot = matrix.groupBy("cohort_month")
     wide = pivot.pivot("month_number", months) if months else pivot.pivot("month_number")
     return wide.agg(F.first("retention_pct")).orderBy("cohort_month")
 
 
+def as_rows_of_text(wide: DataFrame) -> DataFrame:
+    """A wide matrix as cohort_month and one text of its cells, `month:percent` in month order; for exports
+    whose columns must not depend on the data."""
+    months = sorted((c for c in wide.columns if c != "cohort_month"), key=int)
+    cells = [F.concat(F.lit(f"{m}:"), F.col(m).cast("string")) for m in months]  # NULL for an empty cell
+    return wide.select("cohort_month", F.concat_ws(" ", *cells).alias("cells"))
+
+
 def quarterly_retention(transactions: DataFrame, quarters: int = 6) -> DataFrame:
     """Retention over the first quarters; a quarter nobody returned in is NULL, as on the heat map."""
     steps = [str(step) for step in range(quarters)]

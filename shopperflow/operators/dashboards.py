@@ -22,10 +22,6 @@ HISTOGRAM_BINS = 30
 HISTOGRAM_CEILING = 30
 SCATTER_ROWS = 300
 
-# Groups one customer's orders are spread over; also the most rows of a customer in the second round.
-SPREAD = 1024
-
-
 def _of_total(count: str) -> Column:
     """Percent of the sum over all rows; only for results of a handful of rows."""
     return ratio(F.col(count) * 100, F.sum(count).over(Window.partitionBy()), 1)
@@ -186,24 +182,11 @@ def device_split(sessions: DataFrame) -> DataFrame:
 def first_purchase_flag(transactions: DataFrame) -> DataFrame:
     """transaction_id, customer_id, is_first_purchase: the earliest order (then lowest id) of each customer.
 
-    Two rounds, without a join: the orders of a customer are first spread over many groups and each
-    group names its earliest order; the overall first is the earliest of those. A customer with very
-    many orders is thus never gathered in one task. Give it cleaned transactions (one row per id).
+    The earliest is an aggregate, reduced before its shuffle, so a customer with very many orders is one
+    row per task. It is joined back on the id: give it cleaned transactions (one row per id).
     """
-    earliest = ["order_date", "transaction_id"]
-    group = F.pmod(F.xxhash64("transaction_id"), F.lit(SPREAD))
-    in_group = F.row_number().over(Window.partitionBy("customer_id", "__group").orderBy(*earliest))
-    # Orders that cannot be first stay in their group; only the groups' earliest come together.
-    among_leaders = F.row_number().over(Window.partitionBy("customer_id", "__round").orderBy(*earliest))
-    leads = F.col("__in_group") == 1
-    return (
-        transactions.select("transaction_id", "customer_id", "order_date", group.alias("__group"))
-        .withColumn("__in_group", in_group)
-        .withColumn("__round", F.when(leads, -1).otherwise(F.col("__group")))
-        .withColumn("__rank", among_leaders)
-        .select(
-            "transaction_id",
-            "customer_id",
-            (F.col("customer_id").isNotNull() & leads & (F.col("__rank") == 1)).alias("is_first_purchase"),
-        )
+    earliest = F.min(F.struct("order_date", "transaction_id")).alias("__first")
+    firsts = known(transactions).groupBy("customer_id").agg(earliest).select(F.col("__first.transaction_id").alias("__id"))
+    return transactions.join(firsts, F.col("transaction_id").eqNullSafe(F.col("__id")) & F.col("customer_id").isNotNull(), "left").select(
+        "transaction_id", "customer_id", F.col("__id").isNotNull().alias("is_first_purchase")
     )

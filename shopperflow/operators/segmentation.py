@@ -90,7 +90,8 @@ def pareto_customers(
 ) -> DataFrame:
     """The customers with the highest revenue, their share and the cumulative share.
 
-    Ranks are told apart by customer_id; customers with equal revenue share the cumulative value.
+    Ranks are told apart by customer_id; customers with equal revenue share the cumulative value. A
+    customer whose amounts are all unknown has no revenue and ranks last.
     """
     revenue = (
         completed(transactions)
@@ -102,8 +103,11 @@ def pareto_customers(
     wanted = min(int(ordered.total * Fraction(top_fraction)) if top_n is None else top_n, ordered.total)
     # Peers of the last ranked customer count towards its cumulative value, so they stay in until
     # the ranks are known.
-    last = ordered.rows_at([wanted - 1])[wanted - 1]["revenue"] if wanted > 0 else None
-    leading = ordered.rows.filter(F.col("revenue") >= F.lit(last))
+    if wanted > 0:
+        last = ordered.rows_at([wanted - 1])[wanted - 1]["revenue"]
+        leading = ordered.rows if last is None else ordered.rows.filter(F.col("revenue") >= F.lit(last))
+    else:
+        leading = ordered.rows.limit(0)
     summed = ordered.running_sums(leading, "revenue", {"cumulative": "revenue"}, descending=True)
     total = F.lit(ordered.rows.agg(F.sum("revenue")).first()[0])
     return (

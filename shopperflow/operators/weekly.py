@@ -127,13 +127,15 @@ def segment_weekly_kpis(transactions: DataFrame, customers: DataFrame | None = N
     before the join, so the orders themselves are not shuffled for it.
     """
     done = known(completed(transactions), "week")
+    buyers = F.count_distinct("customer_id")
     if customers is not None:
         weeks = known(done).groupBy("week", "customer_id").agg(F.sum("total_amount").alias("total_amount"))
         done = weeks.join(customers.select("customer_id", "segment"), "customer_id")
+        buyers = F.count("customer_id")  # one row per week and customer
     return (
         known(done, "segment")
         .groupBy("week", "segment")
-        .agg(F.sum("total_amount").alias("revenue"), F.count_distinct("customer_id").alias("customers"))
+        .agg(F.sum("total_amount").alias("revenue"), buyers.alias("customers"))
         .orderBy("week", "segment")
     )
 

@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; make one only for a single-machine session without any."""
+    """The folder named in spark.checkpoint.dir; where that is unset, one inside the warehouse."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="shopperflow-")
-    context.setCheckpointDir(named)
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work")
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
@@ -27,6 +23,32 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{purpose}-{uuid.uuid4().hex}"
 
 
+def _file(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, where = _file(spark, path)
+    files.delete(where, True)
+
+
+def modified(spark: SparkSession, path: str) -> int | None:
+    """When the file or folder was last changed (milliseconds), None if there is none."""
+    files, where = _file(spark, path)
+    return files.getFileStatus(where).getModificationTime() if files.exists(where) else None
+
+
+@contextmanager
+def passing_folder(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A shared folder that is gone at the end; settle() inside what is to outlive it."""
+    folder = shared_folder(spark, purpose)
+    try:
+        yield folder
+    finally:
+        remove_folder(spark, folder)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute `df` once into the checkpoint folder and carry on from those files."""
     ensure_checkpoint_dir(df.sparkSession)

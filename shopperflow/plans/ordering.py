@@ -104,7 +104,7 @@ class Ordered:
         edges = self._spark.createDataFrame(notes, layout)  # again one row per partition
         joined = local.join(F.broadcast(edges), _PARTITION)
         for name, m in sums.items():
-            following = F.when(F.col(key) == F.col("__last"), F.col(f"__peers_{m}")).otherwise(F.lit(0))
+            following = F.when(F.col(key).eqNullSafe(F.col("__last")), F.col(f"__peers_{m}")).otherwise(F.lit(0))
             joined = joined.withColumn(name, F.col(f"__before_{m}") + F.col(f"__local_{m}") + following)
         spare = [f"__{kind}_{m}" for kind in ("local", "before", "peers") for m in measures]
         return joined.drop("__last", *spare)
@@ -118,7 +118,10 @@ class Ordered:
         shared = {here["tail"] for here, after in zip(stretches, stretches[1:]) if here["tail"] == after["head"]}
         held = {}
         if shared:
-            parts = self._rows.filter(F.col(key).isin(list(shared))).groupBy(_PARTITION, F.col(key).alias("__key"))
+            wanted = F.col(key).isin([value for value in shared if value is not None])
+            if None in shared:
+                wanted = F.col(key).isNull() | wanted
+            parts = self._rows.filter(wanted).groupBy(_PARTITION, F.col(key).alias("__key"))
             found = parts.agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures]).collect()
             held = {(row[_PARTITION], row["__key"]): row for row in found}
         peers = [nothing]
@@ -170,11 +173,20 @@ def ntile_starts(n: int, tiles: int) -> list[int]:
     return [tile * base + min(tile, extra) for tile in range(1, tiles) if tile * base + min(tile, extra) < n]
 
 
+def _after(column: Column, value) -> Column:
+    """Whether the column comes after `value` in ascending order, where NULL comes first."""
+    return column.isNotNull() if value is None else F.coalesce(column > F.lit(value), F.lit(False))
+
+
+def _same(column: Column, value) -> Column:
+    return column.isNull() if value is None else column.eqNullSafe(F.lit(value))
+
+
 def ntile_of(key: Column, tie: Column, starts: Iterable[Cut]) -> Column:
-    """Tile number of a row, given the (key, tie) that opens each later tile."""
+    """Tile number of a row, given the (key, tie) that opens each later tile; NULL comes first."""
     tile = F.lit(1)
     for first_key, first_tie in starts:
-        reached = (key > F.lit(first_key)) | ((key == F.lit(first_key)) & (tie >= F.lit(first_tie)))
+        reached = _after(key, first_key) | (_same(key, first_key) & (_after(tie, first_tie) | _same(tie, first_tie)))
         tile = tile + F.when(reached, 1).otherwise(0)
     return tile
 

@@ -8,6 +8,7 @@ when none needs the country).
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ LINE_PREFERENCE = (
     "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
 )
 
+# Device and traffic-source names, segment names.
 DEVICES = {3: "Desktop", 4: "Tablet"}
 TRAFFIC_SOURCES = ("Organic Search", "Paid Search", "Social Media", "Email", "Direct", "Referral")
 SEGMENTS = {"BUILDING": "Premium", "AUTOMOBILE": "Regular", "MACHINERY": "Occasional", "HOUSEHOLD": "At-Risk"}
@@ -40,13 +42,20 @@ class StarSchema:
         """Every order line, copies included."""
         return self._table("lineitem")
 
-    def single_lines(self) -> DataFrame:
-        return one_per_key(self.lines().select(*LINE_KEY, *LINE_PREFERENCE), LINE_KEY, LINE_PREFERENCE)
+    def single_lines(self, orders: DataFrame | None = None) -> DataFrame:
+        """One row per line; given some orders, only lines of those, chosen before copies are reduced.
 
-    def _as_transactions(self, lines: DataFrame, with_category: bool) -> DataFrame:
+        The order is part of a line's key, so the copy that is kept is the same.
+        """
+        lines = self.lines().select(*LINE_KEY, *LINE_PREFERENCE)
+        if orders is not None:
+            lines = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+        return one_per_key(lines, LINE_KEY, LINE_PREFERENCE)
+
+    def _as_transactions(self, lines: DataFrame, with_category: bool, orders: DataFrame | None = None) -> DataFrame:
         price = F.col("l_extendedprice").cast("decimal(12,2)")
         discount = F.col("l_discount").cast("decimal(4,2)")
-        orders = self._table("orders")
+        orders = self._table("orders") if orders is None else orders
         joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left")
         columns = [
             F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("transaction_id"),
@@ -67,9 +76,17 @@ class StarSchema:
         """Transactions before cleaning: an id can occur more than once."""
         return self._as_transactions(self.lines(), with_category=True)
 
-    def transactions(self, with_category: bool = False) -> DataFrame:
-        """One row per transaction_id."""
-        return self._as_transactions(self.single_lines(), with_category)
+    def transactions(self, with_category: bool = False, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+        """One row per transaction_id, of orders from `start` to `end` (both included, either open)."""
+        if start is None and end is None:
+            return self._as_transactions(self.single_lines(), with_category)
+        day = F.col("o_orderdate").cast("date")
+        orders = self._table("orders")
+        if start is not None:
+            orders = orders.filter(day >= F.lit(start))
+        if end is not None:
+            orders = orders.filter(day <= F.lit(end))
+        return self._as_transactions(self.single_lines(orders), with_category, orders)
 
     def customers(self, with_country: bool = False) -> DataFrame:
         key = F.col("c_custkey")

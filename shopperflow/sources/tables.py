@@ -6,10 +6,11 @@ import datetime as dt
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.durable import modified
 from ..schemas import CUSTOMERS, SESSIONS, TRANSACTIONS
 
 log = logging.getLogger(__name__)
@@ -17,12 +18,60 @@ log = logging.getLogger(__name__)
 Day = dt.date | str | None
 
 
+def _text(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("header", True).csv(path)
+
+
+def _value(column: str, kind: T.DataType) -> Column:
+    """A cell as its declared type, NULL if it cannot be read as that; whole numbers may be written 2.0."""
+    cell = F.trim(F.col(f"`{column}`"))
+    if isinstance(kind, T.IntegerType):
+        number = cell.try_cast("decimal(30,6)")
+        return F.when(number == F.floor(number), number).try_cast("int")
+    if isinstance(kind, T.DateType):
+        return cell.try_cast("date")
+    return cell.try_cast(kind)
+
+
+def _kinds(text: DataFrame, schema: T.StructType) -> dict[str, T.DataType]:
+    """Declared types of the columns a file has; a date column that holds times of day is a timestamp."""
+    kinds = {f.name: f.dataType for f in schema.fields if f.name in text.columns and not isinstance(f.dataType, T.StringType)}
+    days = [name for name, kind in kinds.items() if isinstance(kind, T.DateType)]
+    if days:
+        longest = text.agg(*[F.max(F.length(F.trim(F.col(f"`{d}`")))).alias(d) for d in days]).first()
+        kinds.update({d: T.TimestampNTZType() for d in days if (longest[d] or 0) > len("2000-01-01")})
+    return kinds
+
+
 def _csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    # Columns are matched to the header by name below, as files may lack or reorder columns.
-    header = spark.read.option("header", True).csv(path).columns
-    kinds = {field.name: field.dataType for field in schema.fields}
-    stored = T.StructType([T.StructField(name, kinds.get(name, T.StringType())) for name in header])
-    return spark.read.option("header", True).option("enforceSchema", False).schema(stored).csv(path)
+    # Columns are matched to the header by name, as files may lack or reorder columns.
+    text = _text(spark, path)
+    kinds = _kinds(text, schema)
+    return text.select(*[(_value(c, kinds[c]) if c in kinds else F.col(f"`{c}`")).alias(c) for c in text.columns])
+
+
+def bad_cells(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """column, bad_cells, example: cells of a CSV table that hold something, but not of the declared type."""
+    text = _text(spark, f"{folder}/{table}.csv")
+    kinds = _kinds(text, _SCHEMAS[table])
+
+    def lost(name: str) -> Column:
+        return (F.trim(F.col(f"`{name}`")) != "") & _value(name, kinds[name]).isNull()
+
+    pairs = [F.struct(F.lit(n).alias("column"), F.when(lost(n), F.col(f"`{n}`")).alias("cell")) for n in kinds]
+    cells = text.select(F.explode(F.array(*pairs)).alias("c")).select("c.*")
+    found = cells.groupBy("column").agg(F.count("cell").alias("bad_cells"), F.min("cell").alias("example"))
+    return found.orderBy("column")
+
+
+def warn_about_bad_cells(spark: SparkSession, folder: str, table: str, strict: bool = False) -> dict[str, int]:
+    """Logs how many cells of each column become NULL because they cannot be read; raises if `strict`."""
+    found = {r["column"]: r["bad_cells"] for r in bad_cells(spark, folder, table).filter("bad_cells > 0").collect()}
+    if found and strict:
+        raise ValueError(f"{table}: unreadable cells in {found}")
+    if found:
+        log.warning("%s: unreadable cells, read as NULL, in %s", table, found)
+    return found
 
 
 def within(df: DataFrame, column: str, start: Day = None, end: Day = None) -> DataFrame:
@@ -58,6 +107,7 @@ def read_sessions(spark: SparkSession, folder: str, start: Day = None, end: Day
     return within(sessions, "session_date", start, end)
 
 
+_SCHEMAS = {"customers": CUSTOMERS, "transactions": TRANSACTIONS, "sessions": SESSIONS}
 # table -> date column it is laid out by, and id
 _DATED = {"transactions": ("order_date", "transaction_id"), "sessions": ("session_date", "session_id")}
 
@@ -77,10 +127,31 @@ def land_table(df: DataFrame, parquet_folder: str, table: str) -> None:
     months.write.mode("overwrite").partitionBy("month_start").parquet(path)
 
 
-def land(spark: SparkSession, csv_folder: str, parquet_folder: str) -> None:
-    """Lands all three CSV tables."""
-    for table, read in (("customers", read_customers), ("transactions", read_transactions), ("sessions", read_sessions)):
-        land_table(read(spark, csv_folder), parquet_folder, table)
+_READERS = {"customers": read_customers, "transactions": read_transactions, "sessions": read_sessions}
+
+
+def land(spark: SparkSession, csv_folder: str, parquet_folder: str, strict: bool = False) -> None:
+    """Lands all three CSV tables; cells that cannot be read are logged, or refused if `strict`."""
+    for table in _READERS:
+        _land_one(spark, csv_folder, parquet_folder, table, strict)
+
+
+def _land_one(spark: SparkSession, csv_folder: str, parquet_folder: str, table: str, strict: bool) -> None:
+    df = _READERS[table](spark, csv_folder)
+    if modified(spark, f"{csv_folder}/{table}.csv") is not None:
+        warn_about_bad_cells(spark, csv_folder, table, strict)
+    land_table(df, parquet_folder, table)
+
+
+def land_news(spark: SparkSession, csv_folder: str, parquet_folder: str, strict: bool = False) -> list[str]:
+    """Lands the tables whose CSV is newer than what has been landed, and names them."""
+    news = []
+    for table in _READERS:
+        landed_at = modified(spark, f"{parquet_folder}/{table}/_SUCCESS")
+        if landed_at is None or (modified(spark, f"{csv_folder}/{table}.csv") or 0) > landed_at:
+            _land_one(spark, csv_folder, parquet_folder, table, strict)
+            news.append(table)
+    return news
 
 
 def landed(spark: SparkSession, parquet_folder: str, table: str, start: Day = None, end: Day = None) -> DataFrame:

@@ -1,3 +1,4 @@
+import datetime as dt
 import math
 import random
 
@@ -14,22 +15,21 @@ THRESHOLD = 20
 
 @pytest.fixture(scope="module")
 def shop(orders, people, visits):
-    """500 orders, 12 hours apart in the real thing; here by day, of 50 customers."""
-    r = random.Random(42)
-    ids = [f"CUST{i:04d}" for i in range(1, 51)]
-    made = orders(*[
-        (
-            f"TXN{i:06d}", r.choice(ids), f"2023-{1 + i // 63:02d}-{1 + i % 28:02d}", round(r.lognormvariate(5, 1), 2),
-            r.choices(["Completed", "Returned", "Cancelled"], [0.85, 0.08, 0.07])[0], r.choice(["Electronics", "Clothing", "Books"]), round(r.uniform(0, 40), 1),
-        )
-        for i in range(500)
-    ])
+    """60 shoppers in three habits: weekly, monthly, and gone since spring. All values follow from their numbers."""
+    made, number = [], 0
+    for who in range(60):
+        gap, last = ((9, 8 + who % 11), (30, 15 + who % 23), (17, 60 + 2 * (who % 40)))[who % 3]
+        for back in range(last, 240, gap + who % 4):
+            number += 1
+            status = "Returned" if number % 13 == 0 else "Cancelled" if number % 17 == 0 else "Completed"
+            day = dt.date.fromisoformat(TODAY) - dt.timedelta(days=back)
+            made.append((f"o-{number}", f"shopper-{who}", day.isoformat(), 20 + (37 * number) % 480, status, ("Garden", "Tools", "Paint", "Light")[number % 4], number % 25))
     known = people(*[
-        (c, r.choice(["Premium", "Regular"]), f"2022-{1 + i % 12:02d}-01", 1, r.choice(["Male", "Female"]), r.choice(["India", "USA", "UK"]), r.randint(18, 64))
-        for i, c in enumerate(ids)
+        (f"shopper-{who}", ("Gold", "Plain")[who % 2], f"2021-{1 + who % 12:02d}-15", 5 * who, ("F", "M", "X")[who % 5 % 3], ("Peru", "Kenya", "Norway", "Japan")[who % 7 % 4], 20 + who)
+        for who in range(60)
     ])
-    seen = visits(*[(f"s{i}", r.choice(ids[:20]), "Email", "Mobile", r.randint(1, 5), r.randint(1, 99), r.random() < 0.2) for i in range(60)])
-    return known, made, seen
+    seen = visits(*[(f"v{i}", f"shopper-{i % 25}", "Direct", "Tablet", 1 + i % 6, 15 * i, i % 5 == 0) for i in range(75)])
+    return known, orders(*made), seen
 
 
 @pytest.fixture(scope="module")
@@ -59,13 +59,34 @@ def test_features_of_one_customer(orders, people, visits):
 
 def test_one_hot_drops_the_first_value(spark):
     df = spark.createDataFrame([("M",), ("F",), (None,)], "gender string")
-    assert [r["gender_M"] for r in cf.one_hot(df, ["gender"]).collect()] == [1, 0, 0]
+    assert [r["gender_M"] for r in cf.one_hot(df, cf.category_lists(df, ["gender"])).collect()] == [1, 0, 0]
+
+
+def test_one_hot_with_given_lists(spark):
+    df = spark.createDataFrame([("M",), ("new",)], "gender string")
+    found = cf.one_hot(df, {"gender": ["F", "M", "X"]})
+    assert found.columns == ["gender_M", "gender_X"] and [tuple(r) for r in found.collect()] == [(1, 0), (0, 0)]
+
 
+def test_many_categories_are_kept(spark):
+    df = spark.range(2500).selectExpr("cast(id as string) as gender")
+    assert len(cf.category_lists(df, ["gender"])["gender"]) == 2500
 
-def test_one_hot_refuses_endless_categories(spark, monkeypatch):
-    monkeypatch.setattr(cf, "MOST_CATEGORIES", 3)
-    with pytest.raises(ValueError, match="too many"):
-        cf.one_hot(spark.range(5).selectExpr("cast(id as string) as gender"), ["gender"])
+
+def test_saved_model_scores_tables_with_other_categories(spark, shop, tmp_path):
+    known, made, seen = shop
+    table = cf.customer_features(known, made, seen, TODAY, THRESHOLD).cache()
+    model = churn_model.train(table, "lr", cross_validate=False)
+    model.save(str(tmp_path / "m"))
+    loaded = churn_model.ChurnModel.load(spark, str(tmp_path / "m"))
+    assert (loaded.kind, loaded.columns, loaded.lists) == (model.kind, model.columns, model.lists)
+    expected = {r[0]: r[1] for r in model.probabilities(table).collect()}
+    some = table.filter("country = 'Peru'")  # alone, Peru would be the category that is dropped
+    assert {r[0]: r[1] for r in loaded.probabilities(some).collect()} == {k: expected[k] for k in [r[0] for r in some.select("customer_id").collect()]}
+    elsewhere = table.withColumn("country", cf.F.lit("Atlantis")).drop("age")
+    assert all(0 <= r[1] <= 1 for r in loaded.probabilities(elsewhere).collect())
+    with pytest.raises(ValueError):
+        loaded.metrics()
 
 
 def test_sessions_are_optional(shop):
@@ -103,7 +124,7 @@ def test_cross_validated_area_comes_from_the_folds(features):
     assert model.cv_areas == pytest.approx((mean, spread), abs=1e-6)
 
 
-@pytest.mark.parametrize("kind", ["lr", "rf"])
+@pytest.mark.parametrize("kind", ["lr", "rf", "gbm"])
 def test_models(features, kind, tmp_path):
     model = churn_model.train(features, kind)
     assert "recency_days" not in model.columns
@@ -129,6 +150,12 @@ def test_the_leaking_input_separates_the_classes(features):
     assert {r["metric"]: r["value"] for r in model.metrics().collect()}["roc_auc"] > 0.95
 
 
+def test_area_of_very_many_rows(spark):
+    """Counts whose product passes the range of a long."""
+    df = spark.createDataFrame([(4_000_000_000, 9_000_000_000, 5_000_000_000)], "neg long, tp long, pos long")
+    assert int(df.select(evaluation._twice_area("neg", "tp", "pos")).first()[0]) == 4_000_000_000 * 13_000_000_000
+
+
 def test_unknown_model(features):
     with pytest.raises(ValueError):
         churn_model.train(features, "svm", cross_validate=False)

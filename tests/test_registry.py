@@ -11,12 +11,16 @@ FITTED = {
 }
 
 
+# The operators for training text have tests of their own.
+REPORTS = set(registry._REPORTS)
+
+
 def test_only_fitted_models_lack_a_counterpart():
-    assert set(registry.queries()) - set(registry.oracle_sql()) == FITTED
+    assert REPORTS - set(registry.oracle_sql()) == FITTED
     assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(REPORTS & set(registry.oracle_sql())))
 def test_equals_duckdb(spark, sf_dir, name):
     assert difference(spark, sf_dir, name) is None
 

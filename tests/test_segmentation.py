@@ -101,3 +101,20 @@ def test_scaled_features_have_mean_0_and_deviation_1(orders):
         values = [r[axis] for r in found]
         assert abs(sum(values)) < 1e-4
         assert abs(sum(v * v for v in values) / len(values) - 1) < 1e-4
+
+
+def test_unknown_revenue_ranks_last(orders, people):
+    made = orders(*[(f"t{i}", f"c{i}", "2024-01-01", None if i == 3 else 10 * (i + 1), "Completed") for i in range(6)])
+    known = people(*[(f"c{i}", "R", "2023-01-01", 1) for i in range(6)])
+
+    def found(**kw):
+        return [(r["customer_id"], r["rank_num"]) for r in segmentation.pareto_customers(made, known, **kw).collect()]
+
+    ranked = [("c5", 1), ("c4", 2), ("c2", 3), ("c1", 4), ("c0", 5), ("c3", 6)]
+    assert found(top_n=2000) == found(top_n=6) == ranked and found(top_n=5) == ranked[:5] and found(top_n=0) == []
+
+
+def test_fifths_with_unknown_amounts(orders):
+    made = orders(*[(f"t{i}", f"c{i}", "2024-01-01", None if i < 4 else i, "Completed") for i in range(10)])
+    scores = segmentation.rfm_ntile_scores(made, "2024-02-01").orderBy("customer_id")
+    assert [r["m_score"] for r in scores.collect()] == [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]

@@ -69,3 +69,24 @@ def test_distinct_orders_of_a_hot_customer(lopsided):
     twice = lopsided.union(lopsided)
     found = rows(churn_reports.churn_status_summary(twice, known, "2024-01-01"))
     assert sum(r[1] * r[2] for r in found) == pytest.approx(ROWS, abs=0.05 * sum(r[1] for r in found))
+
+
+def largest_share(df):
+    """Rows of the largest shuffle partition over all rows."""
+    sizes = [r[0] for r in df.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    return max(sizes) / sum(sizes)
+
+
+def test_a_shared_value_is_spread_over_tasks(spark, lopsided):
+    from shopperflow.plans.ordering import Ordered
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        ordered = Ordered(lopsided.select("total_amount", "transaction_id"), "total_amount", "transaction_id")
+        assert largest_share(ordered.rows) < 0.15  # a third of the rows have one value
+        reduced = lopsided.groupBy("customer_id", F.spark_partition_id()).count()
+        assert reduced.filter("customer_id = 'hot'").count() == lopsided.rdd.getNumPartitions()  # what the hot customer shuffles
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 from pathlib import Path
 
 import pytest
@@ -119,3 +120,71 @@ def test_churn_job(spark, orders, people, tmp_path):
     model = jobs.train_churn(known, made, None, str(tmp_path), "lr", "2024-07-01")
     assert (tmp_path / "churn_model_lr").exists() and "roc_auc" in text_of(tmp_path / "churn_metrics_lr.csv")
     assert model.kind == "lr"
+
+
+BAD = """transaction_id,customer_id,order_date,quantity,total_amount,status
+t1,c1,2024-01-01 13:00:00,2.0,10.50,Completed
+t2,c1,01/02/2024,1.5,abc,Completed
+t3,c2,2024-01-03 00:00:00,,,Completed
+t4,c2,,3,5,Completed
+"""
+
+
+def test_bad_cells_are_counted(spark, tmp_path, caplog):
+    (tmp_path / "transactions.csv").write_text(BAD)
+    found = {r["column"]: (r["bad_cells"], r["example"]) for r in tables.bad_cells(spark, str(tmp_path), "transactions").collect()}
+    assert found == {"order_date": (1, "01/02/2024"), "quantity": (1, "1.5"), "total_amount": (1, "abc")}
+    with caplog.at_level("WARNING"):
+        assert tables.warn_about_bad_cells(spark, str(tmp_path), "transactions") == {"order_date": 1, "quantity": 1, "total_amount": 1}
+    assert "unreadable" in caplog.text
+    with pytest.raises(ValueError, match="total_amount"):
+        tables.warn_about_bad_cells(spark, str(tmp_path), "transactions", strict=True)
+
+
+def test_times_of_day_are_kept(spark, tmp_path):
+    (tmp_path / "transactions.csv").write_text(BAD)
+    rows = {r["transaction_id"]: r for r in tables.read_transactions(spark, str(tmp_path)).collect()}
+    assert rows["t1"]["order_date"] == dt.datetime(2024, 1, 1, 13) and rows["t1"]["quantity"] == 2
+    assert rows["t2"]["order_date"] is None and rows["t2"]["quantity"] is None and rows["t4"]["quantity"] == 3
+
+
+def test_only_newer_files_are_landed_again(spark, folder, tmp_path):
+    out = str(tmp_path / "home")
+    assert tables.land_news(spark, folder, out) == ["customers", "transactions", "sessions"]
+    assert tables.land_news(spark, folder, out) == []
+    path = Path(folder) / "customers.csv"
+    path.write_text(CUSTOMERS + "c3,Cem,c@x.org,Rome,Italy,2024-01-21,32,Male,Regular,2.00\n")
+    os.utime(path, (path.stat().st_mtime + 5,) * 2)
+    assert tables.land_news(spark, folder, out) == ["customers"] and tables.landed(spark, out, "customers").count() == 3
+
+
+def test_job_reads_the_landed_months(spark, folder, tmp_path, monkeypatch):
+    out, plans = tmp_path / "out", []
+    within = tables.landed
+
+    def noted(*args, **kw):
+        df = within(*args, **kw)
+        if len(args) > 3:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(tables, "landed", noted)
+    jobs.main(["--data", folder, "--out", str(out), "--snapshot", "2024-01-31", "--weekly"])
+    assert len(plans) == 1 and "PartitionFilters: [isnotnull(month_start" in plans[0]
+    assert json.loads(text_of(out / "summary_week05.json"))["revenue"] == 29.0
+
+
+def test_nothing_is_left_behind(spark, sf_dir):
+    import __spark_entry__ as registry
+    from shopperflow.plans import durable
+
+    durable.ensure_checkpoint_dir(spark)
+    home = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    for name in ("landed_window", "customers_from_csv", "churn_proba_reloaded"):
+        assert registry.queries()[name](spark, sf_dir).count() > 0
+    assert not [p.name for p in home.iterdir() if p.name.startswith(("landed-", "delivered-", "model-"))]
+
+
+def test_work_folder_is_in_the_warehouse_unless_named():
+    text = Path(jobs.__file__).parent.joinpath("plans/durable.py").read_text()
+    assert "tempfile" not in text and "spark.sql.warehouse.dir" in text
