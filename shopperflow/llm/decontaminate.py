@@ -3,7 +3,7 @@
 A-Z become a-z and every other ASCII character but digits and letters separates words; characters
 outside ASCII belong to words. A window is `size` consecutive words of an item, or the whole item if
 it has fewer (but not none). The automaton holds every distinct window, framed by separators, and
-reads each document once; the separators before a match tell which words it covers, and the places of
+reads each document once (a benchmark beyond PART_BYTES goes in parts, each its own automaton and scan); the separators before a match tell which words it covers, and the places of
 those words in the original text tell which characters.
 
 Defined results: null or empty texts have no words and no hits; items without words have no window;
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from functools import reduce
 
 import ahocorasick
 import numpy as np
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import annotated, texts_of
+from .arrays import annotated, folder_of, mapped, texts_of
 
 #: A-z and 0-9 stay, A-Z are lowered, other ASCII separates, bytes over 0x7F stay.
 _FOLD = bytes(
@@ -30,8 +31,9 @@ _FOLD = bytes(
 )
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 SIZE = 10
-#: An automaton takes about 100 bytes for a byte of its windows; beyond this many, documents are read by several.
-WINDOW_BYTES = 1 << 21
+#: Text of items that go into one automaton (windows of them take about ten times as much, their automaton
+#: about a hundred bytes for a byte of its windows); of a larger benchmark, the parts are scanned one by one.
+PART_BYTES = 1 << 19
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -50,22 +52,17 @@ class Automata:
     def __init__(self, windows: dict[bytes, tuple[int, list[str]]]):
         """windows: text -> number of words, ids of the items that have it."""
         self.windows = windows
-        self._made: list | None = None
+        self._made: ahocorasick.Automaton | None = None
 
     def __getstate__(self):
         return {"windows": self.windows, "_made": None}
 
-    def made(self) -> list:
+    def made(self) -> ahocorasick.Automaton:
         if self._made is None:
-            self._made, automaton, held = [], None, 0
+            self._made = ahocorasick.Automaton()
             for number, (window, (length, _)) in enumerate(self.windows.items()):
-                if automaton is None or held > WINDOW_BYTES:
-                    automaton, held = ahocorasick.Automaton(), 0
-                    self._made.append(automaton)
-                automaton.add_word(f" {window.decode('latin-1')} ", (number, length))
-                held += len(window)
-            for automaton in self._made:
-                automaton.make_automaton()
+                self._made.add_word(f" {window.decode('latin-1')} ", (number, length))
+            self._made.make_automaton()
             self._items = [items for _, items in self.windows.values()]
         return self._made
 
@@ -76,11 +73,11 @@ class Automata:
             return 0, None, set()
         line = " " + b" ".join(words).decode("latin-1") + " "  # one character a byte
         ends, lengths, found = [], [], set()
-        for automaton in self.made():
-            for end, (number, length) in automaton.iter(line):
-                ends.append(end)
-                lengths.append(length)
-                found.add(number)
+        automaton = self.made()
+        for end, (number, length) in automaton.iter(line) if self.windows else ():
+            ends.append(end)
+            lengths.append(length)
+            found.add(number)
         if not ends:
             return len(words), None, set()
         spaces = np.flatnonzero(np.frombuffer(line.encode("latin-1"), np.uint8) == 32)
@@ -90,45 +87,92 @@ class Automata:
         np.add.at(steps, last, -1)
         return len(words), np.cumsum(steps[:-1]) > 0, {i for n in found for i in self._items[n]}
 
-    def spans(self, text: bytes) -> list[tuple[int, int]]:
-        """Byte ranges of the original text that hit words cover, neighbouring words joined."""
-        _, hit, _ = self.scan(text)
-        if hit is None:
-            return []
-        out: list[tuple[int, int]] = []
-        for i, m in enumerate(_WORD.finditer(text)):
-            if hit[i]:
-                out[-1:] = [(out[-1][0], m.end())] if i and hit[i - 1] else [*out[-1:], m.span()]
-        return out
 
+def spans(text: bytes, hit: np.ndarray | None) -> list[tuple[int, int]]:
+    """Byte ranges of the original text that hit words cover, neighbouring words joined."""
+    if hit is None:
+        return []
+    out: list[tuple[int, int]] = []
+    for i, m in enumerate(_WORD.finditer(text)):
+        if hit[i]:
+            out[-1:] = [(out[-1][0], m.end())] if i and hit[i - 1] else [*out[-1:], m.span()]
+    return out
 
-def automata(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", size: int = SIZE) -> Automata:
-    """Of the benchmark's distinct windows. Raises ValueError if they are too many to go to every worker."""
+
+def automata(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", size: int = SIZE) -> list[Automata]:
+    """Of the benchmark's distinct windows: one, or if the items have more than PART_BYTES of text one for
+    each part of them, dealt by hash."""
     items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).distinct()
-    if items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0] > 16 * WINDOW_BYTES:
-        raise ValueError("the benchmark is too large for one automaton: pass it in parts")
+    held = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+    parts = max(1, -(-held // PART_BYTES))
+    part = F.pmod(F.xxhash64("i", "t"), F.lit(parts))
+    return [_automata(items.where(part == n).collect(), size) for n in range(parts)]
+
+
+def _automata(rows: list, size: int) -> Automata:
     held: dict[bytes, tuple[int, set[str]]] = {}
-    for row in items.collect():  # at most 16 * WINDOW_BYTES of text
+    for row in rows:
         words = words_of((row.t or "").encode())
         for window in windows_of(words, size):
             held.setdefault(window, (min(size, len(words)), set()))[1].update([row.i] if row.i is not None else [])
     return Automata({w: (n, sorted(items)) for w, (n, items) in sorted(held.items())})
 
 
-def contaminated(documents: DataFrame, found: Automata, text: str = "text", passed: list[str] | None = None) -> DataFrame:
+SCHEMA = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, hit_spans array<struct<start:long,stop:long>>"
+
+
+def _columns(texts: list[bytes], scans: list[tuple[int, np.ndarray | None, set[str]]]) -> dict:
+    out: dict[str, list] = {k: [] for k in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans")}
+    for t, (n, hit, items) in zip(texts, scans):
+        hits = 0 if hit is None else int(hit.sum())
+        digest = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+        places = [{"start": s, "stop": e} for s, e in spans(t, hit)]
+        for k, v in zip(out, (n, hits, len(items), digest, hits > 0, places)):
+            out[k].append(v)
+    return out
+
+
+def contaminated(documents: DataFrame, found: list[Automata], text: str = "text", passed: list[str] | None = None) -> DataFrame:
     """Adds n_words, n_hit, n_items, items_sha256, contaminated and the byte ranges hit_spans."""
-    shared = documents.sparkSession.sparkContext.broadcast(found)  # bounded in automata()
+    if len(found) > 1:
+        return _by_parts(documents, found, text, passed)
+    shared = documents.sparkSession.sparkContext.broadcast(found[0])  # PART_BYTES of items at most
 
     def make(part: pa.RecordBatch) -> dict:
-        a, out = shared.value, {k: [] for k in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans")}
-        for t in texts_of(part.column("__text")):
-            n, hit, items = a.scan(t)
-            hits = 0 if hit is None else int(hit.sum())
-            joined = ",".join(sorted(items))
-            for k, v in zip(out, (n, hits, len(items), hashlib.sha256(joined.encode()).hexdigest(), hits > 0, [
-                {"start": s, "stop": e} for s, e in (a.spans(t) if hits else [])])):
-                out[k].append(v)
-        return out
-
-    schema = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, hit_spans array<struct<start:long,stop:long>>"
-    return annotated(documents, text, make, schema, passed)
+        texts = texts_of(part.column("__text"))
+        return _columns(texts, [shared.value.scan(t) for t in texts])
+
+    return annotated(documents, text, make, SCHEMA, passed)
+
+
+def _by_parts(documents: DataFrame, found: list[Automata], text: str, passed: list[str] | None) -> DataFrame:
+    """One scan of the texts for each part; only hits are kept, and brought together by the hash of the text."""
+    spark = documents.sparkSession
+    key = F.struct(F.xxhash64(text).alias("a"), F.md5(text).alias("b"))
+    keyed = documents.select(F.col(text).alias("text"), key.alias("key"))
+    hits = []
+    for one in found:
+        shared = spark.sparkContext.broadcast(one)
+
+        def make(part: pa.RecordBatch, shared=shared) -> dict | None:
+            scans = [shared.value.scan(t) for t in texts_of(part.column("text"))]
+            at = [i for i, (_, hit, _) in enumerate(scans) if hit is not None]
+            return {"key": part.column("key").take(pa.array(at)), "hit": [np.flatnonzero(scans[i][1]) for i in at],
+                    "items": [sorted(scans[i][2]) for i in at]} if at else None
+
+        hits.append(folder_of(mapped(keyed, "text", make, "key struct<a:long,b:string>, hit array<int>, items array<string>")))
+        shared.unpersist()
+    together = reduce(DataFrame.unionByName, hits).distinct().groupBy(F.col("key").alias("__key"))
+    together = together.agg(F.flatten(F.collect_list("hit")).alias("__hit"), F.flatten(F.collect_list("items")).alias("__items"))
+    joined = documents.withColumn("__key", key).join(together, "__key", "left").drop("__key")
+
+    def whole(part: pa.RecordBatch) -> dict:
+        texts, scans = texts_of(part.column("__text")), []
+        for t, at, items in zip(texts, part.column("__hit").to_pylist(), part.column("__items").to_pylist()):
+            n = len(words_of(t))
+            hit = np.zeros(n, bool)
+            hit[at or []] = True
+            scans.append((n, hit if at else None, set(items or ())))
+        return _columns(texts, scans)
+
+    return annotated(joined, text, whole, SCHEMA, passed, beside=("__hit", "__items"))

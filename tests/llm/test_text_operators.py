@@ -34,11 +34,12 @@ def hits(text, items):
 @pytest.mark.parametrize("several", [False, True])
 def test_decontamination(spark, docs, monkeypatch, several):
     if several:
-        monkeypatch.setattr(decontaminate, "WINDOW_BYTES", 40)
+        monkeypatch.setattr(decontaminate, "PART_BYTES", 100)
     items = [(10, prose(1, 25)), (9, "one two"), (9, "one two"), (8, "Two, THREE!"), (7, None), (6, "..."), (5, "é x ß"), (None, "alone here"), (4, prose(2, 10))]
     rows = [(1, None), (2, ""), (3, "x " + prose(1, 25).upper() + " y"), (4, "one-two three one two"), (5, "é x ß"), (6, "oneé two"),
             (7, prose(1, 25)[:90]), (8, prose(2, 10) + prose(1, 25)), (8, prose(2, 10) + prose(1, 25)), (9, "alone here"), (10, prose(4, 5000) + " one two")]
     found = decontaminate.automata(spark.createDataFrame(items, "item_id long, text string"))
+    assert (len(found) > 1) == several
     out = decontaminate.contaminated(docs(*rows), found)
     got = sorted((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in out.collect())
     assert got == sorted((i, *hits(t, items)) for i, t in rows)
