@@ -9,10 +9,15 @@ in them can be alike. In a tile, hashed bitmap signatures bound the overlap of t
 that only one of them has is a shingle the other lacks. What is left is compared exactly, by
 intersecting sorted arrays.
 
-A large group of near copies would still make many pairs, so this runs in two rounds. The first
-compares only neighbours by size in each group: near copies fall into one component in linear work. The
-second compares, in tiles, every two members that the first round has not connected. No pair of different
-components is left out, so the components are those of all links.
+A shingle's place in the order of its set bounds the overlap as well: two sets that meet first at places
+i and j lack i and j shingles of each other. A pair is compared in the group of the first shingle it
+shares, so a group may leave out pairs whose places in it do not allow a link.
+
+A large group of near copies would still make many pairs, so this runs in two rounds. The first compares
+each member of a group only with its neighbour by size and with the centres of its own and the next
+lower size band, the members with the fewest rare shingles: near copies fall into one component in linear
+work. The second compares, in tiles, every two members that the first round has not connected. No pair
+of different components is left out, so the components are those of all links.
 
 Texts are compared by 64-bit hashes of shingles, classes by 128 bits.
 
@@ -156,28 +161,28 @@ def described(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def _grouped(batches):
-    """Rows sorted by token and size: of tokens that two rows have, their rows, with the place in the group and the class before."""
-    names = ["token", "c", "n", "place", "before", "n_before"]
-    kept: list[np.ndarray] | None = None  # the last row, not yet given out: token, c, n, place, before, n_before
+    """Rows sorted by token and size: of tokens that two rows have, their rows, with the place in the group and the row before."""
+    names = ["token", "c", "n", "lead", "place", "before", "n_before", "lead_before"]
+    kept: list[np.ndarray] | None = None  # the last row, not yet given out
     for batch in batches:
         if not batch.num_rows:
             continue
-        token, c, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        token, c, n, lead = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
         if kept is not None:
-            token, c, n = np.append(kept[0], token), np.append(kept[1], c), np.append(kept[2], n)
+            token, c, n, lead = (np.append(old, new) for old, new in zip(kept, (token, c, n, lead)))
         opens = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         place = np.arange(len(token)) - np.repeat(opens, np.diff(np.append(opens, len(token))))
-        before, n_before = np.roll(c, 1), np.roll(n, 1)
+        before, n_before, lead_before = np.roll(c, 1), np.roll(n, 1), np.roll(lead, 1)
         if kept is not None:
-            place[: opens[1] if len(opens) > 1 else len(place)] += kept[3][0]
-            before[0], n_before[0] = kept[4][0], kept[5][0]
+            place[: opens[1] if len(opens) > 1 else len(place)] += kept[4][0]
+            before[0], n_before[0], lead_before[0] = (x[0] for x in kept[5:])
         after = np.append(token[1:] == token[:-1], False)
         give = (place > 0) | after
         give[-1] = False
         if give.any():
-            yield _rows([x[give] for x in (token, c, n, place, before, n_before)], names)
-        kept = [x[-1:] for x in (token, c, n, place, before, n_before)]
-    if kept is not None and kept[3][0] > 0:
+            yield _rows([x[give] for x in (token, c, n, lead, place, before, n_before, lead_before)], names)
+        kept = [x[-1:] for x in (token, c, n, lead, place, before, n_before, lead_before)]
+    if kept is not None and kept[4][0] > 0:
         yield _rows(kept, names)
 
 
@@ -202,7 +207,7 @@ def _meeting(percent: int):
             yield from pairs(held)
 
     def pairs(rows: pa.Table):
-        token, low, high, c, n, component, upper = (rows[k].to_numpy() for k in ("token", "low", "high", "c", "n", "component", "upper"))
+        token, low, high, c, n, lead, component, upper = (rows[k].to_numpy() for k in ("token", "low", "high", "c", "n", "lead", "component", "upper"))
         fresh = np.concatenate([[True], (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
         tile = np.cumsum(fresh)
         cross = low != high
@@ -211,7 +216,7 @@ def _meeting(percent: int):
             a = np.flatnonzero(tile[:-step] == tile[step:])
             b = a + step
             fits = (component[a] != component[b]) & (~cross[a] | (upper[a] != upper[b]))
-            fits &= 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
+            fits &= (100 + percent) * np.minimum(n[a] - lead[a], n[b] - lead[b]) >= percent * (n[a] + n[b])
             one.append(a[fits])
             two.append(b[fits])
         if not one:
@@ -275,21 +280,30 @@ def links(rows: DataFrame, documents: DataFrame, doc_id: str = "doc_id", text: s
         at = pa.array(np.flatnonzero(speakers.value.has(part.column("h").to_numpy().view(U64))))
         prefix = part.column("prefix").take(at)
         counts = np.diff(prefix.offsets.to_numpy())
+        leads = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         return {"token": prefix.flatten(), "c": np.repeat(part.column("c").take(at).to_numpy(), counts),
-                "n": np.repeat(part.column("n").take(at).to_numpy(), counts)}
+                "n": np.repeat(part.column("n").take(at).to_numpy(), counts), "lead": leads}
 
-    spread = mapped(some.select("c", "n", "prefix", F.xxhash64("doc_id").alias("h"), F.lit(b"").alias("none")), "none", tokens, "token long, c long, n int")
+    spread = mapped(some.select("c", "n", "prefix", F.xxhash64("doc_id").alias("h"), F.lit(b"").alias("none")), "none", tokens, "token long, c long, n int, lead int")
     spread = spread.repartition("token").sortWithinPartitions("token", "n", "c")
-    groups = folder_of(spread.mapInArrow(_grouped, "token long, c long, n long, place long, before long, n_before long"))
+    layout = "token long, c long, n long, lead long, place long, before long, n_before long, lead_before long"
+    groups = folder_of(spread.mapInArrow(_grouped, layout))
     signatures = some.groupBy("c").agg(F.first("n").alias("n"), F.first("signature").alias("signature"))
 
-    near = groups.where(f"place > 0 and c <> before and 100 * n_before >= {percent} * n")
+    may_link = f"{100 + percent} * least(n - lead, n_before - lead_before) >= {percent} * (n + n_before)"
+    beside = groups.where("place > 0")
+    bands = groups.withColumn("band", F.floor(F.log("n") / float(np.log(100 / percent))))
+    centres = bands.groupBy("token", "band").agg(F.min(F.struct("lead", "c", "n")).alias("m"))
+    centres = centres.select("token", "band", F.col("m.c").alias("before"), F.col("m.n").alias("n_before"), F.col("m.lead").alias("lead_before"))
+    bands = bands.select("token", "c", "n", "lead", F.explode(F.array("band", F.col("band") - 1)).alias("band"))
+    near = beside.select("c", "n", "lead", "before", "n_before", "lead_before").unionByName(bands.join(centres, ["token", "band"]).drop("token", "band"))
+    near = near.where("c <> before").where(may_link)
     near = near.select(F.least("c", "before").alias("a"), F.greatest("c", "before").alias("b")).distinct()
     first = _verified(_bounded(near, signatures, percent), documents, doc_id, text, percent, size)
 
     # Second round: tiles of members that are not connected yet. Groups of two have been compared.
     joined = components(first)
-    members = groups.select("token", "c", "n", "place").join(joined.withColumnRenamed("node", "c"), "c", "left")
+    members = groups.select("token", "c", "n", "lead", "place").join(joined.withColumnRenamed("node", "c"), "c", "left")
     members = members.withColumn("component", F.coalesce("component", "c")).withColumn("block", F.floor(F.col("place") / TILE))
     blocks = members.groupBy("token", "block").agg(
         F.min("component").alias("low_component"), F.max("component").alias("high_component"),
@@ -306,7 +320,7 @@ def links(rows: DataFrame, documents: DataFrame, doc_id: str = "doc_id", text: s
     ).select("token", F.col("one.block").alias("low"), F.col("two.block").alias("high"))
     ways = tiles.select("token", "low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
     met = members.join(ways, ["token", "block"]).join(signatures.select("c", "signature"), "c")
-    met = met.select("token", "low", "high", "c", "n", "component", (F.col("block") == F.col("high")).cast("int").alias("upper"), "signature")
+    met = met.select("token", "low", "high", "c", "n", "lead", "component", (F.col("block") == F.col("high")).cast("int").alias("upper"), "signature")
     met = met.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
     left = met.mapInArrow(_meeting(percent), "a long, b long").distinct()
     second = _verified(folder_of(left), documents, doc_id, text, percent, size)
