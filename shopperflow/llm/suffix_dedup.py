@@ -15,11 +15,12 @@ what stands at further offsets:
 
 Identifiers are hashes from running sums, so any offset costs the same and nothing is moved but numbers:
 64 bits where a coincidence costs only time, 128 bits where it decides. Counting is a plain aggregation, so
-a passage that a third of all texts share is reduced before it is shuffled.
+a passage that a third of all texts share is reduced before it is shuffled. Of texts that are equal as a
+whole only one takes part; the others are found by counting texts (named by 64 bits).
 
 Defined results: a null text is empty; texts shorter than `length` lose nothing; matches never cross
-documents but may overlap inside one; rows equal in id and text each count as an occurrence and lose the
-same bytes; a null doc_id is an id like others; empty tables give no rows.
+documents but may overlap inside one; rows with equal texts are copies of each other and lose everything
+(if long enough); a null doc_id is an id like others; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -31,11 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import U64, BitSet, Substrings, annotated, folder_of, mapped, mix, signed, texts_of
+from .arrays import U64, BitSet, Substrings, annotated, folder_of, mapped, signed, texts_of
 
 LENGTH = 400
 GRAM = 128
-STEP = 21
+STEP = 39
 BITS = 27
 
 
@@ -71,12 +72,17 @@ class Anchors:
 
     def steps(self, length: int, step: int) -> dict[str, np.ndarray]:
         """For each anchor and step: core (identifier of the common bytes), hull1, hull2 (of all bytes; 0 where
-        they would leave the text), name (of core and hull), lo..hi (the string starts)."""
+        they would leave the text), lo..hi (the string starts)."""
         least, most = (self.at - self.last) // step, (self.at - self.first) // step
         count = most - least + 1
         owner = np.repeat(np.arange(len(self.at)), count)
         k = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + least[owner]
         near = self.at[owner] - step * k  # the latest start of the step
+        # Two anchors may share a step, which is then one place, not two.
+        near, same = np.unique(near, return_inverse=True)
+        lo, hi = np.full(len(near), len(self.data)), np.full(len(near), -1)
+        np.minimum.at(lo, same, self.first[owner])
+        np.maximum.at(hi, same, self.last[owner])
         far = near - step + 1
         core = self.one.at(near, far + length)
         inside = (far >= 0) & (near + length <= len(self.data))
@@ -84,8 +90,8 @@ class Anchors:
         if inside.any():
             hull1[inside], hull2[inside] = self.strings(far[inside], near[inside] + length)
         return {
-            "core": core, "hull1": hull1, "hull2": hull2, "name": mix(core + hull1 * U64(0x9E3779B97F4A7C15)),
-            "lo": np.maximum(self.first[owner], far), "hi": np.minimum(self.last[owner], near),
+            "core": core, "hull1": hull1, "hull2": hull2,
+            "lo": np.maximum(lo, far), "hi": np.minimum(hi, near),
         }
 
 
@@ -96,78 +102,99 @@ def _collected(parts: list[dict[str, np.ndarray]]) -> dict | None:
     return {k: signed(v) if v.dtype == U64 else v for k, v in whole.items()}
 
 
-def spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, step: int = STEP, bits: int = BITS) -> DataFrame:
-    """row (xxhash64 of id and text), lo, hi: starts of repeated strings, in ranges that may overlap."""
-    spark = documents.sparkSession
-    rows = documents.where(F.octet_length(text) >= length).select(F.col(text).alias("text"), F.xxhash64(doc_id, text).alias("row"))
+def _text_key(text: str):
+    return F.xxhash64(text)
 
-    def buckets(part: pa.RecordBatch) -> dict:
-        return {"bucket": signed(np.concatenate([Anchors(t, length, gram).bucket for t in texts_of(part.column("text"))]))}
 
-    grams = mapped(rows.select("text"), "text", buckets, "bucket long").groupBy("bucket").agg(F.count("*").alias("n"))
+def spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, step: int = STEP, bits: int = BITS) -> DataFrame:
+    """key (hash of the text), lo, hi: starts of repeated strings, in ranges that may overlap.
+
+    Of equal texts one takes part; that they are repeated whole is seen by counting texts, which
+    `without_repeats` does.
+    """
+    spark = documents.sparkSession
+    rows = documents.where(F.octet_length(text) >= length).select(
+        F.col(text).alias("text"), _text_key(text).alias("key"), F.xxhash64(doc_id, text).alias("row")
+    )
+    speakers = rows.groupBy("key").agg(F.min("row").alias("row"))
+    # Should the set let a copy through, it is one more occurrence of what is repeated anyway.
+    speaking = spark.sparkContext.broadcast(BitSet.of(speakers, "row", bits))
+
+    def read(part: pa.RecordBatch):
+        speaks = speaking.value.has(part.column("row").to_numpy().view(U64))
+        for t, key, yes in zip(texts_of(part.column("text")), part.column("key").to_pylist(), speaks.tolist()):
+            if yes:
+                yield key, Anchors(t, length, gram)
+
+    def buckets(part: pa.RecordBatch) -> dict | None:
+        return _collected([{"bucket": found.bucket} for _, found in read(part)])
+
+    grams = mapped(rows, "text", buckets, "bucket long").groupBy("bucket").agg(F.count("*").alias("n"))
     shared = spark.sparkContext.broadcast(BitSet.of(grams.where("n > 1"), "bucket", bits))
 
-    def live(t: bytes) -> Anchors | None:
-        found = Anchors(t, length, gram)
-        again = shared.value.has(found.bucket)
-        if not again.any():
-            return None
-        found.kept(again)
-        return found
+    def live(part: pa.RecordBatch):
+        for key, found in read(part):
+            again = shared.value.has(found.bucket)
+            if again.any():
+                found.kept(again)
+                yield key, found, found.steps(length, step)
 
     def steps(part: pa.RecordBatch) -> dict | None:
-        out = []
-        for t, row in zip(texts_of(part.column("text")), part.column("row").to_pylist()):
-            if (found := live(t)) is not None:
-                held = found.steps(length, step)
-                out.append(held | {"row": np.full(len(held["lo"]), row, np.int64)})
-        return _collected(out)
+        return _collected([held | {"key": np.full(len(held["lo"]), key, np.int64)} for key, _, held in live(part)])
 
-    refined = folder_of(mapped(rows, "text", steps, "core long, hull1 long, hull2 long, name long, row long, lo int, hi int"))
-    stated = refined.groupBy("core", "hull1", "hull2", "name").agg(F.count("*").alias("n"))
+    refined = folder_of(mapped(rows, "text", steps, "core long, hull1 long, hull2 long, key long, lo int, hi int"))
+    stated = refined.groupBy("core", "hull1", "hull2").agg(F.count("*").alias("n"))
     stated = stated.withColumn("settled", F.expr("n > 1 and not (hull1 = 0 and hull2 = 0)"))
-    cores = stated.groupBy("core").agg(F.sum("n").alias("n"), F.every("settled").alias("settled"))
+    cores = stated.groupBy("core").agg(F.sum("n").alias("n"), F.every("settled").alias("settled")).where("n > 1")
+    stated = folder_of(stated.join(cores.select("core", F.col("settled").alias("core_settled")), "core"))
     # Settled as repeated: their hull occurs again.
-    whole = refined.join(stated.where("settled").select("hull1", "hull2").distinct(), ["hull1", "hull2"], "left_semi").select("row", "lo", "hi")
+    whole = refined.join(stated.where("settled").select("hull1", "hull2"), ["hull1", "hull2"], "left_semi").select("key", "lo", "hi")
     # Unsettled: strings of every step with such a core are compared, those of settled steps only to be met.
-    open_cores = folder_of(cores.where("n > 1 and not settled").select("core"))
-    cores_set = spark.sparkContext.broadcast(BitSet.of(open_cores, "core", bits))
-    open_names = stated.where("not settled").join(open_cores, "core", "left_semi").select("name")
-    names_set = spark.sparkContext.broadcast(BitSet.of(open_names, "name", bits))
+    unsettled = stated.where("not core_settled")
+    cores_set = spark.sparkContext.broadcast(BitSet.of(unsettled, "core", bits))
+    names = unsettled.where("not settled").select(F.col("core").bitwiseXOR(F.col("hull1")).alias("name"))
+    names_set = spark.sparkContext.broadcast(BitSet.of(names, "name", bits))
 
     def strings(part: pa.RecordBatch) -> dict | None:
         out = []
-        for t, row in zip(texts_of(part.column("text")), part.column("row").to_pylist()):
-            if (found := live(t)) is None:
-                continue
-            held = found.steps(length, step)
+        for key, found, held in live(part):
             at = np.flatnonzero(cores_set.value.has(held["core"]))
             if not len(at):
                 continue
             count = held["hi"][at] - held["lo"][at] + 1
             start = np.repeat(held["lo"][at] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            asked = np.repeat(names_set.value.has((held["core"] ^ held["hull1"])[at]), count)
+            start, same = np.unique(start, return_inverse=True)  # each start once, whatever steps name it
+            wanted = np.bincount(same, asked) > 0
             one, two = found.strings(start, start + length)
-            wanted = np.repeat(names_set.value.has(held["name"][at]), count)
-            out.append({"s1": one, "s2": two, "row": np.full(len(start), row, np.int64), "lo": start, "wanted": wanted})
+            out.append({"s1": one, "s2": two, "key": np.full(len(start), key, np.int64), "lo": start, "wanted": wanted})
         return _collected(out)
 
-    compared = folder_of(mapped(rows, "text", strings, "s1 long, s2 long, row long, lo int, wanted boolean"))
+    compared = folder_of(mapped(rows, "text", strings, "s1 long, s2 long, key long, lo int, wanted boolean"))
     again = compared.groupBy("s1", "s2").agg(F.count("*").alias("n"), F.max("wanted").alias("wanted")).where("n > 1 and wanted")
-    single = compared.where("wanted").join(again.select("s1", "s2"), ["s1", "s2"], "left_semi").select("row", "lo", F.col("lo").alias("hi"))
+    single = compared.where("wanted").join(again.select("s1", "s2"), ["s1", "s2"], "left_semi").select("key", "lo", F.col("lo").alias("hi"))
     return whole.unionByName(single)
 
 
 def without_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, step: int = STEP, bits: int = BITS) -> DataFrame:
     """All columns but the text; n_bytes, n_removed, n_spans, kept (the remaining bytes), kept_sha256."""
     found = spans(documents, doc_id, text, length, gram, step, bits)
-    found = found.groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("__spans"))
-    both = documents.withColumn("__row", F.xxhash64(doc_id, text)).join(found.withColumnRenamed("row", "__row"), "__row", "left").drop("__row")
+    found = found.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("__spans"))
+    # A text that occurs twice is repeated whole.
+    key = _text_key(text).alias("key")
+    long = documents.where(F.octet_length(text) >= length)
+    twice = long.select(key).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit(True).alias("__twice"))
+    marks = found.join(twice, "key", "full")
+    both = documents.withColumn("__key", _text_key(text)).join(marks.withColumnRenamed("key", "__key"), "__key", "left").drop("__key")
 
     def make(part: pa.RecordBatch) -> dict:
         out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept", "kept_sha256")}
-        for t, ranges in zip(texts_of(part.column("__text")), part.column("__spans").to_pylist()):
+        columns = (texts_of(part.column("__text")), part.column("__spans").to_pylist(), part.column("__twice").to_pylist())
+        for t, ranges, twice in zip(*columns):
             kept, runs = t, 0
-            if ranges:
+            if twice and len(t) >= length:
+                kept, runs = b"", 1
+            elif ranges:
                 steps = np.zeros(len(t) + 1, np.int64)
                 np.add.at(steps, [r["lo"] for r in ranges], 1)
                 np.add.at(steps, [r["hi"] + length for r in ranges], -1)
@@ -178,4 +205,4 @@ def without_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
                 out[k].append(v)
         return out
 
-    return annotated(both, text, make, "n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string", beside=("__spans",))
+    return annotated(both, text, make, "n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string", beside=("__spans", "__twice"))

@@ -31,7 +31,7 @@ def test_against_counting_all_strings(varied):
     assert found(varied) == brute([(r.doc_id, r.text) for r in varied.collect()], 400)
 
 
-@pytest.mark.parametrize("length, gram, step", [(40, 8, 5), (30, 16, 4), (30, 16, 1), (50, 50, 7)])
+@pytest.mark.parametrize("length, gram, step", [(40, 8, 5), (30, 16, 4), (30, 16, 1), (50, 50, 7), (120, 8, 9)])
 def test_other_sizes(varied, length, gram, step):
     rows = [(r.doc_id, r.text) for r in varied.collect()]
     assert found(varied, length=length, gram=gram, step=step) == brute(rows, length)
@@ -44,6 +44,12 @@ def test_edges_of_a_passage(docs):
     assert found(docs(*rows)) == brute(rows, 400)
 
 
+def test_repetitive_texts(docs):
+    rows = [(i, ("abcdefgh"[: 3 + i % 5] * 60)[i:] + prose(i, 6) + "xyz" * (5 * i)) for i in range(14)]
+    for length, gram, step in ((60, 8, 5), (60, 12, 3), (45, 4, 10)):
+        assert found(docs(*rows), length=length, gram=gram, step=step) == brute(rows, length)
+
+
 def test_a_filter_that_says_yes_too_often_changes_nothing(varied):
     assert found(varied, bits=7) == found(varied)
 
