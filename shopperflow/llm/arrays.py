@@ -154,7 +154,7 @@ def annotated(
 
 
 class BitSet:
-    """Which hashes occur, in 2**bits bits whatever their number: it may say yes wrongly, never no."""
+    """Which hashes occur, in at most 2**bits bits whatever their number: it may say yes wrongly, never no."""
 
     def __init__(self, words: np.ndarray, bits: int):
         self.words, self.mask = words, U64(2**bits - 1)
@@ -176,6 +176,10 @@ class BitSet:
         )
         words = np.zeros(2 ** (bits - 6), U64)
         words[found["word"].to_numpy()] = found["held"].to_numpy().view(U64)
+        # Fold while the set stays thin: what is sent to the workers follows the number of hashes.
+        while bits > 16 and np.bitwise_count(words).sum(dtype=np.int64) << 6 <= 1 << bits:
+            words = words[: len(words) // 2] | words[len(words) // 2 :]
+            bits -= 1
         return BitSet(words, bits)
 
 
