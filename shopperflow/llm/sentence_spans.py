@@ -30,7 +30,7 @@ from .arrays import BitSet, annotated, folder_of, mapped
 
 RUN = 3
 LEAST_WORDS = 12
-LONG_WORDS = 20
+LONG_WORDS = 18
 BITS = 27
 _CUT = re.compile(r"(?<=[.!?])\s+|\n\s*")
 
