@@ -21,7 +21,7 @@ from ..plans.durable import settle
 
 U64 = np.uint64
 #: Text handled at once inside a task; a longer single text is one chunk of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2_000_000
 
 _TABLES = [np.random.default_rng(seed).integers(0, 2**64, 256, dtype=U64) for seed in (11, 12)]
 _BASES = [0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93]
