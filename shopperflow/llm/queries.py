@@ -30,7 +30,7 @@ def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    rows = suffix_dedup.without_repeats(_table(spark, folder, "documents").select("doc_id", "text"))
+    rows = suffix_dedup.without_repeats(_table(spark, folder, "documents").select("doc_id", "text"), with_kept=False)
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 

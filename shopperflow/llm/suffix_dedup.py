@@ -14,7 +14,8 @@ what stands at further offsets:
 3. Strings of the unsettled steps are compared whole.
 
 Identifiers are hashes from running sums, so any offset costs the same and nothing is moved but numbers:
-64 bits where a coincidence costs only time, 128 bits where it decides. Counting is a plain aggregation, so
+64 bits where a coincidence costs only time, two times 64 bits (for a step of its core and its hull) where it
+decides. Counting is a plain aggregation, so
 a passage that a third of all texts share is reduced before it is shuffled. Of texts that are equal as a
 whole only one takes part; the others are found by counting texts (named by 64 bits).
 
@@ -64,15 +65,15 @@ class Anchors:
     def kept(self, rows: np.ndarray) -> None:
         self.first, self.last, self.at, self.bucket = (x[rows] for x in (self.first, self.last, self.at, self.bucket))
 
-    def strings(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """128-bit identifiers."""
-        if not hasattr(self, "two"):
-            self.two = Substrings(self.data, 1)
-        return self.one.at(starts, ends), self.two.at(starts, ends)
+    def second(self) -> Substrings:
+        """Identifiers independent of those in `one`."""
+        if not hasattr(self, "_second"):
+            self._second = Substrings(self.data, 1)
+        return self._second
 
     def steps(self, length: int, step: int) -> dict[str, np.ndarray]:
-        """For each anchor and step: core (identifier of the common bytes), hull1, hull2 (of all bytes; 0 where
-        they would leave the text), lo..hi (the string starts)."""
+        """For each anchor and step: core (identifier of the common bytes), hull (of all bytes; 0 where they
+        would leave the text), lo..hi (the string starts)."""
         least, most = (self.at - self.last) // step, (self.at - self.first) // step
         count = most - least + 1
         owner = np.repeat(np.arange(len(self.at)), count)
@@ -86,11 +87,11 @@ class Anchors:
         far = near - step + 1
         core = self.one.at(near, far + length)
         inside = (far >= 0) & (near + length <= len(self.data))
-        hull1, hull2 = np.zeros(len(near), U64), np.zeros(len(near), U64)
+        hull = np.zeros(len(near), U64)
         if inside.any():
-            hull1[inside], hull2[inside] = self.strings(far[inside], near[inside] + length)
+            hull[inside] = self.second().at(far[inside], near[inside] + length)
         return {
-            "core": core, "hull1": hull1, "hull2": hull2,
+            "core": core, "hull": hull,
             "lo": np.maximum(lo, far), "hi": np.minimum(hi, near),
         }
 
@@ -142,17 +143,19 @@ def spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", leng
     def steps(part: pa.RecordBatch) -> dict | None:
         return _collected([held | {"key": np.full(len(held["lo"]), key, np.int64)} for key, _, held in live(part)])
 
-    refined = folder_of(mapped(rows, "text", steps, "core long, hull1 long, hull2 long, key long, lo int, hi int"))
-    stated = refined.groupBy("core", "hull1", "hull2").agg(F.count("*").alias("n"))
-    stated = stated.withColumn("settled", F.expr("n > 1 and not (hull1 = 0 and hull2 = 0)"))
+    refined = folder_of(mapped(rows, "text", steps, "core long, hull long, key long, lo int, hi int"))
+    stated = refined.groupBy("core", "hull").agg(F.count("*").alias("n")).withColumn("settled", F.expr("n > 1 and hull <> 0"))
     cores = stated.groupBy("core").agg(F.sum("n").alias("n"), F.every("settled").alias("settled")).where("n > 1")
     stated = folder_of(stated.join(cores.select("core", F.col("settled").alias("core_settled")), "core"))
+    name = F.col("core").bitwiseXOR(F.col("hull")).alias("name")
     # Settled as repeated: their hull occurs again.
-    whole = refined.join(stated.where("settled").select("hull1", "hull2"), ["hull1", "hull2"], "left_semi").select("key", "lo", "hi")
+    settled = stated.where("settled").select("core", "hull", name)
+    whole = _within(refined.withColumn("name", name), "name", BitSet.of(settled, "name", bits))
+    whole = whole.join(settled.drop("name"), ["core", "hull"], "left_semi").select("key", "lo", "hi")
     # Unsettled: strings of every step with such a core are compared, those of settled steps only to be met.
     unsettled = stated.where("not core_settled")
     cores_set = spark.sparkContext.broadcast(BitSet.of(unsettled, "core", bits))
-    names = unsettled.where("not settled").select(F.col("core").bitwiseXOR(F.col("hull1")).alias("name"))
+    names = unsettled.where("not settled").select(name)
     names_set = spark.sparkContext.broadcast(BitSet.of(names, "name", bits))
 
     def strings(part: pa.RecordBatch) -> dict | None:
@@ -163,41 +166,70 @@ def spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", leng
                 continue
             count = held["hi"][at] - held["lo"][at] + 1
             start = np.repeat(held["lo"][at] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-            asked = np.repeat(names_set.value.has((held["core"] ^ held["hull1"])[at]), count)
+            asked = np.repeat(names_set.value.has((held["core"] ^ held["hull"])[at]), count)
             start, same = np.unique(start, return_inverse=True)  # each start once, whatever steps name it
             wanted = np.bincount(same, asked) > 0
-            one, two = found.strings(start, start + length)
+            one, two = found.one.at(start, start + length), found.second().at(start, start + length)
             out.append({"s1": one, "s2": two, "key": np.full(len(start), key, np.int64), "lo": start, "wanted": wanted})
         return _collected(out)
 
     compared = folder_of(mapped(rows, "text", strings, "s1 long, s2 long, key long, lo int, wanted boolean"))
     again = compared.groupBy("s1", "s2").agg(F.count("*").alias("n"), F.max("wanted").alias("wanted")).where("n > 1 and wanted")
-    single = compared.where("wanted").join(again.select("s1", "s2"), ["s1", "s2"], "left_semi").select("key", "lo", F.col("lo").alias("hi"))
-    return whole.unionByName(single)
+    again = folder_of(again.select("s1", "s2"))
+    single = _within(compared.where("wanted"), "s1", BitSet.of(again, "s1", bits)).join(again, ["s1", "s2"], "left_semi")
+    return whole.unionByName(single.select("key", "lo", F.col("lo").alias("hi")))
 
 
-def without_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, step: int = STEP, bits: int = BITS) -> DataFrame:
-    """All columns but the text; n_bytes, n_removed, n_spans, kept (the remaining bytes), kept_sha256."""
+def _within(rows: DataFrame, column: str, held: BitSet) -> DataFrame:
+    """The rows whose hash may be in the set: fewer rows for the join that decides."""
+    known = rows.sparkSession.sparkContext.broadcast(held)
+
+    def keep(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(known.value.has(batch.column(column).to_numpy().view(U64))))
+
+    return rows.mapInArrow(keep, rows.schema)
+
+
+def without_repeats(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, step: int = STEP,
+    bits: int = BITS, with_kept: bool = True,
+) -> DataFrame:
+    """All columns but the text; n_bytes, n_removed, n_spans, kept_sha256 and, if wanted, kept (the remaining bytes).
+
+    Texts without any repeated string are not shuffled: a bit set of the others tells them apart.
+    """
     found = spans(documents, doc_id, text, length, gram, step, bits)
-    found = found.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("__spans"))
+    found = found.groupBy("key").agg(F.collect_list(F.expr("shiftleft(cast(lo as long), 32) | hi")).alias("__spans"))
     # A text that occurs twice is repeated whole.
-    key = _text_key(text).alias("key")
-    long = documents.where(F.octet_length(text) >= length)
-    twice = long.select(key).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit(True).alias("__twice"))
-    marks = found.join(twice, "key", "full")
-    both = documents.withColumn("__key", _text_key(text)).join(marks.withColumnRenamed("key", "__key"), "__key", "left").drop("__key")
+    long = documents.where(F.octet_length(text) >= length).select(_text_key(text).alias("key"))
+    twice = long.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit(True).alias("__twice"))
+    marks = folder_of(found.join(twice, "key", "full").withColumnRenamed("key", "__key"))
+    marked = documents.sparkSession.sparkContext.broadcast(BitSet.of(marks, "__key", bits))
+
+    def told_apart(part: pa.RecordBatch) -> dict:
+        key = part.column("__key")
+        return {"__key": key, "__marked": marked.value.has(key.to_numpy().view(U64)), text: part.column("__text")}
+
+    keyed = documents.withColumn("__key", _text_key(text))
+    keyed = annotated(keyed, text, told_apart, f"__key long, __marked boolean, `{text}` string", beside=("__key",))
+    plain = keyed.where("not __marked").withColumn("__spans", F.lit(None).cast("array<long>")).withColumn("__twice", F.lit(None).cast("boolean"))
+    both = plain.unionByName(keyed.where("__marked").join(marks, "__key", "left")).drop("__key", "__marked")
 
     def make(part: pa.RecordBatch) -> dict:
         out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept", "kept_sha256")}
-        columns = (texts_of(part.column("__text")), part.column("__spans").to_pylist(), part.column("__twice").to_pylist())
-        for t, ranges, twice in zip(*columns):
+        lists = part.column("__spans")
+        held, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        begin = 0
+        for t, end, twice in zip(texts_of(part.column("__text")), ends.tolist(), part.column("__twice").to_pylist()):
+            ranges, begin = held[begin:end], end
             kept, runs = t, 0
             if twice and len(t) >= length:
                 kept, runs = b"", 1
-            elif ranges:
+            elif len(ranges):
                 steps = np.zeros(len(t) + 1, np.int64)
-                np.add.at(steps, [r["lo"] for r in ranges], 1)
-                np.add.at(steps, [r["hi"] + length for r in ranges], -1)
+                np.add.at(steps, ranges >> 32, 1)
+                np.add.at(steps, (ranges & 0xFFFFFFFF) + length, -1)
                 gone = np.cumsum(steps[:-1]) > 0
                 runs = int(gone[0]) + int(np.count_nonzero(gone[1:] & ~gone[:-1]))
                 kept = np.frombuffer(t, np.uint8)[~gone].tobytes()
@@ -205,4 +237,5 @@ def without_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
                 out[k].append(v)
         return out
 
-    return annotated(both, text, make, "n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string", beside=("__spans", "__twice"))
+    schema = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_kept else "")
+    return annotated(both, text, make, schema, passed=[c for c in both.columns if c != text], beside=("__spans", "__twice"))
