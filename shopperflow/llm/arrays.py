@@ -93,12 +93,19 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str, most: int = CHUNK_BYTES
             start = stop
 
 
+#: Rows that go to a Python worker at once, unless the session says otherwise: texts are long rows.
+BATCH_ROWS = 2000
+
+
 def known_to_workers(spark: SparkSession) -> None:
-    """Python workers look for this package where the driver found it (elsewhere, pass it with --py-files)."""
+    """Python workers look for this package where the driver found it (elsewhere, pass it with --py-files), and
+    get batches of BATCH_ROWS rows if the session has left their size at Spark's default."""
     environment = spark.sparkContext.environment
     home, paths = str(Path(__file__).resolve().parents[2]), environment.get("PYTHONPATH", "").split(os.pathsep)
     if home not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def mapped(df: DataFrame, text: str, make: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:

@@ -41,7 +41,7 @@ SPACE = "▁"
 _UNKNOWN = 10
 _UNIT = re.compile("\n| *[^ \n]+| +")
 #: Distinct units a worker remembers; longer units than _LONG are searched one by one.
-_KEPT = 500_000
+_KEPT = 200_000
 _LONG = 64
 _NONE = 1 << 30
 _U = np.uint64

@@ -208,13 +208,21 @@ def without_repeats(
     marked = documents.sparkSession.sparkContext.broadcast(BitSet.of(marks, "__key", bits))
 
     def told_apart(part: pa.RecordBatch) -> dict:
-        key = part.column("__key")
-        return {"__key": key, "__marked": marked.value.has(key.to_numpy().view(U64)), text: part.column("__text")}
+        """Texts that lose nothing are done; of the others the text goes on."""
+        key, texts = part.column("__key"), texts_of(part.column("__text"))
+        goes_on = marked.value.has(key.to_numpy().view(U64))
+        return {
+            "__key": key, "__marked": goes_on, "__bytes": [t if on else None for t, on in zip(texts, goes_on)],
+            "n_bytes": [len(t) for t in texts], "n_removed": np.zeros(len(texts), np.int64), "n_spans": np.zeros(len(texts), np.int64),
+            "kept_sha256": [None if on else hashlib.sha256(t).hexdigest() for t, on in zip(texts, goes_on)], "kept": texts,
+        }
 
+    schema = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_kept else "")
+    others = [c for c in documents.columns if c != text]
     keyed = documents.withColumn("__key", _text_key(text))
-    keyed = annotated(keyed, text, told_apart, f"__key long, __marked boolean, `{text}` string", beside=("__key",))
-    plain = keyed.where("not __marked").withColumn("__spans", F.lit(None).cast("array<long>")).withColumn("__twice", F.lit(None).cast("boolean"))
-    both = plain.unionByName(keyed.where("__marked").join(marks, "__key", "left")).drop("__key", "__marked")
+    keyed = annotated(keyed, text, told_apart, f"{schema}, __key long, __marked boolean, __bytes binary", passed=others, beside=("__key",))
+    plain = keyed.where("not __marked").drop("__key", "__marked", "__bytes")
+    both = keyed.where("__marked").drop("__marked").join(marks, "__key", "left").drop("__key")
 
     def make(part: pa.RecordBatch) -> dict:
         out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept", "kept_sha256")}
@@ -237,5 +245,5 @@ def without_repeats(
                 out[k].append(v)
         return out
 
-    schema = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_kept else "")
-    return annotated(both, text, make, schema, passed=[c for c in both.columns if c != text], beside=("__spans", "__twice"))
+    cut = annotated(both, "__bytes", make, schema, passed=others, beside=("__spans", "__twice"))
+    return plain.unionByName(cut)
