@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .arrays import U64, BitSet, Substrings, components, folder_of, known_to_workers, mapped, mix, signed, texts_of
 
@@ -357,6 +358,22 @@ def joined(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", per
 
 
 def one_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    """The documents without near copies: of each component the one with the smallest id stays (and rows without id)."""
-    gone = joined(documents, doc_id, text, percent, size).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return documents.join(gone, documents[doc_id].cast("long") == gone["__gone"], "left_anti")
+    """The documents without near copies: of each component the one with the smallest id stays (and rows without id).
+
+    A bit set of the ids that go tells most rows apart; only the others are shuffled for the join that decides.
+    """
+    spark = documents.sparkSession
+    gone = joined(documents, doc_id, text, percent, size).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone"))
+    gone = folder_of(gone.distinct())
+    held = spark.sparkContext.broadcast(BitSet.of(gone.select(F.xxhash64("__gone").alias("h")), "h", CLASS_BITS))
+
+    def told_apart(batches):
+        for batch in batches:
+            may_go = pa.array(held.value.has(batch.column("__hash").to_numpy().view(U64)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], may_go], names=[*batch.schema.names[:-1], "__may_go"])
+
+    key = F.col(doc_id).cast("long")
+    fields = T.StructType([*documents.schema.fields, T.StructField("__may_go", T.BooleanType())])
+    told = documents.withColumn("__hash", F.xxhash64(key)).mapInArrow(told_apart, fields)
+    asked = told.where("__may_go").join(gone, key == F.col("__gone"), "left_anti")
+    return told.where("not __may_go").unionByName(asked).drop("__may_go")
