@@ -38,10 +38,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies, that with the smallest id; of rows that bear one id, any one."""
+    kept = ngram_join.one_of_each(docs)
     other = f"{_OWN}id"
     same = F.col("doc_id") == F.col(other)
-    gone = ngram_join.joined(docs).where("component_id <> doc_id").select(F.col("doc_id").alias(other)).distinct()
-    kept = docs.join(gone, same, "left_anti")
     shared = docs.groupBy(F.col("doc_id").alias(other)).count().where(f"count > 1 and {other} is not null").select(other)
     if shared.isEmpty():
         return kept
