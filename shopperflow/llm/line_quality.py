@@ -24,7 +24,8 @@ from .arrays import annotated, mapped, texts_of
 from .crf import Chain, fit
 
 THRESHOLD = 0.3
-#: Most labelled documents, and lines of theirs, that are learnt from (whole documents, chosen by hash).
+#: Most labelled documents, and lines of theirs, that are learnt from: the first by hash, and of each as many lines
+#: as let all of them fit.
 MOST_DOCUMENTS = 4000
 MOST_LINES = 60_000
 
@@ -97,33 +98,47 @@ class Model:
         return np.clip(out, 0, 1)
 
 
+def shared(sizes: np.ndarray, times: np.ndarray, most: int) -> int:
+    """The largest number of lines that each document may give so that all together give `most` at most (1 at least).
+
+    `sizes` are the numbers of lines that occur, ascending, `times` how many documents have each.
+    """
+    left, documents = most, int(times.sum())
+    for n, k in zip(sizes.tolist(), times.tolist()):
+        if n * documents > left:
+            return max(1, left // documents)
+        left -= n * k
+        documents -= k
+    return most
+
+
 def learn(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
           most_documents: int = MOST_DOCUMENTS, most_lines: int = MOST_LINES) -> Model:
-    """From a bounded sample of the labelled documents: the first by the hash of their id."""
+    """From a bounded sample of the labelled documents: the first by the hash of their id.
+
+    Where these have more lines than `most_lines`, the longest give a stretch each, all of one length, placed by
+    the hash of the text; no document is left out because it or another one is long.
+    """
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("d"))
-    chosen = known.agg(F.min(label).cast("int").alias("y")).orderBy(F.xxhash64("d"), "d").limit(most_documents)
+    chosen = known.agg(F.min(label).cast("int").alias("y")).orderBy(F.xxhash64("d"), "d").limit(min(most_documents, most_lines))
     sampled = documents.select(F.col(doc_id).alias("d"), F.coalesce(text, F.lit("")).alias("t")).join(F.broadcast(chosen), "d")
+    lengths = F.length("t") - F.length(F.replace("t", F.lit("\n"))) + 1
+    sizes = sampled.groupBy(lengths.alias("n")).count().orderBy("n").collect()
+    share = shared(np.array([r.n for r in sizes], np.int64), np.array([r["count"] for r in sizes], np.int64), most_lines)
 
     def make(part: pa.RecordBatch) -> dict:
         signs, counts, _ = line_signs(texts_of(part.column("t")))
-        ends = np.cumsum(counts)
-        return {"d": part.column("d").cast(pa.string()), "y": part.column("y"), "n": counts,
-                "signs": [signs[e - c : e].astype(np.float32).tobytes() if c <= most_lines else None for c, e in zip(counts, ends)]}
-
-    described = mapped(sampled, "t", make, "d string, y int, n long, signs binary")
-    sizes = described.select("n", F.xxhash64("d", "signs").alias("h")).orderBy("h").collect()  # most_documents rows at most
-    total, within = 0, None
-    for row in sizes:
-        total += row.n
-        if total > most_lines:
-            break
-        within = row.h
-    empty = Model(Chain(np.zeros(1 + SIGNS * (2 + BINS)), np.zeros((2, 2))), np.zeros((SIGNS, BINS - 1)))
-    if within is None:
-        return empty
-    rows = described.where(F.xxhash64("d", "signs") <= F.lit(within)).where(F.col("signs").isNotNull()).orderBy("d", "signs").collect()
+        ends, used = np.cumsum(counts), np.minimum(counts, share)
+        starts = ends - counts + np.array(part.column("place").to_pylist(), np.int64) % (counts - used + 1)
+        return {"d": part.column("d").cast(pa.string()), "y": part.column("y"), "n": used,
+                "signs": [signs[at : at + c].astype(np.float32).tobytes() for at, c in zip(starts, used)]}
+
+    placed = sampled.withColumn("place", F.xxhash64("t"))
+    described = mapped(placed, "t", make, "d string, y int, n long, signs binary")
+    # Only rows that share an id can be more than `most_lines`.
+    rows = sorted(described.orderBy(F.xxhash64("d", "signs"), "d", "signs").limit(most_lines).collect(), key=lambda r: (r.d, r.signs))
     if not rows:
-        return empty
+        return Model(Chain(np.zeros(1 + SIGNS * (2 + BINS)), np.zeros((2, 2))), np.zeros((SIGNS, BINS - 1)))
     signs = np.concatenate([np.frombuffer(r.signs, np.float32).reshape(-1, SIGNS) for r in rows]).astype(float)
     counts = np.array([r.n for r in rows])
     edges = np.stack([np.quantile(signs[:, i], np.linspace(0, 1, BINS + 1)[1:-1]) for i in range(SIGNS)])

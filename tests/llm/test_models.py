@@ -99,6 +99,25 @@ def test_quality_learns_from_bounded_whole_documents(spark, docs):
     assert model.chain.weights.any()
 
 
+@pytest.mark.parametrize("long", [[7], [1, 2, 3], list(range(60))])
+def test_quality_learns_beside_oversized_documents(spark, docs, long):
+    rows, labels = labelled_rows(90)
+    known = spark.createDataFrame([x for x in labels if x[0] < 60], "doc_id long, quality int, toxic int")
+    grown = [(i, "\n".join([t] * 40) if i in long else t) for i, t in rows]
+    model = line_quality.learn(docs(*grown), known, most_lines=120 if len(long) == 60 else 300)
+    out = {r.doc_id: r.predicted for r in line_quality.scored(docs(*rows[60:]), model).collect()}
+    assert np.mean([out[i] == q for i, q, _ in labels[60:]]) > 0.9
+
+
+def test_lines_are_shared_out():
+    sizes, times = np.array([1, 4, 10, 900]), np.array([3, 2, 2, 1])
+    for most in (8, 9, 20, 37, 50, 930, 931, 932, 5000):
+        share = line_quality.shared(sizes, times, most)
+        given = lambda k: (np.minimum(sizes, k) * times).sum()
+        assert given(share) <= most and (given(share + 1) > most or share >= 900)
+    assert line_quality.shared(sizes, times, 3) == 1 and line_quality.shared(sizes[:0], times[:0], 5) == 5
+
+
 def test_quality_on_held_out_rows(spark, sf_dir):
     from shopperflow.llm.queries import op6_line_quality
 
