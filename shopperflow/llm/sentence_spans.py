@@ -1,11 +1,14 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences (after . ! ? and white space, and at line feeds; the white space belongs to the
-sentence before it). Spaces and the case of ASCII letters do not matter when sentences are compared. Every
-run of RUN consecutive sentences is hashed if it has LEAST_WORDS words, and shorter runs if they have
-LONG_WORDS words for each sentence that is missing, so that a passage of few long sentences counts as
-well. Runs are joined globally by their hashes. The first place of a run is the one with the smallest
-doc_id, and there the earliest; sentences that any other place of a repeated run covers are removed.
+A text is cut into sentences (after . ! ? and white space, after the full-width marks of scripts without
+spaces, and at line feeds; the white space belongs to the sentence before it). Spaces and the case of ASCII
+letters do not matter when sentences are compared. From every sentence on, and back from every sentence, the
+shortest run of two or more sentences that has LEAST_WORDS words is hashed, however many sentences that
+takes; so whatever passage of two or more sentences and so many words is repeated, runs inside it cover
+all of it. A single sentence is hashed if it has ALONE_WORDS words. In scripts without spaces, characters
+count as parts of words. Runs are joined globally by their hashes. The first place of a run is the one with
+the smallest doc_id, and there the earliest; sentences that any other place of a repeated run covers are
+removed.
 
 Two passes keep the shuffles small: the first counts 64-bit hashes and leaves a bit set of those that
 occur twice (fixed size; a wrong yes costs time only), the second compares 128 bits of what is left.
@@ -28,11 +31,15 @@ from pyspark.sql import functions as F
 
 from .arrays import BitSet, annotated, folder_of, mapped
 
-RUN = 3
 LEAST_WORDS = 12
-LONG_WORDS = 18
+ALONE_WORDS = 48
 BITS = 27
-_CUT = re.compile(r"(?<=[.!?])\s+|\n\s*")
+_CUT = re.compile(r"(?<=[.!?])\s+|[。！？｡]+[”’」』）】]*\s*|\n\s*")
+#: Characters of scripts that set no spaces between words, by how many are about one word.
+_UNSPACED = {
+    2: re.compile("[\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]"),
+    4: re.compile("[\u0e01-\u0e4e\u0e81-\u0ece\u0f40-\u0fbc\u1000-\u109f\u1780-\u17d3]"),
+}
 
 
 def sentences(text: str | None) -> list[str]:
@@ -43,20 +50,37 @@ def sentences(text: str | None) -> list[str]:
     return [text[a:b] for a, b in zip([0, *ends], [*ends, len(text)]) if a < b]
 
 
-def runs(text: str | None, run: int = RUN) -> list[tuple[bytes, int, int]]:
+def n_words(sentence: str, words: list[str]) -> int:
+    """How many words these are: one each, or more where a script sets no spaces."""
+    if sentence.isascii() or not any(c.search(sentence) for c in _UNSPACED.values()):
+        return len(words)
+    return sum(max(1, sum(len(c.findall(w)) // n for n, c in _UNSPACED.items())) for w in words)
+
+
+def runs(text: str | None, least: int = LEAST_WORDS) -> list[tuple[bytes, int, int]]:
     """(128-bit hash, first sentence, number of sentences) of every run that counts."""
-    words = [s.lower().split() if s.isascii() else s.encode().lower().decode().split() for s in sentences(text)]
+    found = sentences(text)
+    words = [s.lower().split() if s.isascii() else s.encode().lower().decode().split() for s in found]
     plain = [" ".join(w).encode() for w in words]
     totals = [0]
-    for w in words:
-        totals.append(totals[-1] + len(w))
-    out = []
-    for size in range(1, run + 1):
-        least = LEAST_WORDS + (run - size) * LONG_WORDS if size < run else LEAST_WORDS
-        for i in range(len(plain) - size + 1):
-            if totals[i + size] - totals[i] >= least:
-                out.append((hashlib.blake2b(b"\n".join(plain[i : i + size]), digest_size=16).digest(), i, size))
-    return out
+    for s, w in zip(found, words):
+        totals.append(totals[-1] + n_words(s, w))
+    places = {(i, i + 1) for i in range(len(plain)) if totals[i + 1] - totals[i] >= ALONE_WORDS}
+    j = 0
+    for i in range(len(plain)):  # shortest runs from i on
+        j = max(j, i + 2)
+        while j <= len(plain) and totals[j] - totals[i] < least:
+            j += 1
+        if j > len(plain):
+            break
+        places.add((i, j))
+    i = 0
+    for j in range(2, len(plain) + 1):  # shortest runs that end before j
+        while i + 2 < j and totals[j] - totals[i + 1] >= least:
+            i += 1
+        if totals[j] - totals[i] >= least:
+            places.add((i, j))
+    return [(hashlib.blake2b(b"\n".join(plain[i:j]), digest_size=16).digest(), i, j - i) for i, j in sorted(places)]
 
 
 def _named(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -65,12 +89,12 @@ def _named(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def repeated(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", run: int = RUN, bits: int = BITS) -> DataFrame:
+def repeated(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_WORDS, bits: int = BITS) -> DataFrame:
     """doc_id, row (names the row), first, size: every place of a repeated run that is not its first place."""
     rows = _named(documents, doc_id, text)
 
     def hashes(part: pa.RecordBatch) -> dict:
-        found = b"".join(h for t in part.column("text").to_pylist() for h, _, _ in runs(t, run))
+        found = b"".join(h for t in part.column("text").to_pylist() for h, _, _ in runs(t, least))
         return {"h": np.frombuffer(found, np.int64)[::2]}
 
     counted = mapped(rows.select("text"), "text", hashes, "h long").groupBy("h").agg(F.count("*").alias("n"))
@@ -79,7 +103,7 @@ def repeated(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     def places(part: pa.RecordBatch) -> dict | None:
         columns: list[list] = [[], [], [], [], [], []]
         for d, t, r in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "row"))):
-            found = runs(t, run)
+            found = runs(t, least)
             if found:
                 keys = np.frombuffer(b"".join(h for h, _, _ in found), np.int64).reshape(-1, 2)
                 for i in np.flatnonzero(shared.value.has(keys[:, 0].view(np.uint64))).tolist():
@@ -98,9 +122,9 @@ def repeated(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     )
 
 
-def without_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", run: int = RUN, bits: int = BITS) -> DataFrame:
+def without_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_WORDS, bits: int = BITS) -> DataFrame:
     """All columns; the text without repeated sentences, and n_sentences, n_removed."""
-    covered = repeated(documents, doc_id, text, run, bits).groupBy("row").agg(F.collect_list(F.struct("first", "size")).alias("__covered"))
+    covered = repeated(documents, doc_id, text, least, bits).groupBy("row").agg(F.collect_list(F.struct("first", "size")).alias("__covered"))
     named = documents.withColumn("__row", F.xxhash64(doc_id, text))
     both = named.join(covered.withColumnRenamed("row", "__row"), "__row", "left").drop("__row")
 

@@ -191,6 +191,32 @@ def test_long_sentences_need_shorter_runs():
     assert [(f, s) for _, f, s in sentence_spans.runs(long + " Short one.")] == [(0, 1), (0, 2)]
 
 
+def test_spans_of_any_shape(docs):
+    verse = "\n".join(f"line {i}" for i in range(30))
+    listed = "\n".join(f"item{i}" for i in range(40))
+    two = "This sentence holds seven words in all. And this one holds as many again here."
+    unspaced = "\n".join("春眠不觉晓处处闻啼鸟夜来风雨声花落知多少"[i:] for i in range(6))
+    joined = "今天天气很好我们去公园散步吧。明天可能会下雨所以要带伞出门！后天再说其他的事情好不好？"
+    thai = "\n".join(["สวัสดีครับวันนี้อากาศดีมาก", "พรุ่งนี้ฝนอาจจะตกหนักทั้งวัน", "เราไปเดินเล่นที่สวนกันเถอะ"])
+    passages = [verse, listed, two, unspaced, joined, thai]
+    rows = [(10 * k + i, f"{prose(10 * k + i, 40)}.\n{p}\n{prose(10 * k + i + 5, 40)}.") for k, p in enumerate(passages) for i in range(2)]
+    got = {r.doc_id: r.text for r in sentence_spans.without_repeats(docs(*rows)).collect()}
+    for k, p in enumerate(passages):
+        assert got[10 * k] == dict(rows)[10 * k]
+        assert got[10 * k + 1] == dict(rows)[10 * k + 1].replace(p + "\n", "")
+
+
+def test_runs_cover_every_passage_inside_it():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        sizes = rng.choice([1, 2, 5, 11, 14], rng.integers(2, 12))
+        text = "\n".join(" ".join(f"w{k}x{i}" for i in range(n)) for k, n in enumerate(sizes))
+        places = [(f, f + n) for _, f, n in sentence_spans.runs(text)]
+        for a, b in itertools.combinations(range(len(sizes) + 1), 2):
+            covered = {k for f, e in places if a <= f and e <= b for k in range(f, e)}
+            assert covered == (set(range(a, b)) if b - a > 1 and sizes[a:b].sum() >= 12 else set())
+
+
 # --- licences
 
 
