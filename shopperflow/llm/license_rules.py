@@ -1,10 +1,11 @@
 """License scans by sentence rules, in DataFrame functions only.
 
 Each sentence of a text is normalised (A-Z lowered, everything but a-z and 0-9 one space) and looked up
-among known licence sentences, which gives an identifier. A rule is an ordered list of identifiers;
-a licence is recognised where a rule's identifiers follow one another in the text's sequence of
-identifiers. Sentences that are not known do not interrupt a sequence: licence texts are set in
-lines, and a line may hold only part of a sentence or a name.
+among known licence sentences, which gives an identifier. A sentence may be wrapped: it is known if it
+fills whole lines or parts of lines between sentence marks, one after the other without a blank line
+between them; of several known sentences that begin at one place the longest counts. A rule is an ordered
+list of identifiers; a licence is recognised where a rule's identifiers follow one another in the text's
+sequence of identifiers. Sentences that are not known do not interrupt a sequence: a line may hold a name.
 
 Defined results: null and empty texts have no sentences and no licence; a sentence that occurs twice is
 twice in the sequence; a licence recognised by several rules or places is named once; repeated rows are
@@ -21,29 +22,50 @@ SENTENCES = {
     "apache-2.0.notice": "licensed under the apache license version 2 0",
     "apache-2.0.comply": "you may not use this file except in compliance with the license",
     "apache-2.0.copy": "you may obtain a copy of the license at http www apache org licenses license 2 0",
+    "apache-2.0.copy2": "you may obtain a copy of the license at https www apache org licenses license 2 0",
+    "apache-2.0.notice2": "licensed under the apache license version 2 0 the license",
+    "apache-2.0.header": "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
+    "apache-2.0.asf": "the asf licenses this file to you under the apache license version 2 0 the license you may not use this file except in compliance with the license",
+    "apache-2.0.title": "apache license version 2 0 january 2004",
     "mit.notice": "released under the mit license",
     "mit.notice2": "this project is licensed under the mit license",
     "mit.notice3": "licensed under the mit license",
+    "mit.notice4": "this project is licensed under the mit license see the license file for details",
+    "mit.notice5": "this project is licensed under the mit license see the license license file for details",
+    "mit.notice6": "this project is licensed under the mit license see the license md file for details",
+    "mit.notice7": "this project is licensed under the mit license see the license md license md file for details",
     "mit.title": "mit license",
     "mit.grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
     "mit.condition": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
+    "mit.condition2": "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software",
     "gpl-3.0.notice": "this work is licensed under the gnu general public license version 3",
     "gpl-3.0.notice2": "licensed under the gnu general public license version 3",
     "gpl.free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "gpl.free2": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "gpl-2.0.only": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation",
+    "agpl-3.0.free": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl-3.0.free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl-2.1.free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
     "gpl.warranty": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "lgpl.warranty": "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
     "gpl-2.0.notice": "licensed under the gnu general public license version 2",
     "lgpl-3.0.notice": "licensed under the gnu lesser general public license version 3",
     "agpl-3.0.notice": "licensed under the gnu affero general public license version 3",
     "bsd.redistribution": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
+    "bsd.style": "use of this source code is governed by a bsd style license that can be found in the license file",
     "bsd.notice": "licensed under the bsd 3 clause license",
     "bsd.notice2": "licensed under the bsd 2 clause license",
     "mpl-2.0.notice": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "mpl-2.0.notice2": "this source code form is subject to the terms of the mozilla public license v",
     "cc-by-nc-4.0.notice": "licensed under cc by nc 4 0",
     "cc-by-4.0.notice": "licensed under cc by 4 0",
     "cc-by-sa-4.0.notice": "licensed under cc by sa 4 0",
     "cc-by-4.0.work": "this work is licensed under a creative commons attribution 4 0 international license",
     "cc-by-nc-4.0.work": "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
+    "cc-by-4.0.work2": "this work is licensed under the creative commons attribution 4 0 international license",
+    "cc-by-nc-4.0.work2": "this work is licensed under the creative commons attribution noncommercial 4 0 international license",
+    "cc-by-sa-4.0.work": "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+    "cc-by-sa-4.0.work2": "this work is licensed under the creative commons attribution sharealike 4 0 international license",
     "cc0.notice": "this work is dedicated to the public domain under cc0 1 0",
     "unlicense.notice": "this is free and unencumbered software released into the public domain",
 }
@@ -51,26 +73,46 @@ SENTENCES = {
 RULES = [
     ("Apache-2.0", ["apache-2.0.notice"]),
     ("Apache-2.0", ["apache-2.0.comply", "apache-2.0.copy"]),
+    ("Apache-2.0", ["apache-2.0.comply", "apache-2.0.copy2"]),
+    ("Apache-2.0", ["apache-2.0.notice2"]),
+    ("Apache-2.0", ["apache-2.0.header"]),
+    ("Apache-2.0", ["apache-2.0.asf"]),
+    ("Apache-2.0", ["apache-2.0.title"]),
     ("MIT", ["mit.notice"]),
     ("MIT", ["mit.notice2"]),
     ("MIT", ["mit.notice3"]),
     ("MIT", ["mit.grant", "mit.condition"]),
+    ("MIT", ["mit.grant", "mit.condition2"]),
+    ("MIT", ["mit.notice4"]),
+    ("MIT", ["mit.notice5"]),
+    ("MIT", ["mit.notice6"]),
+    ("MIT", ["mit.notice7"]),
     ("GPL-3.0", ["gpl-3.0.notice"]),
     ("GPL-3.0", ["gpl-3.0.notice2"]),
     ("GPL-3.0", ["gpl.free", "gpl.warranty"]),
     ("GPL-2.0", ["gpl.free2", "gpl.warranty"]),
+    ("GPL-2.0", ["gpl-2.0.only"]),
     ("GPL-2.0", ["gpl-2.0.notice"]),
     ("LGPL-3.0", ["lgpl-3.0.notice"]),
+    ("LGPL-3.0", ["lgpl-3.0.free", "lgpl.warranty"]),
+    ("LGPL-2.1", ["lgpl-2.1.free", "lgpl.warranty"]),
     ("AGPL-3.0", ["agpl-3.0.notice"]),
+    ("AGPL-3.0", ["agpl-3.0.free", "gpl.warranty"]),
     ("BSD", ["bsd.redistribution"]),
+    ("BSD", ["bsd.style"]),
     ("BSD-3-Clause", ["bsd.notice"]),
     ("BSD-2-Clause", ["bsd.notice2"]),
     ("MPL-2.0", ["mpl-2.0.notice"]),
+    ("MPL-2.0", ["mpl-2.0.notice2"]),
     ("CC-BY-NC-4.0", ["cc-by-nc-4.0.notice"]),
     ("CC-BY-NC-4.0", ["cc-by-nc-4.0.work"]),
+    ("CC-BY-NC-4.0", ["cc-by-nc-4.0.work2"]),
     ("CC-BY-4.0", ["cc-by-4.0.notice"]),
     ("CC-BY-4.0", ["cc-by-4.0.work"]),
+    ("CC-BY-4.0", ["cc-by-4.0.work2"]),
     ("CC-BY-SA-4.0", ["cc-by-sa-4.0.notice"]),
+    ("CC-BY-SA-4.0", ["cc-by-sa-4.0.work"]),
+    ("CC-BY-SA-4.0", ["cc-by-sa-4.0.work2"]),
     ("CC0-1.0", ["cc0.notice"]),
     ("Unlicense", ["unlicense.notice"]),
 ]
@@ -78,29 +120,27 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def normalised(text: Column) -> Column:
-    """Sentences of the text, normalised and set one on a line.
+    """The text, normalised, in lines; an empty line where a sentence or a paragraph ends.
 
-    A sentence ends at a line feed, or at one of . ! ? that follows another character and precedes white
-    space: abbreviations aside, doubled marks do not end it.
+    A sentence ends at one of . ! ? that follows another character and precedes white space: abbreviations
+    aside, doubled marks do not end it. A line feed alone may be in the middle of one.
     """
     lower = F.translate(text, _UPPER, _LOWER)
-    lined = F.regexp_replace(lower, "([^.!?\\n][.!?])[ \\t\\r]+", "$1\n")
+    lined = F.regexp_replace(lower, "([^.!?\\n][.!?])(?:[ \\t\\r]+\\n?|\\n)", "$1\n\n")
     return F.regexp_replace(lined, "[^a-z0-9\\n]+", " ")
 
 
 def identified(text: Column, known: dict[str, str] = SENTENCES) -> Column:
-    """The identifiers of the known sentences, in text order.
-
-    Only lines that could be known by their length and first word are looked up.
-    """
+    """The identifiers of the known sentences, in text order: words apart by a space or by one line feed, from the
+    beginning of a line to the end of the same or a later one."""
     by_text = F.create_map(*[F.lit(x) for name, sentence in known.items() for x in (sentence, name)])
-    longest, shortest = max(map(len, known.values())) + 2, min(map(len, known.values()))
-    starts = sorted({sentence.split(" ")[0] for sentence in known.values()})
-    likely = F.filter(
-        F.split(normalised(text), "\n"),
-        lambda s: F.length(s).between(shortest, longest) & F.substring_index(F.ltrim(s), " ", 1).isin(starts),
-    )
-    return F.filter(F.transform(likely, lambda s: F.try_element_at(by_text, F.trim(s))), lambda x: x.isNotNull())
+    longest_first = sorted(known.values(), key=lambda s: (-len(s), s))
+    by_word: dict[str, list[str]] = {}
+    for sentence in longest_first:
+        by_word.setdefault(sentence.split(" ")[0], []).append(sentence.replace(" ", "(?: ?\\n ?| )"))
+    pattern = "(?:^|\\n) ?(" + "|".join(f"(?={word})(?:{'|'.join(found)})" for word, found in sorted(by_word.items())) + ")(?= ?(?:\\n|\\z))"
+    found = F.regexp_extract_all(normalised(text), F.lit(pattern), F.lit(1))
+    return F.transform(found, lambda s: F.try_element_at(by_text, F.regexp_replace(s, "[ \\n]+", " ")))
 
 
 def licences(ids: Column, rules: list[tuple[str, list[str]]] = RULES) -> Column:
@@ -113,7 +153,7 @@ def licences(ids: Column, rules: list[tuple[str, list[str]]] = RULES) -> Column:
 def scanned(documents: DataFrame, text: str = "text") -> DataFrame:
     """Adds sentence_ids and licenses (arrays); older columns of these names are replaced."""
     # Every known sentence has one of these words; a text without any skips the cutting.
-    hint = F.translate(F.col(text), _UPPER, _LOWER).rlike("licen[sc]e|permission|program|redistribution|copyright|domain")
+    hint = F.translate(F.col(text), _UPPER, _LOWER).rlike("licen[sc]e|permission|program|redistribution|copyright|domain|warranty")
     known = F.when(hint, identified(F.col(text))).otherwise(F.array().cast("array<string>"))
     return documents.withColumn("sentence_ids", F.coalesce(known, F.array().cast("array<string>"))).withColumn(
         "licenses", F.when(F.size("sentence_ids") > 0, licences(F.col("sentence_ids"))).otherwise(F.array().cast("array<string>"))

@@ -238,6 +238,68 @@ def test_each_rule_is_recognised(docs):
     assert all(name in got[k] for k, (name, _) in enumerate(license_rules.RULES))
 
 
+APACHE = """Copyright 2020 Some One
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software"""
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+LGPL = GPL.replace("This program", "This library").replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1")
+BSD = """Copyright (c) 2020, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/."""
+ASF = """Licensed to the Apache Software Foundation (ASF) under one
+or more contributor license agreements.  See the NOTICE file
+distributed with this work for additional information
+regarding copyright ownership.  The ASF licenses this file
+to you under the Apache License, Version 2.0 (the
+"License"); you may not use this file except in compliance
+with the License.  You may obtain a copy of the License at"""
+ECL = APACHE.replace("Apache License", "Educational Community License").replace("http://www.apache.org/licenses/LICENSE-2.0", "http://opensource.org/licenses/ECL-2.0")
+
+
+def test_wrapped_licences(docs):
+    headers = [(APACHE, "Apache-2.0"), (MIT, "MIT"), (GPL, "GPL-3.0"), (LGPL, "LGPL-2.1"), (GPL.replace("GNU General Public License as", "GNU Affero General Public License as"), "AGPL-3.0"),
+               (BSD, "BSD"), (MPL, "MPL-2.0"), (ASF, "Apache-2.0"), (ECL, ""), (prose(5, 30, 0) + "\nReleased under\nthe MIT License\n" + prose(6, 30), "MIT"),
+               ("Released under\n\nthe MIT License", ""), ("Not\nreleased under the MIT License yet", ""), ("Released under. the MIT License", "")]
+    marks = [("", "\n"), (" * ", "\n"), ("# ", "\n"), ("// ", "\r\n"), ("    ", " \n")]
+    rows = [(len(marks) * k + j, end.join(mark + line for line in text.split("\n"))) for k, (text, _) in enumerate(headers) for j, (mark, end) in enumerate(marks)]
+    got = {r.doc_id: ",".join(r.licenses) for r in license_rules.scanned(docs(*rows)).collect()}
+    assert [got[i] for i in range(len(rows))] == [name for _, name in headers for _ in marks]
+
+
 # --- pieces
 
 
