@@ -34,9 +34,12 @@ _TOKEN = re.compile(
     re.S,
 )
 _NAMES = re.compile(r"\b(class|id|role|aria-label|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 #: Fixed values of HTML: elements whose content is no text of the page, that have no content, that run in lines.
 _UNSEEN = frozenset("script style template noscript svg iframe object math select textarea title canvas audio video map datalist".split())
+#: Those whose content is raw text, up to the first closing tag.
+_RAW = frozenset("script style noscript iframe textarea title".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter output progress q "
@@ -83,7 +86,40 @@ def _attributes(text: str) -> tuple[frozenset[str], bool]:
         for word in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()):
             if word in _PLACE_OF:
                 found.add(_PLACE_OF[word])
-    return frozenset(found), bool(_HIDDEN.search(text))
+    return frozenset(found), _hidden(text)
+
+
+def _hidden(text: str) -> bool:
+    """Whether an element is not shown by its own attributes: hidden, aria-hidden=true or display:none in style."""
+    seen = set()
+    for name, value in _ATTRIBUTE.findall(text):
+        name, value = name.lower(), value.strip("\"'").strip().lower()
+        if name in seen:
+            continue  # the first of attributes with one name counts
+        seen.add(name)
+        if name == "hidden" and value != "false" or name == "aria-hidden" and value == "true":
+            return True
+        if name == "style" and _NO_DISPLAY.search(html.unescape(value)):
+            return True
+    return False
+
+
+def _ends(page: str, name: str) -> dict[int, int]:
+    """Where the elements of this name that are closed begin, and where they end."""
+    out: dict[int, int] = {}
+    opened: list[int] = []
+    for m in re.finditer(rf"<(/?){name}(?![a-zA-Z0-9:-])", page, re.I):
+        if not m.group(1):
+            if name not in ("svg", "math") or not _TOKEN.match(page, m.start()).group().endswith("/>"):
+                opened.append(m.start())
+        elif opened:
+            end = page.find(">", m.end()) + 1 or len(page)
+            if name in _RAW:
+                out.update(dict.fromkeys(opened, end))
+                opened.clear()
+            else:
+                out[opened.pop()] = end
+    return out
 
 
 def blocks(page: str | None) -> list[Block]:
@@ -109,6 +145,7 @@ def blocks(page: str | None) -> list[Block]:
 
     page = page or ""
     at, end = 0, len(page)
+    closed: dict[str, dict[int, int]] = {}
     while at < end:
         m = _TOKEN.match(page, at)
         at = m.end()
@@ -123,8 +160,10 @@ def blocks(page: str | None) -> list[Block]:
         name, closing = name.lower(), m.group(1) or m.group(4)
         if name in _UNSEEN and not closing:
             if not m.group().endswith("/>") or name not in ("svg", "math"):
-                close = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-                at = close.end() if close else (end if name != "title" else at)
+                if name not in closed:
+                    closed[name] = _ends(page, name)
+                # Only what is not closed and no text to read ends the page; of others, the tag alone is left out.
+                at = closed[name].get(m.start(), end if name in ("script", "style") else at)
             continue
         if name in _INLINE:
             if name == "a":

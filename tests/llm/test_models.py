@@ -152,6 +152,32 @@ def test_article_text():
     )
 
 
+@pytest.mark.parametrize("name", ['class="overflow-hidden"', 'class="hidden-xs"', 'data-title="Hidden gems"', "data-hidden=1", "title='display:none'", 'hidden="false"',
+                                  'aria-hidden="false"', 'data-note="aria-hidden=true"', 'style="background:url(x?display:none)"', 'data-x=">" class=hidden-xs'])
+def test_only_hidden_elements_are_left_out(name):
+    assert [b.text for b in html_blocks.blocks(f"<div {name}><p>Shown.</p></div><p>Next.</p>")] == ["Shown.", "Next."]
+
+
+@pytest.mark.parametrize("name", ["hidden", 'hidden=""', "HIDDEN=hidden", 'class="a" hidden id=b', 'aria-hidden="true"', "aria-hidden=true", 'style="color:red; DISPLAY : none"', "style=display:none",
+                                  "title='a>b' hidden"])
+def test_hidden_elements_are_left_out(name):
+    assert [b.text for b in html_blocks.blocks(f"<div {name}><p>Not shown.</p></div><p>Next.</p>")] == ["Next."]
+
+
+@pytest.mark.parametrize("name", sorted(html_blocks._UNSEEN))
+def test_unclosed_elements_leave_the_page(name):
+    rest = [] if name in ("script", "style") else ["Next."]
+    assert [b.text for b in html_blocks.blocks(f"<p>One.</p><{name} a=b><p>Next.</p>")] == ["One.", *rest]
+    assert [b.text for b in html_blocks.blocks(f"<p>One.</p><{name} a=b><b>no</b></{name} ><p>Next.</p>")] == ["One.", "Next."]
+    if name not in html_blocks._RAW:
+        assert [b.text for b in html_blocks.blocks(f"<{name}><p>One.</p><{name}>no</{name}><p>Next.</p>")] == ["One.", "Next."]
+        assert [b.text for b in html_blocks.blocks(f"<{name}>no<{name}>no</{name}>no</{name}><p>Next.</p>")] == ["Next."]
+
+
+def test_many_unclosed_elements_take_one_scan():
+    assert len(html_blocks.blocks("<map><p>x</p>" * 30_000)) == 30_000
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, "u", "<<<>>>"), (4, "u", "<p>" * 500 + "deep"), (5, "u", PAGE[:900]), (6, "u", PAGE * 30), (7, "u", "<script>never closed"),
             (8, "u", "<p class='a>b' title=\"x>y\">Quoted attributes are no text at all, as we see here.</p>"), (9, None, "plain words, and no tag"), (1, "u", None)]
