@@ -1,11 +1,11 @@
-"""Suffix-array dedup by bucket-pointer refinement, on the suffixes that can matter.
+"""Substring dedup by minimizer anchors and hash counts, in place of suffix sorting by bucket-pointer refinement.
 
 Removed is every byte covered by a string of `length` bytes that also starts anywhere else. Sorting all
 suffixes would settle that; but a suffix is needed only where its first q bytes, its initial bucket, occur
 again, and of all the suffixes in a window of length - q + 1 places one will do: the one whose q-gram
 has the smallest hash, which is the same in equal windows. Each start of a string so belongs to one
-anchor inside it. Buckets of anchors are refined as in bucket-pointer refinement, by the identifiers of
-what stands at further offsets:
+anchor inside it. Nothing is sorted and no bucket is refined over doubling offsets; hashes are counted at three
+fixed levels:
 
 1. q-gram buckets of all anchors; an anchor alone in its bucket settles all its strings as unique.
 2. For the rest, the starts at each distance from the anchor are taken in steps of `STEP`: the bytes common to
