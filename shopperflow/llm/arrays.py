@@ -54,8 +54,15 @@ def power(which: int, inverse: bool, n: int) -> np.ndarray:
     return held[:n]
 
 
+#: Sums modulo 2**64 of strings this long and longer can agree by their build (Thue-Morse), whatever the base.
+SAFE_BYTES = 512
+
+
 class Substrings:
-    """Hashes of any substrings of one byte string, from one running sum (`which`: 0 or 1, independent)."""
+    """Hashes of any substrings of one byte string, from one running sum (`which`: 0 or 1, independent).
+
+    Longer ones than SAFE_BYTES are folded from pieces of that size.
+    """
 
     def __init__(self, data: np.ndarray, which: int = 0):
         self.which = which
@@ -63,16 +70,42 @@ class Substrings:
         np.cumsum(_TABLES[which][data] * power(which, False, len(data)), out=self._sums[1:])
 
     def at(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        out, begun = self._piece(starts, np.minimum(ends, starts + SAFE_BYTES)), starts + SAFE_BYTES
+        while len(more := np.flatnonzero(begun < ends)):
+            piece = self._piece(begun[more], np.minimum(begun[more] + SAFE_BYTES, ends[more]))
+            out[more] = mix(out[more] * U64(0xD6E8FEB86659FD93) + piece)
+            begun = begun + SAFE_BYTES
+        return out
+
+    def _piece(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         raw = (self._sums[ends] - self._sums[starts]) * power(self.which, True, len(self._sums))[starts]
         return mix(raw + (ends - starts).astype(U64) * U64(0xA0761D6478BD642F))
 
     def all_of(self, size: int) -> np.ndarray:
         """Of every substring of `size` bytes, by start."""
         n = len(self._sums) - size
+        if size > SAFE_BYTES:
+            starts = np.arange(max(0, n))
+            return self.at(starts, starts + size)
         raw = (self._sums[size:] - self._sums[:n]) * power(self.which, True, n)
         return mix(raw + U64(size * 0xA0761D6478BD642F % 2**64))
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, one text after another, and the number of words of each; A-Z count as a-z."""
+    data = np.frombuffer(b" " + b" ".join(t.lower() for t in texts) + b" ", np.uint8)  # bytes.lower() knows A-Z only
+    blank = _SPACE[data]
+    starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
+    ends = np.flatnonzero(~blank[:-1] & blank[1:]) + 1
+    words = Substrings(data).at(starts, ends)
+    text_starts = np.cumsum([1, *(len(t) + 1 for t in texts)])
+    return words, np.diff(np.searchsorted(starts, text_starts))
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 of each text; null is empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

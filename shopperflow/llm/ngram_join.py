@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrays import U64, BitSet, Substrings, components, folder_of, known_to_workers, mapped, mix, signed, texts_of
+from .arrays import U64, BitSet, components, folder_of, known_to_workers, mapped, mix, signed, texts_of, word_hashes
 
 SHINGLE = 5
 PERCENT = 80
@@ -44,23 +44,15 @@ ORDER_BITS = 22
 CLASS_BITS = 27
 TILE = 256
 LEAST_SIGNATURE = 512
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct shingles of each text, sorted, one text after another; where each ends."""
-    data = np.frombuffer(b" " + b" ".join(t.lower() for t in texts) + b" ", np.uint8)  # bytes.lower() knows A-Z only
-    blank = _SPACE[data]
-    starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
-    ends = np.flatnonzero(~blank[:-1] & blank[1:]) + 1
-    words = Substrings(data).at(starts, ends)
-    text_starts = np.cumsum([1, *(len(t) + 1 for t in texts)])
-    bounds = np.searchsorted(starts, text_starts)
-    counts = np.diff(bounds)
+    words, counts = word_hashes(texts)
+    bounds = np.append(0, np.cumsum(counts))
     folded = np.zeros(max(0, len(words) - size + 1), U64)
     for i in range(size):
-        folded = (folded + words[i : len(words) - size + 1 + i]) * U64(0x9FB21C651E98DF25)
+        folded = (folded + words[i : i + len(folded)]) * U64(0x9FB21C651E98DF25)
     folded = mix(folded)
     out, sizes = [], np.zeros(len(texts), np.int64)
     for i, (a, n) in enumerate(zip(bounds[:-1].tolist(), counts.tolist())):

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_blocks, license_rules, line_quality, ngram_join, order_minhash, piece_lattice, pseudonyms, sentence_spans, suffix_dedup
+from . import backoff_model, decontaminate, html_blocks, license_rules, line_quality, ngram_join, order_minhash, piece_lattice, pseudonyms, sentence_spans, suffix_dedup
 
 #: The key of the pseudonyms in these queries; in use it is the caller's secret.
 KEY = b"a key for the test tables only"
@@ -81,6 +81,13 @@ def op10_piece_lattice(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "n_pieces", "best_score", "scores", "n_best", "ids_sha256", "alternatives_sha256", "decoded_sha256")
 
 
+def op11_backoff_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    rows = backoff_model.scored(documents, backoff_model.trained(), passed=["doc_id"])
+    held_out = (~backoff_model.trained()).alias("held_out")
+    return rows.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {
     name: query
     for name, query in list(globals().items())

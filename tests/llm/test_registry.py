@@ -30,4 +30,4 @@ def test_one_row_each(spark, sf_dir, name):
 
 
 def test_there_is_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
