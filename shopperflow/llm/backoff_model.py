@@ -41,13 +41,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
-from .arrays import U64, folder_of, known_to_workers, mix, signed, texts_of, word_hashes
+from .arrays import CHUNK_BYTES, U64, folder_of, known_to_workers, mix, signed, texts_of, word_hashes
 
 ORDER = 2
 PRIOR = 20.0
 #: Bytes of text of a slice (a longer single text is a slice of its own), and of the text whose n-grams share a range.
-SLICE_BYTES = 12 << 20
-RANGE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
+RANGE_BYTES = 12 << 20
 _START, _END = U64(0x243F6A8885A308D3), U64(0x13198A2E03707344)
 _PACK = pa.Codec("zstd")
 
@@ -69,11 +69,20 @@ def unpacked(held: bytes, n: int, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(size, n).T).reshape(-1).view(kind)
 
 
+def _in_chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """At least one list; each of about CHUNK_BYTES, as hashing takes many times its text."""
+    ends = np.cumsum([len(t) for t in texts] or [0])
+    cuts = np.flatnonzero(np.diff(ends // CHUNK_BYTES)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
+        yield texts[a:b]
+
+
 class Tokens:
     """The tokens of some texts and, by number of tokens, the n-grams that end at each."""
 
     def __init__(self, texts: list[bytes], order: int):
-        words, counts = word_hashes(texts)
+        parts = [word_hashes(part) for part in _in_chunks(texts)]
+        words, counts = (np.concatenate(x) for x in zip(*parts))
         self.sizes = counts + 1
         ends = np.cumsum(self.sizes) - 1
         self.starts = ends - counts
