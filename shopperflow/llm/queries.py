@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_model, decontaminate, html_blocks, license_rules, line_quality, ngram_join, order_minhash, piece_lattice, pseudonyms, sentence_spans, suffix_dedup
+from . import backoff_model, conversation_repair, decontaminate, html_blocks, license_rules, line_quality, ngram_join, order_minhash, piece_lattice, pseudonyms, sentence_spans, suffix_dedup
 
 #: The key of the pseudonyms in these queries; in use it is the caller's secret.
 KEY = b"a key for the test tables only"
@@ -88,6 +88,11 @@ def op11_backoff_automaton(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = conversation_repair.damaged(_table(spark, folder, "conversations"))
+    return conversation_repair.repaired(rows, present=F.col("present"))
+
+
 QUERIES = {
     name: query
     for name, query in list(globals().items())
