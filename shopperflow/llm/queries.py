@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_model, conversation_repair, decontaminate, html_blocks, license_rules, line_quality, ngram_join, order_minhash, piece_lattice, pseudonyms, sentence_spans, suffix_dedup
+from . import backoff_model, conversation_repair, decontaminate, html_blocks, license_rules, line_quality, ngram_join, order_minhash, piece_lattice, prefix_trie, pseudonyms, sentence_spans, suffix_dedup
 
 #: The key of the pseudonyms in these queries; in use it is the caller's secret.
 KEY = b"a key for the test tables only"
@@ -93,6 +93,10 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_repair.repaired(rows, present=F.col("present"))
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.nodes(*prefix_trie.rebuilt(_table(spark, folder, "conversations")))
+
+
 QUERIES = {
     name: query
     for name, query in list(globals().items())
