@@ -69,4 +69,112 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, c AS component_id
 FROM docs LEFT JOIN sizes USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS c FROM reach GROUP BY x) USING (doc_id)
 """
 
-QUERIES = {"op1_ngram_join": OP1, "op3_decontamination": OP3, "op9_license_rules": OP9}
+_ZERO_BITS = "[0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]"
+
+
+def _crc32(text: str) -> str:
+    """Of a text of ASCII characters, bit by bit."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ord(c) AS BIGINT))"
+    bits = f"list_reduce(list_prepend(xor(a, b), {_ZERO_BITS}), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda a, b: {bits}), 4294967295)"
+
+
+def _added(way: str, cost: str, letter: str) -> str:
+    """A way is its cost in eight digits and its audit; null if there is none."""
+    return f"(lpad(CAST(CAST(left({way}, 8) AS INTEGER) + {cost} AS VARCHAR), 8, '0') || substr({way}, 9) || '{letter}')"
+
+
+def _step() -> str:
+    """The best ways to the four states of the role grammar after an insert ('I') or a row ([initial, extra cost or 'x'])."""
+    dropped = [_added(f"a[{s}]", "4", "D") for s in range(1, 5)]
+    closed = f"least(a[3], {', '.join(_added(f'a[{s}]', '3', 'I') for s in (1, 2, 4))})"
+
+    def kept(s: int) -> str:
+        return _added(f"a[{s}]", "CAST(r[2] AS INTEGER)", "K")
+
+    def turned(s: int) -> str:
+        return _added(f"a[{s}]", "3 + CAST(r[2] AS INTEGER)", "R")
+
+    second = f"least({dropped[1]}, CASE WHEN r[1] = 's' THEN {kept(1)} END)"
+    third = f"least({dropped[2]}, {', '.join(turned(s) for s in (1, 2, 4))}, CASE WHEN r[1] = 'u' THEN least({', '.join(kept(s) for s in (1, 2, 4))}) END)"
+    fourth = f"least({dropped[3]}, {turned(3)}, CASE WHEN r[1] = 'a' THEN {kept(3)} END)"
+    return (
+        f"CASE WHEN r[1] = 'I' THEN [a[1], a[2], {closed}, least(a[4], {_added(closed, '3', 'I')})] "
+        f"WHEN r[2] = 'x' THEN [{', '.join(dropped)}] ELSE [{dropped[0]}, {second}, {third}, {fourth}] END"
+    )
+
+
+OP12 = f"""
+WITH raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations),
+spoilt AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS time
+  FROM raw WHERE kind <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, left(role, 1) AS initial FROM spoilt),
+told AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS illegal
+  FROM placed),
+sums AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal,
+    list_concat([['00000000', NULL, NULL, NULL], ['I', '']], flatten(list(
+      [[initial, CASE fault WHEN '' THEN '0' WHEN 'truncated' THEN '3' ELSE 'x' END], ['I', '']] ORDER BY i))) AS steps
+  FROM told GROUP BY conv_id),
+ways AS (SELECT *, list_reduce(steps, lambda a, r: {_step()}) AS w FROM sums),
+best AS (SELECT *, least(w[1], w[4]) AS way FROM ways),
+letters AS (
+  SELECT conv_id, unnest(string_split(substr(way, 9), '')) AS letter, generate_subscripts(string_split(substr(way, 9), ''), 1) AS j FROM best
+  WHERE length(way) > 8),
+taken AS (SELECT conv_id, letter, j, sum(CAST(letter <> 'I' AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY j) AS i FROM letters),
+stays AS (
+  SELECT t.conv_id, t.letter, row_number() OVER (PARTITION BY t.conv_id ORDER BY j) AS m, role, text,
+    first_value(t.letter = 'K' AND initial = 's') OVER (PARTITION BY t.conv_id ORDER BY j) AS led
+  FROM taken t LEFT JOIN placed p ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.i AND t.letter <> 'I' WHERE t.letter <> 'D'),
+made AS (
+  SELECT conv_id, sha256(string_agg(
+    CASE WHEN letter = 'K' THEN role WHEN (m - CAST(coalesce(led, false) AS INTEGER)) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY m)) AS digest
+  FROM stays GROUP BY conv_id)
+SELECT o.conv_id, {", ".join(f"CAST(coalesce({n}, 0) AS BIGINT) AS {n}" for n in ("gaps", "blank", "duplicate", "truncated", "illegal"))},
+  coalesce(CAST(left(way, 8) AS BIGINT), 0) AS cost, coalesce(substr(way, 9), '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN best b ON o.conv_id IS NOT DISTINCT FROM b.conv_id LEFT JOIN made d ON o.conv_id IS NOT DISTINCT FROM d.conv_id
+"""
+
+OP13 = f"""
+WITH turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS i, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, count(*) AS own, {_crc32("CAST(c AS VARCHAR)")} % 6 AS heads, c - c % 100 AS base FROM turns GROUP BY c),
+placed AS (
+  SELECT c.c, t.i, t.role, t.text FROM convs c JOIN turns t ON t.c = c.base WHERE t.i < c.heads
+  UNION ALL SELECT c.c, t.i, t.role, t.text FROM convs c JOIN turns t ON t.c = c.c WHERE t.i >= c.heads),
+paths AS (
+  SELECT c, row_number() OVER w AS depth, string_agg(role || chr(31) || text || chr(30), '') OVER w AS prefix, length(text) AS chars
+  FROM placed WINDOW w AS (PARTITION BY c ORDER BY i)),
+members AS (
+  SELECT c, 0 AS depth, '' AS prefix, 0 AS chars, NULL AS parent FROM convs
+  UNION ALL SELECT c, depth, prefix, chars, coalesce(lag(prefix) OVER (PARTITION BY c ORDER BY depth), '') FROM paths),
+ended AS (SELECT *, depth = max(depth) OVER (PARTITION BY c) AS ends FROM members),
+nodes AS (
+  SELECT depth, prefix, min(c) AS conv_id, count(*) AS n_convs, min(parent) AS parent, (count(*) - 1) * min(chars) AS saved,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM ended GROUP BY depth, prefix),
+counted AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes k WHERE k.depth = n.depth + 1 AND k.parent = n.prefix) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = n.parent),
+totals AS (
+  SELECT m.depth, m.prefix, sum(CAST(n.n_children = 0 AS BIGINT)) AS n_leaves, sum(n.saved) AS saved_tokens
+  FROM counted n JOIN members m ON m.c = n.conv_id AND m.depth <= n.depth GROUP BY m.depth, m.prefix)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM counted JOIN totals USING (depth, prefix)
+"""
+
+QUERIES = {"op12_conversation_repair": OP12, "op13_prefix_trie": OP13, "op1_ngram_join": OP1, "op3_decontamination": OP3, "op9_license_rules": OP9}

@@ -245,7 +245,8 @@ def _rolled_up(tree: DataFrame, found: DataFrame, members: DataFrame, n_nodes: i
     top = {"top_conv": F.lit(root).cast("long"), "top_depth": zero}
     live = tree.withColumns({"leaves": zero, "saved_below": zero, **top}).select(*_NODE, *_OPEN)
     done, small, paths = [], [], None
-    while True:
+    live = folder_of(live) if n_nodes > most else live
+    while n_nodes > most:
         whole = live.groupBy(*_TOP).agg(F.max("size").alias("whole")).where(F.col("whole") > most)
         # At most n_nodes / most rows, which is 100,000 however large the trie is.
         large = F.broadcast(folder_of(whole))
@@ -256,6 +257,7 @@ def _rolled_up(tree: DataFrame, found: DataFrame, members: DataFrame, n_nodes: i
             paths = _paths(found, members, n_members)
         done_now, live = _split(live.join(large, _TOP), paths, root)
         done.append(done_now)
+    small = small or [live]
     settled = _within_tasks(small)
     for part in done:
         settled = settled.unionByName(part)
@@ -302,7 +304,7 @@ def _split(live: DataFrame, paths: DataFrame, root: int) -> tuple[DataFrame, Dat
         F.when(moved, F.col("next_conv")).otherwise(F.col("top_conv")).alias("top_conv"),
         F.when(moved, F.col("c_depth") + 1).otherwise(F.col("top_depth")).alias("top_depth"), centroid.alias("ready"),
     )
-    rows = folder_of(rows)
+    rows = folder_of(rows)  # read twice: what is done and what goes on
     return rows.where("ready").select(*_NODE, "leaves", "saved_below"), rows.where("not ready").drop("ready")
 
 

@@ -13,6 +13,7 @@ COLUMNS = {
     "op5_order_minhash": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op6_line_quality": ["doc_id", "held_out", "score", "predicted"],
     "op7_html_blocks": ["page_id", "url", "text", "n_chars"],
+    "op11_backoff_automaton": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
 }
 
 
