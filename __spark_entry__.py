@@ -26,8 +26,10 @@ from shopperflow.operators import (  # noqa: E402
 )
 from shopperflow.plans.durable import passing_folder, settle  # noqa: E402
 from shopperflow.schemas import TRANSACTION_CONTRACT  # noqa: E402
-from shopperflow.sources import sinks, tables  # noqa: E402
+from shopperflow.sources import landing, sinks, tables  # noqa: E402
 from shopperflow.sources.star_schema import StarSchema  # noqa: E402
+from shopperflow.sql import session as sql_session  # noqa: E402
+from shopperflow.sql.statements import STATEMENTS  # noqa: E402
 
 SNAPSHOT = dt.date(2001, 8, 2)
 WINDOW = (dt.date(2000, 1, 15), dt.date(2000, 3, 20))
@@ -104,6 +106,48 @@ def _bad_cells(s: StarSchema) -> DataFrame:
         return settle(tables.bad_cells(s.spark, folder, "transactions").select("column", "bad_cells"))
 
 
+def _landing_counts(s: StarSchema) -> DataFrame:
+    """The same delivery, landed: nulls and unreadable cells as counted by the pass that lands it."""
+    key = F.col("customer_id")
+    spoilt = s.transactions().withColumns(
+        {"total_amount": F.when(key % 7 == 0, "n/a").otherwise(F.col("total_amount").cast("string")),
+         "order_date": F.when(key % 11 == 0, "soon").otherwise(F.col("order_date").cast("string"))}
+    )
+    with passing_folder(s.spark, "delivered") as folder:
+        spoilt.write.option("header", True).csv(f"{folder}/transactions.csv")
+        tables._land_one(s.spark, folder, f"{folder}/home", "transactions", strict=False)
+        return settle(landing.quality_report(s.spark, f"{folder}/home", "transactions").select("column", "null_count", "bad_cells"))
+
+
+def _landed_empty(s: StarSchema) -> DataFrame:
+    """Customers and a delivery without sessions, landed and read back: nobody has a session."""
+    with passing_folder(s.spark, "landed") as folder:
+        landing.land_table(s.customers(), folder, "customers")
+        landing.land_table(s.sessions().limit(0), folder, "sessions")
+        customers, sessions = (landing.landed(s.spark, folder, table) for table in ("customers", "sessions"))
+        joined = customers.join(sessions.select("customer_id", "session_id"), "customer_id", "left")
+        return settle(joined.groupBy("segment").agg(F.count_distinct("customer_id").alias("customers"), F.count("session_id").alias("sessions")))
+
+
+#: Orders before it are the first delivery, the others the second, with corrected days of a quarter of old orders.
+_SECOND_FROM, _CORRECTED = dt.date(2001, 3, 1), (dt.date(1997, 1, 1), dt.date(1997, 3, 31))
+
+
+def _landed_upsert(s: StarSchema) -> DataFrame:
+    """Two deliveries, the second landed into the first."""
+    everything, day = s.transactions(), F.col("order_date")
+    moved = everything.filter(day.between(*_CORRECTED) & (F.col("customer_id") % 5 == 0)).withColumn("order_date", F.date_sub(day, 40))
+    with passing_folder(s.spark, "landed") as folder:
+        landing.upsert(everything.filter(day < F.lit(_SECOND_FROM)), folder, "transactions")
+        landing.upsert(everything.filter(day >= F.lit(_SECOND_FROM)).unionByName(moved), folder, "transactions")
+        return settle(landing.landed(s.spark, folder, "transactions"))
+
+
+def _by_statement(name: str) -> Callable[[StarSchema], DataFrame]:
+    """A report as its SQL statement says."""
+    return lambda s: sql_session.run(s.spark, name, s.customers(), s.transactions(with_category=True), s.sessions(), SNAPSHOT)
+
+
 def _some_amounts_unknown(s: StarSchema) -> DataFrame:
     """Transactions in which every fourth customer's amounts are NULL."""
     unknown = F.col("customer_id") % 4 == 0
@@ -260,6 +304,9 @@ _REPORTS: dict[str, Callable[[StarSchema], DataFrame]] = {
     "transactions_from_csv": _transactions_from_csv,
     "sessions_from_csv": lambda s: _from_csv(s.sessions(), "sessions", tables.read_sessions),
     "bad_cells": _bad_cells,
+    "landing_counts": _landing_counts,
+    "landed_empty": _landed_empty,
+    "landed_upsert": _landed_upsert,
     "sql_over_views": _views,
     "rfm_ntile_nulls": lambda s: segmentation.rfm_ntile_scores(_some_amounts_unknown(s), SNAPSHOT, **_UNIQUE),
     "pareto_nulls": lambda s: segmentation.pareto_customers(_some_amounts_unknown(s), s.customers(), top_fraction="0.9"),
@@ -295,6 +342,7 @@ _REPORTS: dict[str, Callable[[StarSchema], DataFrame]] = {
     "conversion_by_source": lambda s: dashboards.conversion_by_source(s.sessions()),
     "device_split": lambda s: dashboards.device_split(s.sessions()),
     "first_purchase_flag": lambda s: dashboards.first_purchase_flag(s.transactions()),
+    **{f"sql_{name}": _by_statement(name) for name in STATEMENTS},
 }
 
 

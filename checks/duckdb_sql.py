@@ -618,6 +618,26 @@ FROM sessions JOIN events e ON session_id = e.event_id""",
   SELECT 'total_amount' AS "column", COUNT(*) FILTER (WHERE customer_id % 7 = 0) AS bad_cells FROM transactions
   UNION ALL SELECT 'order_date', COUNT(*) FILTER (WHERE customer_id % 11 = 0) FROM transactions
   UNION ALL SELECT 'quantity', 0 UNION ALL SELECT 'discount_pct', 0)""",
+        ),
+        "landing_counts": query(
+            [TRANSACTIONS],
+            """SELECT "column", null_count, bad_cells FROM (
+  SELECT 'total_amount' AS "column", COUNT(*) FILTER (WHERE customer_id % 7 = 0 OR total_amount IS NULL) AS null_count,
+    COUNT(*) FILTER (WHERE customer_id % 7 = 0) AS bad_cells FROM transactions
+  UNION ALL SELECT 'order_date', COUNT(*) FILTER (WHERE customer_id % 11 = 0 OR order_date IS NULL), COUNT(*) FILTER (WHERE customer_id % 11 = 0) FROM transactions
+  UNION ALL SELECT 'quantity', COUNT(*) FILTER (WHERE quantity IS NULL), 0 FROM transactions
+  UNION ALL SELECT 'discount_pct', COUNT(*) FILTER (WHERE discount_pct IS NULL), 0 FROM transactions
+  UNION ALL SELECT 'transaction_id', COUNT(*) FILTER (WHERE transaction_id IS NULL), NULL FROM transactions
+  UNION ALL SELECT 'customer_id', COUNT(*) FILTER (WHERE customer_id IS NULL), NULL FROM transactions
+  UNION ALL SELECT 'status', COUNT(*) FILTER (WHERE status IS NULL), NULL FROM transactions)""",
+        ),
+        "landed_empty": query([CUSTOMERS], "SELECT segment, COUNT(*) AS customers, CAST(0 AS BIGINT) AS sessions FROM customers GROUP BY segment"),
+        "landed_upsert": query(
+            [TRANSACTIONS,
+             """moved AS (SELECT * REPLACE (CASE WHEN order_date BETWEEN DATE '1997-01-01' AND DATE '1997-03-31' AND customer_id % 5 = 0
+    THEN order_date - 40 ELSE order_date END AS order_date) FROM transactions)"""],
+            """SELECT transaction_id, customer_id, CAST(order_date AS VARCHAR) AS order_date, quantity, CAST(discount_pct AS DOUBLE) AS discount_pct,
+  CAST(total_amount AS DOUBLE) AS total_amount, status FROM moved""",
         ),
         "sql_over_views": query(
             [TRANSACTIONS, DONE, CUSTOMERS],
@@ -655,5 +675,17 @@ def fitted_facts() -> dict[str, str]:
     }
 
 
+#: Reports that there are as Spark SQL statements too, under the name sql_...: one and the same result.
+STATED = (
+    "churn_status_summary", "cohort_churn_rate", "churn_signals", "revenue_at_risk", "cohort_retention", "cohort_aov", "cohort_category",
+    "cohort_ltv", "rfm_ntile_summary", "ltv_by_segment", "pareto_customers", "spend_tier_by_month",
+)
+
+
+def statements() -> dict[str, str]:
+    known = {**churn_reports(), **segmentation(), **cohorts()}
+    return {f"sql_{name}": known[name] for name in STATED}
+
+
 def all_queries() -> dict[str, str]:
-    return {**churn_reports(), **segmentation(), **cohorts(), **sources(), **weekly(), **dashboards(), **churn_model(), **unknown_amounts(), **deliveries(), **fitted_facts()}
+    return {**statements(), **churn_reports(), **segmentation(), **cohorts(), **sources(), **weekly(), **dashboards(), **churn_model(), **unknown_amounts(), **deliveries(), **fitted_facts()}

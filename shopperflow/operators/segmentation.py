@@ -85,38 +85,50 @@ def ltv_by_segment(transactions: DataFrame, customers: DataFrame, snapshot_date:
     )
 
 
-def pareto_customers(
-    transactions: DataFrame, customers: DataFrame, top_n: int | None = None, top_fraction: str = "0.2"
-) -> DataFrame:
-    """The customers with the highest revenue, their share and the cumulative share.
+def revenue_ranks(transactions: DataFrame, customers: DataFrame, top_n: int | None = None, top_fraction: str = "0.2") -> DataFrame:
+    """customer_id, segment, revenue, rank_num, cumulative_revenue, total_revenue, customers: those with the highest revenue.
 
     Ranks are told apart by customer_id; customers with equal revenue share the cumulative value. A
-    customer whose amounts are all unknown has no revenue and ranks last.
+    customer whose amounts are all unknown has no revenue and ranks last. The revenue of the last rank is found
+    without ordering the table, so only customers from there on are ordered; the tail is only summed.
     """
-    revenue = (
+    revenue = settle(
         completed(transactions)
         .groupBy("customer_id")
         .agg(F.round(F.sum("total_amount"), 2).alias("revenue"))
         .join(customers.select("customer_id", "segment"), "customer_id")
     )
-    ordered = Ordered(revenue, F.col("revenue").desc(), F.col("customer_id").asc())
-    wanted = min(int(ordered.total * Fraction(top_fraction)) if top_n is None else top_n, ordered.total)
+    ranked = lambda n: min(int(n * Fraction(top_fraction)) if top_n is None else top_n, n)
+    n, cuts = cut_points(revenue, ["revenue"], "customer_id", lambda n: [n - ranked(n)])
+    wanted = ranked(n)
     # Peers of the last ranked customer count towards its cumulative value, so they stay in until
     # the ranks are known.
-    if wanted > 0:
-        last = ordered.rows_at([wanted - 1])[wanted - 1]["revenue"]
-        leading = ordered.rows if last is None else ordered.rows.filter(F.col("revenue") >= F.lit(last))
-    else:
-        leading = ordered.rows.limit(0)
-    summed = ordered.running_sums(leading, "revenue", {"cumulative": "revenue"}, descending=True)
-    total = F.lit(ordered.rows.agg(F.sum("revenue")).first()[0])
+    leading = revenue if wanted > 0 else revenue.limit(0)
+    if wanted > 0 and (last := cuts["revenue"][n - wanted][0]) is not None:
+        leading = revenue.filter(F.col("revenue") >= F.lit(last))
+    ordered = Ordered(leading, F.col("revenue").desc(), F.col("customer_id").asc())
+    summed = ordered.running_sums(ordered.rows, "revenue", {"cumulative_revenue": "revenue"}, descending=True)
     return (
         ordered.numbered("rank_num", summed)
         .filter(F.col("rank_num") <= wanted)
+        .select(
+            "customer_id", "segment", "revenue", "rank_num", "cumulative_revenue",
+            F.lit(revenue.agg(F.sum("revenue")).first()[0]).alias("total_revenue"), F.lit(n).cast("long").alias("customers"),
+        )
+    )
+
+
+def pareto_customers(
+    transactions: DataFrame, customers: DataFrame, top_n: int | None = None, top_fraction: str = "0.2"
+) -> DataFrame:
+    """The customers with the highest revenue, their share and the cumulative share (see `revenue_ranks`)."""
+    total = F.col("total_revenue")
+    return (
+        revenue_ranks(transactions, customers, top_n, top_fraction)
         .select(
             "customer_id", "segment", "revenue", "rank_num",
             ratio(F.col("revenue") * 100, total, 3).alias("pct_of_total"),
-            ratio(F.col("cumulative") * 100, total, 2).alias("cumulative_pct"),
+            ratio(F.col("cumulative_revenue") * 100, total, 2).alias("cumulative_pct"),
         )
         .orderBy("rank_num")
     )

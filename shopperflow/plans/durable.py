@@ -39,6 +39,36 @@ def modified(spark: SparkSession, path: str) -> int | None:
     return files.getFileStatus(where).getModificationTime() if files.exists(where) else None
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder, sorted; none if there is no such folder."""
+    files, where = _file(spark, path)
+    return sorted(entry.getPath().getName() for entry in files.listStatus(where)) if files.exists(where) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, whole."""
+    files, where = _file(spark, path)
+    stream = files.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file that is seen whole or not at all; refuses to replace one."""
+    files, where = _file(spark, path)
+    _, draft = _file(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    stream = files.create(draft, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    if files.exists(where) or not files.rename(draft, where):
+        files.delete(draft, False)
+        raise FileExistsError(path)
+
+
 @contextmanager
 def passing_folder(spark: SparkSession, purpose: str) -> Iterator[str]:
     """A shared folder that is gone at the end; settle() inside what is to outlive it."""

@@ -149,22 +149,107 @@ class Ordered:
 Cut = tuple  # (key, tie)
 
 
+#: Rows of a sample, splitters tried around each wanted position, and rows of a stretch that are simply fetched.
+SAMPLE = 2000
+SPLITTERS = 16
+FEW = 2000
+
+
+class _Search:
+    """One position of one key's order, and the stretch of rows it is known to lie in: from `low` to before `high`."""
+
+    def __init__(self, key: str, position: int, n: int):
+        self.key, self.position = key, position
+        self.low: Cut | None = None
+        self.high: Cut | None = None
+        self.before, self.size = 0, n  # rows below the stretch, and in it
+        self.tried: list[Cut] = []
+        self.found: Cut | None = None
+
+    def holds(self, tie: str) -> Column:
+        key, other = F.col(self.key), F.col(tie)
+        inside = F.lit(True)
+        if self.low is not None:
+            inside = inside & _reached(key, other, self.low)
+        return inside if self.high is None else inside & ~_reached(key, other, self.high)
+
+    def splitters(self, sample: list[Cut]) -> list[Cut]:
+        """Sampled rows around where the position should be: evenly over six standard errors, and the nearest."""
+        if not sample:
+            return []
+        share = (self.position - self.before) / self.size
+        middle, error = share * len(sample), 3 * (len(sample) ** 0.5) / 2 + 2
+        places = {round(middle + error * (2 * i / (SPLITTERS - 1) - 1)) for i in range(SPLITTERS)} | {int(middle)}
+        return [sample[i] for i in sorted(places) if 0 <= i < len(sample)]
+
+    def narrow(self, splitters: list[Cut], below: list[int]) -> None:
+        """`below`: rows of the whole table that come before each splitter."""
+        end = self.before + self.size
+        for cut, rows in zip(splitters, below):
+            if rows <= self.position:
+                self.low, self.before = cut, rows
+            else:
+                self.high, end = cut, rows
+                break
+        self.size = end - self.before
+
+
+def _rank(value) -> tuple:
+    """Spark's ascending order on the driver: NULL, numbers or texts, NaN."""
+    return (0,) if value is None else (2,) if value != value else (1, value)
+
+
 def cut_points(
     df: DataFrame, keys: Sequence[str], tie: str, positions: Callable[[int], Sequence[int]]
 ) -> tuple[int, dict[str, dict[int, Cut]]]:
-    """Exact (key, tie) values at chosen positions of each key's ascending order.
+    """Exact (key, tie) values at chosen positions of each key's ascending order; `tie` must be unique.
 
-    All keys are laid out in one pass. Returns the row count and, per key, position -> values.
+    No row is shuffled. In each round a bounded sample brackets every position, one aggregate counts the rows below
+    the splitters, and the search goes on in the stretch that holds the position, which a round makes some two
+    hundred times smaller; a stretch of a few rows is fetched. A value shared by a third of all rows is split by `tie`.
+    `df` is read in every round: settle it. Returns the row count and, per key, position -> values.
     """
-    melted = df.select(tie, *keys).unpivot([tie], list(keys), "__metric", "__key")
-    ordered = Ordered(melted, "__metric", "__key", tie)
-    n = ordered.total // len(keys)
+    n = df.count()
     chosen = [p for p in positions(n) if 0 <= p < n]
-    offset = {key: rank * n for rank, key in enumerate(sorted(keys))}
-    rows = ordered.rows_at({offset[key] + p for key in keys for p in chosen})
-    return n, {
-        key: {p: (rows[offset[key] + p]["__key"], rows[offset[key] + p][tie]) for p in chosen} for key in keys
-    }
+    searches = [_Search(key, p, n) for key in keys for p in sorted(set(chosen))]
+    round_ = 0
+    while open_ := [s for s in searches if s.found is None]:
+        fetched = {id(s): s.size <= FEW for s in open_}
+        rows = _picked(df, open_, fetched, tie, round_)
+        for search in open_:
+            mine = sorted({(_rank(k), _rank(t), k, t) for i, k, t in rows if open_[i] is search}, key=lambda r: r[:2])
+            if fetched[id(search)]:
+                search.found = mine[search.position - search.before][2:]
+            else:
+                search.tried = search.splitters([r[2:] for r in mine])
+        _count(df, [s for s in open_ if s.found is None], tie)
+        round_ += 1
+    return n, {key: {s.position: s.found for s in searches if s.key == key} for key in keys}
+
+
+def _picked(df: DataFrame, searches: list[_Search], whole: dict[int, bool], tie: str, round_: int) -> list[tuple]:
+    """(number of the search, key, tie): all rows of short stretches, about SAMPLE rows of the others."""
+    parts = []
+    for i, search in enumerate(searches):
+        taken = search.holds(tie)
+        if not whole[id(search)]:
+            taken = taken & (F.pmod(F.xxhash64(F.lit(round_), F.col(tie)), F.lit(search.size // SAMPLE + 1)) == 0)
+        kind = F.struct(F.lit(i).alias("i"), F.col(search.key).alias("k"), F.col(tie).alias("t"))
+        parts.append((search.key, F.when(taken, kind)))
+    out = []
+    for key in dict.fromkeys(k for k, _ in parts):  # keys may have unlike types
+        found = df.select(F.explode(F.array_compact(F.array(*[c for k, c in parts if k == key]))).alias("r")).select("r.*")
+        out += [tuple(row) for row in found.collect()]  # at most about SAMPLE or FEW rows a position
+    return out
+
+
+def _count(df: DataFrame, searches: list[_Search], tie: str) -> None:
+    tries = [(s, cut) for s in searches for cut in s.tried]
+    if not tries:
+        return
+    below = df.agg(*[F.count_if(~_reached(F.col(s.key), F.col(tie), cut)).alias(str(i)) for i, (s, cut) in enumerate(tries)]).first()
+    for search in searches:
+        search.narrow(search.tried, [below[i] for i, (s, _) in enumerate(tries) if s is search])
 
 
 def ntile_starts(n: int, tiles: int) -> list[int]:
@@ -182,12 +267,17 @@ def _same(column: Column, value) -> Column:
     return column.isNull() if value is None else column.eqNullSafe(F.lit(value))
 
 
+def _reached(key: Column, tie: Column, cut: Cut) -> Column:
+    """Whether a row is at or after the cut."""
+    first_key, first_tie = cut
+    return _after(key, first_key) | (_same(key, first_key) & (_after(tie, first_tie) | _same(tie, first_tie)))
+
+
 def ntile_of(key: Column, tie: Column, starts: Iterable[Cut]) -> Column:
     """Tile number of a row, given the (key, tie) that opens each later tile; NULL comes first."""
     tile = F.lit(1)
-    for first_key, first_tie in starts:
-        reached = _after(key, first_key) | (_same(key, first_key) & (_after(tie, first_tie) | _same(tie, first_tie)))
-        tile = tile + F.when(reached, 1).otherwise(0)
+    for cut in starts:
+        tile = tile + F.when(_reached(key, tie, cut), 1).otherwise(0)
     return tile
 
 

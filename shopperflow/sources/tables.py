@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import logging
 
 from pyspark.errors import AnalysisException
@@ -12,11 +11,11 @@ from pyspark.sql import types as T
 
 from ..plans.durable import modified
 from ..schemas import CUSTOMERS, SESSIONS, TRANSACTIONS
+from . import landing
+from .landing import Day, within
 
 log = logging.getLogger(__name__)
 
-Day = dt.date | str | None
-
 
 def _text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
@@ -33,9 +32,14 @@ def _value(column: str, kind: T.DataType) -> Column:
     return cell.try_cast(kind)
 
 
+def _declared(text: DataFrame, schema: T.StructType) -> dict[str, T.DataType]:
+    """Declared types of the columns a file has, other than text."""
+    return {f.name: f.dataType for f in schema.fields if f.name in text.columns and not isinstance(f.dataType, T.StringType)}
+
+
 def _kinds(text: DataFrame, schema: T.StructType) -> dict[str, T.DataType]:
-    """Declared types of the columns a file has; a date column that holds times of day is a timestamp."""
-    kinds = {f.name: f.dataType for f in schema.fields if f.name in text.columns and not isinstance(f.dataType, T.StringType)}
+    """The same, but a date column that holds times of day is a timestamp, which takes a look at its cells."""
+    kinds = _declared(text, schema)
     days = [name for name, kind in kinds.items() if isinstance(kind, T.DateType)]
     if days:
         longest = text.agg(*[F.max(F.length(F.trim(F.col(f"`{d}`")))).alias(d) for d in days]).first()
@@ -74,18 +78,6 @@ def warn_about_bad_cells(spark: SparkSession, folder: str, table: str, strict: b
     return found
 
 
-def within(df: DataFrame, column: str, start: Day = None, end: Day = None) -> DataFrame:
-    """Rows from `start` to `end`, both included, either open.
-
-    The conditions are plain comparisons, so a Parquet scan receives them.
-    """
-    if start is not None:
-        df = df.filter(F.col(column) >= F.lit(start).cast(df.schema[column].dataType))
-    if end is not None:
-        df = df.filter(F.col(column) <= F.lit(end).cast(df.schema[column].dataType))
-    return df
-
-
 def read_customers(spark: SparkSession, folder: str) -> DataFrame:
     return _csv(spark, f"{folder}/customers.csv", CUSTOMERS)
 
@@ -108,26 +100,9 @@ def read_sessions(spark: SparkSession, folder: str, start: Day = None, end: Day
 
 
 _SCHEMAS = {"customers": CUSTOMERS, "transactions": TRANSACTIONS, "sessions": SESSIONS}
-# table -> date column it is laid out by, and id
-_DATED = {"transactions": ("order_date", "transaction_id"), "sessions": ("session_date", "session_id")}
-
-
-def land_table(df: DataFrame, parquet_folder: str, table: str) -> None:
-    """Writes one table as Parquet, a dated one in a folder per month.
-
-    Dated rows are range-partitioned on the date and the id first: each task then writes few months,
-    and a busy month is still written by many tasks.
-    """
-    path = f"{parquet_folder}/{table}"
-    if table not in _DATED:
-        df.write.mode("overwrite").parquet(path)
-        return
-    day, key = _DATED[table]
-    months = df.withColumn("month_start", F.trunc(day, "MM")).repartitionByRange(day, key)
-    months.write.mode("overwrite").partitionBy("month_start").parquet(path)
-
-
+land_table, landed = landing.land_table, landing.landed
 _READERS = {"customers": read_customers, "transactions": read_transactions, "sessions": read_sessions}
+_OPTIONAL = ("sessions",)
 
 
 def land(spark: SparkSession, csv_folder: str, parquet_folder: str, strict: bool = False) -> None:
@@ -137,35 +112,32 @@ def land(spark: SparkSession, csv_folder: str, parquet_folder: str, strict: bool
 
 
 def _land_one(spark: SparkSession, csv_folder: str, parquet_folder: str, table: str, strict: bool) -> None:
-    df = _READERS[table](spark, csv_folder)
-    if modified(spark, f"{csv_folder}/{table}.csv") is not None:
-        warn_about_bad_cells(spark, csv_folder, table, strict)
-    land_table(df, parquet_folder, table)
+    path = f"{csv_folder}/{table}.csv"
+    changed = modified(spark, path)
+    if changed is None and table in _OPTIONAL:
+        landing.land_table(_READERS[table](spark, csv_folder), parquet_folder, table)
+        return
+    text = _text(landing.apart(spark), path)
+    made = landing.land_text(text, _declared(text, _SCHEMAS[table]), _value, parquet_folder, table, changed, strict)
+    lost = {c: n for c, n in made.quality["bad_cells"].items() if n}
+    if lost:
+        log.warning("%s: unreadable cells, read as NULL, in %s", table, lost)
 
 
 def land_news(spark: SparkSession, csv_folder: str, parquet_folder: str, strict: bool = False) -> list[str]:
-    """Lands the tables whose CSV is newer than what has been landed, and names them."""
+    """Lands the tables whose CSV is not the one that has been landed, and names them.
+
+    Without a file of sessions an empty table is landed, also if there was one before; other files must be there.
+    """
     news = []
     for table in _READERS:
-        landed_at = modified(spark, f"{parquet_folder}/{table}/_SUCCESS")
-        if landed_at is None or (modified(spark, f"{csv_folder}/{table}.csv") or 0) > landed_at:
+        before = landing.manifest(spark, parquet_folder, table)
+        if before is None or before.source_modified != modified(spark, f"{csv_folder}/{table}.csv"):
             _land_one(spark, csv_folder, parquet_folder, table, strict)
             news.append(table)
     return news
 
 
-def landed(spark: SparkSession, parquet_folder: str, table: str, start: Day = None, end: Day = None) -> DataFrame:
-    """A landed table; a date window reads only the month folders it touches."""
-    df = spark.read.parquet(f"{parquet_folder}/{table}")
-    if table not in _DATED:
-        return df
-    if start is not None:
-        df = df.filter(F.col("month_start") >= F.trunc(F.lit(start).cast("date"), "MM"))
-    if end is not None:
-        df = df.filter(F.col("month_start") <= F.lit(end).cast("date"))
-    return within(df, _DATED[table][0], start, end).drop("month_start")
-
-
 def register_views(customers: DataFrame, transactions: DataFrame, sessions: DataFrame | None = None) -> None:
     """Makes the tables available to spark.sql under their own names."""
     customers.createOrReplaceTempView("customers")
