@@ -42,15 +42,19 @@ def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x, dtype=U64).view(np.int64)
 
 
+#: Powers that workers keep; longer rows of them are made anew, so that a worker that has seen a long text gives it back.
+_KEPT_POWERS = 1 << 16
+
+
 def power(which: int, inverse: bool, n: int) -> np.ndarray:
     held = _powers.get((which, inverse))
     if held is None or len(held) < n:
         base = _BASES[which] if not inverse else pow(_BASES[which], -1, 2**64)
-        size = 1 << max(16, (n - 1).bit_length())
-        held = np.empty(size, U64)
+        held = np.full(max(n, _KEPT_POWERS), base, U64)
         held[0] = 1
-        held[1:] = np.multiply.accumulate(np.full(size - 1, base, U64))
-        _powers[which, inverse] = held
+        np.multiply.accumulate(held, out=held)
+        if n <= _KEPT_POWERS:
+            _powers[which, inverse] = held
     return held[:n]
 
 

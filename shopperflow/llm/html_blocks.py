@@ -28,7 +28,8 @@ from .crf import Chain, fit
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^<>\"']*)*)>"
+    # A quote opens a value only after an equals sign: data-x=don't does not.
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^<>])*+)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>"
     r"|<[!?/][^>]*(?:>|\Z)|[^<]+|<",
     re.S,
@@ -166,6 +167,11 @@ def blocks(page: str | None) -> list[Block]:
                 at = closed[name].get(m.start(), end if name in ("script", "style") else at)
             continue
         if name in _INLINE:
+            if not closing and name not in _VOID and _hidden(m.group(3) or m.group(6) or ""):
+                if name not in closed:
+                    closed[name] = _ends(page, name)
+                at = closed[name].get(m.start(), at)
+                continue
             if name == "a":
                 links = max(0, links + (-1 if closing else 1))
             if name in ("br", "img", "input", "button"):

@@ -130,7 +130,8 @@ def _commonness(rows: DataFrame, size: int) -> np.ndarray:
 
 def described(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """doc_id, n (size of the set), c and d (hashes of the set), prefix, signature: one row a document, written down."""
-    rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
     common = rows.sparkSession.sparkContext.broadcast(_commonness(rows.select("text"), size))  # 2**ORDER_BITS bytes
 
     def make(part: pa.RecordBatch) -> dict:
@@ -150,7 +151,9 @@ def described(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
             out["signature"].append(signature(found) if n else b"")
         return {"doc_id": part.column("doc_id"), **out}
 
-    return folder_of(mapped(rows, "text", make, "doc_id long, n long, c long, d long, prefix array<long>, signature binary"))
+    made = folder_of(mapped(rows, "text", make, f"doc_id {kind}, n long, c long, d long, prefix array<long>, signature binary"))
+    common.unpersist()
+    return made
 
 
 def _grouped(batches):
@@ -257,7 +260,9 @@ def _verified(pairs: DataFrame, documents: DataFrame, doc_id: str, text: str, pe
         at = pa.array(np.flatnonzero(keep))
         return {"a": part.column("a").take(at), "b": part.column("b").take(at)}
 
-    return folder_of(mapped(both, "t", linked, "a long, b long"))
+    made = folder_of(mapped(both, "t", linked, "a long, b long"))
+    needed.unpersist()  # what used it is written down; a straggler may still fetch it
+    return made
 
 
 def links(rows: DataFrame, documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
@@ -281,6 +286,7 @@ def links(rows: DataFrame, documents: DataFrame, doc_id: str = "doc_id", text: s
     spread = spread.repartition("token").sortWithinPartitions("token", "n", "c")
     layout = "token long, c long, n long, lead long, place long, before long, n_before long, lead_before long"
     groups = folder_of(spread.mapInArrow(_grouped, layout))
+    speakers.unpersist()
     signatures = some.groupBy("c").agg(F.first("n").alias("n"), F.first("signature").alias("signature"))
 
     may_link = f"{100 + percent} * least(n - lead, n_before - lead_before) >= {percent} * (n + n_before)"
@@ -352,20 +358,30 @@ def joined(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", per
 def one_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """The documents without near copies: of each component the one with the smallest id stays (and rows without id).
 
-    A bit set of the ids that go tells most rows apart; only the others are shuffled for the join that decides.
+    A node is an id with its text, so unlike texts of one id are told apart and both stay; of several texts of one id
+    in one component the one with the smaller hash stays, and of rows equal in both the first as JSON.
+    Bit sets of what goes tell most rows apart; only the others are shuffled for the joins that decide.
     """
     spark = documents.sparkSession
-    gone = joined(documents, doc_id, text, percent, size).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone"))
-    gone = folder_of(gone.distinct())
-    held = spark.sparkContext.broadcast(BitSet.of(gone.select(F.xxhash64("__gone").alias("h")), "h", CLASS_BITS))
+    parts = F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), F.col(text)).alias("i"))
+    node = F.when(F.col(doc_id).isNotNull(), parts).alias("__node")
+    texts = documents.select(node, F.col(text).alias("__text"))
+    gone = joined(texts, "__node", "__text", percent, size).where("component_id <> doc_id").select(F.col("doc_id").alias("__node"))
+    again = texts.where("__node is not null").groupBy("__node").agg(F.count("*").alias("n")).where("n > 1").select("__node")
+    # Of nodes that go, no row stays; of those that several rows have, one does.
+    gone = gone.distinct().withColumn("goes", F.lit(True)).unionByName(again.withColumn("goes", F.lit(False)))
+    gone = folder_of(gone.groupBy("__node").agg(F.max("goes").alias("__goes")))
+    held = spark.sparkContext.broadcast(BitSet.of(gone.select(F.xxhash64("__node").alias("h")), "h", CLASS_BITS))
 
     def told_apart(batches):
         for batch in batches:
-            may_go = pa.array(held.value.has(batch.column("__hash").to_numpy().view(U64)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], may_go], names=[*batch.schema.names[:-1], "__may_go"])
-
-    key = F.col(doc_id).cast("long")
-    fields = T.StructType([*documents.schema.fields, T.StructField("__may_go", T.BooleanType())])
-    told = documents.withColumn("__hash", F.xxhash64(key)).mapInArrow(told_apart, fields)
-    asked = told.where("__may_go").join(gone, key == F.col("__gone"), "left_anti")
-    return told.where("not __may_go").unionByName(asked).drop("__may_go")
+            asked = pa.array(held.value.has(batch.column("__hash").to_numpy().view(U64)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], asked], names=["__row", "__node", "__asked"])
+
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("__row"), node)
+    fields = T.StructType([*rows.schema.fields, T.StructField("__asked", T.BooleanType())])
+    told = rows.withColumn("__hash", F.xxhash64("__node")).mapInArrow(told_apart, fields)
+    asked = told.where("__asked").join(gone, "__node", "left").where("not coalesce(__goes, false)")
+    several = asked.where("__goes is not null").groupBy("__node").agg(F.min_by("__row", F.to_json("__row")).alias("__row"))
+    kept = [told.where("not __asked"), asked.where("__goes is null"), several]
+    return kept[0].select("__row.*").unionByName(kept[1].select("__row.*")).unionByName(kept[2].select("__row.*"))

@@ -30,8 +30,10 @@ def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    rows = suffix_dedup.without_repeats(_table(spark, folder, "documents").select("doc_id", "text"), with_kept=False)
-    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    rows = suffix_dedup.without_repeats(_table(spark, folder, "documents").select("doc_id", "text"))
+    # A cut may fall inside a character; its bytes are shown as U+FFFD here, the hash is that of the bytes.
+    text = F.make_valid_utf8(F.col("kept").cast("string")).alias("text")
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", text)
 
 
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:

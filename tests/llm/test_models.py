@@ -251,4 +251,16 @@ def test_pipeline_stages_take_any_rows(spark, sf_dir, varied):
             assert out.dtypes == odd.dtypes
         assert stage(spark, odd.limit(0), sf_dir).count() == 0
     kept = dict(pipeline.STAGES)["near_copies"](spark, odd, sf_dir).where("doc_id is not null")
-    assert kept.count() == kept.select("doc_id").distinct().count()
+    assert kept.count() == kept.select("doc_id", "text").distinct().count()
+
+
+def test_unlike_texts_of_one_id_stay(spark, sf_dir, docs):
+    import corpus_pipeline as pipeline
+
+    near_copies = dict(pipeline.STAGES)["near_copies"]
+    rows = [(1, "One two three four five six."), (1, "Wholly other text is here now."), (1, "one two three four five six."), (2, "wholly other text is here now.")]
+    for _ in range(2):
+        kept = near_copies(spark, docs(*rows).repartition(3), sf_dir).select("doc_id", "text").collect()
+        assert len(kept) == 2 and {r.doc_id for r in kept} == {1} and len({r.text.lower() for r in kept}) == 2
+    maps = docs((5, "a b c d e f"), (5, "a b c d e f"), (6, "other")).selectExpr("*", "map('k', lang) AS m", "1 AS `a.b`")
+    assert near_copies(spark, maps, sf_dir).count() == 2

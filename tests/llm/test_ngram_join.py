@@ -110,3 +110,22 @@ def test_bit_set(spark):
     held = arrays.BitSet.of(spark.createDataFrame([(5,), (-1,), (2**40 + 3,), (None,)], "h long"), "h", 12)
     assert held.has(np.array([5, 2**64 - 1, 2**40 + 3, 3], np.uint64)).all()
     assert not held.has(np.array([6, 7], np.uint64)).any()
+
+
+@pytest.mark.parametrize("n", range(7))
+def test_few_words_in_a_partition(docs, n):
+    df = docs((1, " ".join("xyzuvwq"[:n]))).coalesce(1)
+    assert [tuple(r) for r in ngram_join.joined(df).collect()] == [(1, 0 if n == 0 else max(1, n - 4), 1)]
+
+
+def test_words_that_sums_alone_would_confuse(docs):
+    """The Thue-Morse word of 1,024 letters and its mirror: polynomial sums modulo 2**64 agree on them for any base."""
+    one, two = "a", "b"
+    for _ in range(10):
+        one, two = one + two, two + one
+    assert {r.doc_id: r.component_id for r in ngram_join.joined(docs((1, one), (2, two), (3, one))).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_ids_of_any_type(spark):
+    df = spark.createDataFrame([("b", "one two three four five six"), ("a", "ONE two three four five six"), ("c", None), (None, "one two")], "doc_id string, text string")
+    assert sorted((str(r.doc_id), r.component_id) for r in ngram_join.joined(df).collect()) == [("None", None), ("a", "a"), ("b", "a"), ("c", "c")]

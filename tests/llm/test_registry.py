@@ -8,7 +8,7 @@ from shopperflow.llm import duckdb_sql, queries
 
 COLUMNS = {
     "op1_ngram_join": ["doc_id", "n_shingles", "component_id"],
-    "op2_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+    "op2_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"],
     "op3_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
     "op5_order_minhash": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op6_line_quality": ["doc_id", "held_out", "score", "predicted"],

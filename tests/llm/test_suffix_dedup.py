@@ -64,3 +64,11 @@ def test_kept_bytes_and_columns(docs):
     out = suffix_dedup.without_repeats(docs((1, "first " + passage), (2, "second " + passage)))
     kept = {r.doc_id: bytes(r.kept) for r in out.collect()}
     assert kept[1].startswith(b"first"[:5]) and len(kept[1]) < 20 and "score" in out.columns
+
+
+def test_strings_that_sums_alone_would_confuse(docs):
+    one, two = "a", "b"
+    for _ in range(10):
+        one, two = one + two, two + one
+    rows = [(1, one), (2, two), (3, "x" + one)]
+    assert found(docs(*rows), length=1024) == brute(rows, 1024)

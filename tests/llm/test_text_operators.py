@@ -353,3 +353,15 @@ def test_units_at_once_equal_units_alone(vocabulary):
         assert (scores[0], ids.tolist()) == vocabulary.n_best(text, 1)[0]
         alone = [vocabulary.unit(u, 1)[0] for u in piece_lattice._UNIT.findall(" " + text)]
         assert ids.tolist() == list(itertools.chain.from_iterable(i for _, i in alone)) and scores[0] == sum(s for s, _ in alone)
+
+
+def test_quotes_without_an_equals_sign_open_no_value():
+    page = "<body><div data-x=don't><p>Lost text here?</p><div data-y=can't><p>End.</p></div></div></body>"
+    assert [b.text for b in html_blocks.blocks(page)] == ["Lost text here?", "End."]
+    page = '<p title="a > b" data-q = \'c > "d"\'>Seen.</p><p title="open>Still seen.</p><p>Last.</p>'
+    assert "Seen." in " ".join(b.text for b in html_blocks.blocks(page)) and "Last." in " ".join(b.text for b in html_blocks.blocks(page))
+
+
+def test_hidden_elements_inside_lines():
+    page = "<p>One <span hidden>unseen <span>deep</span></span>two <b aria-hidden='true'>not</b> <i style='display:none'>nor</i> <em>three</em>.</p>"
+    assert [b.text for b in html_blocks.blocks(page)] == ["One two three ."] or [b.text for b in html_blocks.blocks(page)] == ["One two three."]
