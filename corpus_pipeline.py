@@ -6,20 +6,36 @@ last return the columns of `docs` as they came, whatever else these are; the las
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopperflow.llm import decontaminate, line_quality, ngram_join, piece_lattice, pseudonyms
-from shopperflow.llm.queries import KEY, model_file
+from shopperflow.llm.queries import KEY as TEST_KEY
+from shopperflow.llm.queries import model_file
 from shopperflow.plans.durable import settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+log = logging.getLogger(__name__)
+
+#: The caller's secret, see `key`.
+KEY: bytes | None = None
 #: A prefix for a stage's own columns, so that they never meet a column of the documents.
 _OWN = "__pipeline_"
 
 
+def key() -> bytes:
+    """The secret of the pseudonyms: set it here for a corpus that matters (`corpus_pipeline.KEY = ...`).
+
+    Until it is set, the key of the test tables is used, with which anybody can lead the pseudonyms back.
+    """
+    if KEY is None:
+        log.warning("personal_data: corpus_pipeline.KEY is not set, using the key of the test tables")
+    return TEST_KEY if KEY is None else KEY
+
+
 def _apart(docs: DataFrame) -> DataFrame:
     """id and text for an operator, the whole row beside them."""
     return docs.select(F.col("doc_id"), F.col("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(f"{_OWN}row"))
@@ -37,14 +53,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies, that with the smallest id; of rows that bear one id, any one."""
-    kept = ngram_join.one_of_each(docs)
-    other = f"{_OWN}id"
-    same = F.col("doc_id") == F.col(other)
-    shared = docs.groupBy(F.col("doc_id").alias(other)).count().where(f"count > 1 and {other} is not null").select(other)
-    if shared.isEmpty():
-        return kept
-    return kept.join(shared, same, "left_anti").unionByName(kept.join(shared, same, "left_semi").dropDuplicates(["doc_id"]))
+    """Keeps one document of each group of near copies, that with the smallest id; unlike texts of one id all stay."""
+    return ngram_join.one_of_each(docs)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +65,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by pseudonyms; n_chars, where there is one, counts the new text."""
-    rows = pseudonyms.pseudonymised(_apart(docs), KEY)
+    rows = pseudonyms.pseudonymised(_apart(docs), key())
     new = {"text": F.col("text"), "n_chars": F.when(F.col(f"{_OWN}row.n_chars").isNotNull(), F.length("text")) if "n_chars" in docs.columns else None}
     return rows.select(*[
         (new[c].cast(docs.schema[c].dataType) if c in new else F.col(f"{_OWN}row")[c]).alias(c) for c in docs.columns
