@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib
 import importlib.util
+import logging
 import sys
 from collections.abc import Callable
 from pathlib import Path
+from types import ModuleType
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,6 +34,8 @@ from shopperflow.sources.star_schema import StarSchema  # noqa: E402
 from shopperflow.sql import session as sql_session  # noqa: E402
 from shopperflow.sql.statements import STATEMENTS  # noqa: E402
 
+log = logging.getLogger(__name__)
+
 SNAPSHOT = dt.date(2001, 8, 2)
 WINDOW = (dt.date(2000, 1, 15), dt.date(2000, 3, 20))
 Query = Callable[[SparkSession, str], DataFrame]
@@ -346,9 +351,19 @@ _REPORTS: dict[str, Callable[[StarSchema], DataFrame]] = {
 }
 
 
-def _present(module: str) -> bool:
-    """Whether a part of the repository that may be left out is there; errors inside it are not hidden."""
-    return importlib.util.find_spec(module) is not None
+def _optional(name: str) -> ModuleType | None:
+    """A part of the repository that may be left out, or that lacks a package on this machine; then it is not registered."""
+    try:
+        return importlib.import_module(name)
+    except ImportError as problem:
+        if importlib.util.find_spec(name.split(".")[0]) and not _left_out(name, problem):
+            log.warning("%s is not registered: %s", name, problem)
+        return None
+
+
+def _left_out(name: str, problem: ImportError) -> bool:
+    """Whether what is missing is the part itself."""
+    return isinstance(problem, ModuleNotFoundError) and problem.name is not None and name.startswith(problem.name)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -357,26 +372,17 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = {name: _query(report) for name, report in _REPORTS.items()}
-    if _present("shopperflow.llm"):
-        from shopperflow.llm.queries import QUERIES
-
-        found |= QUERIES
-        if _present("corpus_pipeline"):
-            import corpus_pipeline
-
-            found["pipeline"] = corpus_pipeline.run
+    if llm := _optional("shopperflow.llm.queries"):
+        found |= llm.QUERIES
+        if pipeline := _optional("corpus_pipeline"):
+            found["pipeline"] = pipeline.run
     return found
 
 
 def oracle_sql() -> dict[str, str]:
     found = duckdb_sql.all_queries()
-    if _present("shopperflow.llm"):
-        from shopperflow.llm.duckdb_sql import QUERIES
-
-        found |= QUERIES
-        if _present("corpus_pipeline"):
-            import corpus_pipeline
-
-            if corpus_pipeline.ORACLE_SQL:
-                found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    if _optional("shopperflow.llm.queries"):
+        found |= importlib.import_module("shopperflow.llm.duckdb_sql").QUERIES
+        if (pipeline := _optional("corpus_pipeline")) and pipeline.ORACLE_SQL:
+            found["pipeline"] = pipeline.ORACLE_SQL
     return found
