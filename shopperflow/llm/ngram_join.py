@@ -44,6 +44,9 @@ ORDER_BITS = 22
 CLASS_BITS = 27
 TILE = 256
 LEAST_SIGNATURE = 512
+#: Bytes of a bitmap that goes into tiles, where a class may be in many: wider ones are folded, and those of the pairs
+#: that are left are compared in full width.
+TILE_SIGNATURE = 128
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -89,6 +92,13 @@ def signature(found: np.ndarray) -> bytes:
     return np.packbits(held, bitorder="little").tobytes()
 
 
+def folded(signature: bytes) -> bytes | None:
+    """A wide bitmap in TILE_SIGNATURE bytes; None if it is no wider."""
+    if len(signature) <= TILE_SIGNATURE:
+        return None
+    return np.bitwise_or.reduce(np.frombuffer(signature, U64).reshape(-1, TILE_SIGNATURE // 8), 0).tobytes()
+
+
 def overlap_bounds(signatures: list[bytes], sizes: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
     """The most that the sets of rows `one` and `two` can share, by their bitmaps (of unequal ones the larger is folded)."""
     out = np.minimum(sizes[one], sizes[two])
@@ -129,14 +139,14 @@ def _commonness(rows: DataFrame, size: int) -> np.ndarray:
 
 
 def described(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    """doc_id, n (size of the set), c and d (hashes of the set), prefix, signature: one row a document, written down."""
+    """doc_id, n (size of the set), c and d (hashes of the set), prefix, signature and small (folded): one row a document, written down."""
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     common = rows.sparkSession.sparkContext.broadcast(_commonness(rows.select("text"), size))  # 2**ORDER_BITS bytes
 
     def make(part: pa.RecordBatch) -> dict:
         hashes, ends = shingle_sets(texts_of(part.column("text")), size)
-        out: dict[str, list] = {"n": [], "c": [], "d": [], "prefix": [], "signature": []}
+        out: dict[str, list] = {"n": [], "c": [], "d": [], "prefix": [], "signature": [], "small": []}
         first, second = mix(hashes + U64(1)), mix(hashes ^ U64(0x5851F42D4C957F2D))
         rank = (common.value[(hashes & U64(2**ORDER_BITS - 1)).astype(np.int64)].astype(U64) << U64(61)) | (hashes >> U64(3))
         for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
@@ -149,9 +159,10 @@ def described(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
             leading = found[np.argsort(rank[a:b], kind="stable")[: prefix_length(n, percent)]] if n else found
             out["prefix"].append(signed(leading))
             out["signature"].append(signature(found) if n else b"")
+            out["small"].append(folded(out["signature"][-1]))
         return {"doc_id": part.column("doc_id"), **out}
 
-    made = folder_of(mapped(rows, "text", make, f"doc_id {kind}, n long, c long, d long, prefix array<long>, signature binary"))
+    made = folder_of(mapped(rows, "text", make, f"doc_id {kind}, n long, c long, d long, prefix array<long>, signature binary, small binary"))
     common.unpersist()
     return made
 
@@ -287,7 +298,7 @@ def links(rows: DataFrame, documents: DataFrame, doc_id: str = "doc_id", text: s
     layout = "token long, c long, n long, lead long, place long, before long, n_before long, lead_before long"
     groups = folder_of(spread.mapInArrow(_grouped, layout))
     speakers.unpersist()
-    signatures = some.groupBy("c").agg(F.first("n").alias("n"), F.first("signature").alias("signature"))
+    signatures = some.groupBy("c").agg(F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("small").alias("small"))
 
     may_link = f"{100 + percent} * least(n - lead, n_before - lead_before) >= {percent} * (n + n_before)"
     beside = groups.where("place > 0")
@@ -318,11 +329,11 @@ def links(rows: DataFrame, documents: DataFrame, doc_id: str = "doc_id", text: s
         "and one.low_component = two.low_component)".format(percent)
     ).select("token", F.col("one.block").alias("low"), F.col("two.block").alias("high"))
     ways = tiles.select("token", "low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
-    met = members.join(ways, ["token", "block"]).join(signatures.select("c", "signature"), "c")
+    met = members.join(ways, ["token", "block"]).join(signatures.select("c", F.coalesce("small", "signature").alias("signature")), "c")
     met = met.select("token", "low", "high", "c", "n", "lead", "component", (F.col("block") == F.col("high")).cast("int").alias("upper"), "signature")
     met = met.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
     left = met.mapInArrow(_meeting(percent), "a long, b long").distinct()
-    second = _verified(folder_of(left), documents, doc_id, text, percent, size)
+    second = _verified(_bounded(folder_of(left), signatures, percent), documents, doc_id, text, percent, size)
     return first.unionByName(second).distinct()
 
 

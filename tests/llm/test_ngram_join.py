@@ -129,3 +129,14 @@ def test_words_that_sums_alone_would_confuse(docs):
 def test_ids_of_any_type(spark):
     df = spark.createDataFrame([("b", "one two three four five six"), ("a", "ONE two three four five six"), ("c", None), (None, "one two")], "doc_id string, text string")
     assert sorted((str(r.doc_id), r.component_id) for r in ngram_join.joined(df).collect()) == [("None", None), ("a", "a"), ("b", "a"), ("c", "c")]
+
+
+def test_folded_bitmaps_never_bound_below_the_overlap_either():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 9000, int(n)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for n in rng.integers(1, 4000, 30)]
+    sizes = np.array([len(s) for s in sets])
+    one, two = np.triu_indices(len(sets), 1)
+    small = [ngram_join.folded(s) or s for s in map(ngram_join.signature, sets)]
+    assert max(map(len, small)) == ngram_join.TILE_SIGNATURE
+    true = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(one, two)])
+    assert (ngram_join.overlap_bounds(small, sizes, one, two) >= true).all()
