@@ -11,11 +11,13 @@ the smallest doc_id, and there the earliest; sentences that any other place of a
 removed.
 
 Two passes keep the shuffles small: the first counts 64-bit hashes and leaves a bit set of those that
-occur twice (fixed size; a wrong yes costs time only), the second compares 128 bits of what is left.
+occur twice (fixed size; a wrong yes costs time only), the second compares 128 bits of what is left. A run
+that a large share of all places bear stays where it is: its first place, one row, is sent to them. Texts
+that lose nothing are not shuffled.
 
 Defined results: null and empty texts have no sentences and stay as they are; a text shorter than any
 run is kept whole; rows equal in id and text count as one document and are treated alike; a null doc_id
-comes before all others; a run that overlaps its own repeat inside one document loses the later places;
+comes before all others (ids may have any type that has an order); a run that overlaps its own repeat inside one document loses the later places;
 empty tables give no rows.
 """
 
@@ -29,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import BitSet, annotated, folder_of, mapped
+from ..plans.hot_keys import hot_keys, unique_join
+from .arrays import U64, BitSet, annotated, folder_of, mapped
 
 LEAST_WORDS = 12
 ALONE_WORDS = 48
@@ -57,7 +60,7 @@ def n_words(sentence: str, words: list[str]) -> int:
     return sum(max(1, sum(len(c.findall(w)) // n for n, c in _UNSPACED.items())) for w in words)
 
 
-def runs(text: str | None, least: int = LEAST_WORDS) -> list[tuple[bytes, int, int]]:
+def runs(text: str | None, least: int = LEAST_WORDS, alone: int = ALONE_WORDS) -> list[tuple[bytes, int, int]]:
     """(128-bit hash, first sentence, number of sentences) of every run that counts."""
     found = sentences(text)
     words = [s.lower().split() if s.isascii() else s.encode().lower().decode().split() for s in found]
@@ -65,7 +68,7 @@ def runs(text: str | None, least: int = LEAST_WORDS) -> list[tuple[bytes, int, i
     totals = [0]
     for s, w in zip(found, words):
         totals.append(totals[-1] + n_words(s, w))
-    places = {(i, i + 1) for i in range(len(plain)) if totals[i + 1] - totals[i] >= ALONE_WORDS}
+    places = {(i, i + 1) for i in range(len(plain)) if totals[i + 1] - totals[i] >= alone}
     j = 0
     for i in range(len(plain)):  # shortest runs from i on
         j = max(j, i + 2)
@@ -84,53 +87,85 @@ def runs(text: str | None, least: int = LEAST_WORDS) -> list[tuple[bytes, int, i
 
 
 def _named(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return documents.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(doc_id, text).alias("row")
-    )
+    """doc_id, text and two hashes that name the row."""
+    d, t = F.col(f"`{doc_id}`"), F.col(f"`{text}`")
+    return documents.select(d.alias("doc_id"), t.alias("text"), F.xxhash64(d, t).alias("row"), F.xxhash64(t, d).alias("row2"))
 
 
-def repeated(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_WORDS, bits: int = BITS) -> DataFrame:
-    """doc_id, row (names the row), first, size: every place of a repeated run that is not its first place."""
+def _later_places(documents: DataFrame, doc_id: str, text: str, least: int, alone: int, bits: int) -> DataFrame:
+    """doc_id, row, row2, first, size of the places of repeated runs but the first; rows that repeat repeat them."""
     rows = _named(documents, doc_id, text)
 
     def hashes(part: pa.RecordBatch) -> dict:
-        found = b"".join(h for t in part.column("text").to_pylist() for h, _, _ in runs(t, least))
+        found = b"".join(h for t in part.column("text").to_pylist() for h, _, _ in runs(t, least, alone))
         return {"h": np.frombuffer(found, np.int64)[::2]}
 
     counted = mapped(rows.select("text"), "text", hashes, "h long").groupBy("h").agg(F.count("*").alias("n"))
     shared = rows.sparkSession.sparkContext.broadcast(BitSet.of(counted.where("n > 1"), "h", bits))
 
     def places(part: pa.RecordBatch) -> dict | None:
-        columns: list[list] = [[], [], [], [], [], []]
-        for d, t, r in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "row"))):
-            found = runs(t, least)
+        columns: list[list] = [[], [], [], [], [], [], []]
+        for d, t, r, r2 in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "row", "row2"))):
+            found = runs(t, least, alone)
             if found:
                 keys = np.frombuffer(b"".join(h for h, _, _ in found), np.int64).reshape(-1, 2)
                 for i in np.flatnonzero(shared.value.has(keys[:, 0].view(np.uint64))).tolist():
-                    for column, value in zip(columns, (int(keys[i, 0]), int(keys[i, 1]), d, r, found[i][1], found[i][2])):
+                    for column, value in zip(columns, (int(keys[i, 0]), int(keys[i, 1]), d, r, r2, found[i][1], found[i][2])):
                         column.append(value)
-        return dict(zip(("h", "h2", "doc_id", "row", "first", "size"), columns)) if columns[0] else None
-
-    found = folder_of(mapped(rows, "text", places, "h long, h2 long, doc_id long, row long, first int, size int"))
-    place = F.struct("doc_id", "row", "first")
-    first = found.groupBy("h", "h2").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most")
-    return (
-        found.join(first.drop("most"), ["h", "h2"])
-        .where(~place.eqNullSafe(F.col("least")))
-        .select("doc_id", "row", "first", "size")
-        .distinct()
-    )
-
-
-def without_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_WORDS, bits: int = BITS) -> DataFrame:
-    """All columns; the text without repeated sentences, and n_sentences, n_removed."""
-    covered = repeated(documents, doc_id, text, least, bits).groupBy("row").agg(F.collect_list(F.struct("first", "size")).alias("__covered"))
-    named = documents.withColumn("__row", F.xxhash64(doc_id, text))
-    both = named.join(covered.withColumnRenamed("row", "__row"), "__row", "left").drop("__row")
-
-    def make(part: pa.RecordBatch) -> dict:
+        return dict(zip(("h", "h2", "doc_id", "row", "row2", "first", "size"), columns)) if columns[0] else None
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    found = folder_of(mapped(rows, "text", places, f"h long, h2 long, doc_id {kind}, row long, row2 long, first int, size int"))
+    place = F.struct("doc_id", "row", "row2", "first")
+    of_runs = found.groupBy("h", "h2").agg(F.min(place).alias("least"), F.max(place).alias("most"), F.count("*").alias("n"))
+    first = folder_of(of_runs.where("least <> most").drop("most"))
+    hot = hot_keys(first, "n", found.count()).select("h", "h2")
+    later = unique_join(found, first.drop("n"), ["h", "h2"], hot)
+    return later.where(~place.eqNullSafe(F.col("least"))).select("doc_id", "row", "row2", "first", "size")
+
+
+def repeated(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_WORDS, alone: int = ALONE_WORDS, bits: int = BITS
+) -> DataFrame:
+    """doc_id, row, row2 (both name the row), first, size: every place of a repeated run that is not its first place."""
+    return _later_places(documents, doc_id, text, least, alone, bits).distinct()
+
+
+def _unused(documents: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in documents.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def without_repeats(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_WORDS, alone: int = ALONE_WORDS, bits: int = BITS
+) -> DataFrame:
+    """All columns; the text without repeated sentences, and n_sentences, n_removed.
+
+    Texts that lose nothing are not shuffled: a bit set of the others tells them apart.
+    """
+    row, row2, marked, covered = (_unused(documents, f"__{x}") for x in ("row", "row2", "marked", "covered"))
+    places = _later_places(documents, doc_id, text, least, alone, bits)
+    cuts = places.groupBy(F.col("row").alias(row), F.col("row2").alias(row2)).agg(F.collect_set(F.struct("first", "size")).alias(covered))
+    cuts = folder_of(cuts)
+    losing = documents.sparkSession.sparkContext.broadcast(BitSet.of(cuts, row, bits))
+    d, t = F.col(f"`{doc_id}`"), F.col(f"`{text}`")
+    named = documents.withColumns({row: F.xxhash64(d, t), row2: F.xxhash64(t, d)})
+    added = f"`{text}` string, n_sentences long, n_removed long"
+
+    def told_apart(counted: bool):
+        def make(part: pa.RecordBatch) -> dict:
+            texts, goes_on = part.column("__text"), losing.value.has(part.column(row).to_numpy().view(U64))
+            sizes = [len(sentences(t)) if counted and not on else 0 for t, on in zip(texts.to_pylist(), goes_on.tolist())]
+            return {text: texts, "n_sentences": sizes, "n_removed": np.zeros(len(sizes), np.int64), row: part.column(row), row2: part.column(row2), marked: goes_on}
+
+        return annotated(named, text, make, f"{added}, `{row}` long, `{row2}` long, `{marked}` boolean", beside=(row, row2))
+
+    def cut(part: pa.RecordBatch) -> dict:
         out: dict[str, list] = {text: [], "n_sentences": [], "n_removed": []}
-        for t, c in zip(part.column("__text").to_pylist(), part.column("__covered").to_pylist()):
+        for t, c in zip(part.column("__text").to_pylist(), part.column(covered).to_pylist()):
             found = sentences(t)
             gone = {i for place in c or () for i in range(place["first"], place["first"] + place["size"])}
             out[text].append("".join(s for i, s in enumerate(found) if i not in gone) if gone else t)
@@ -138,4 +173,6 @@ def without_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
             out["n_removed"].append(len(gone))
         return out
 
-    return annotated(both, text, make, f"`{text}` string, n_sentences long, n_removed long", beside=("__covered",))
+    whole = told_apart(True).where(f"not `{marked}`").drop(row, row2, marked)
+    parts = told_apart(False).where(f"`{marked}`").drop(marked).join(cuts, [row, row2], "left").drop(row, row2)
+    return whole.unionByName(annotated(parts, text, cut, added, beside=(covered,)))

@@ -206,6 +206,24 @@ def test_spans_of_any_shape(docs):
         assert got[10 * k + 1] == dict(rows)[10 * k + 1].replace(p + "\n", "")
 
 
+def test_a_run_in_most_texts_and_other_kinds_of_ids(spark):
+    """Every text bears one passage; ids are text; the caller has columns with the names used inside."""
+    passage = prose(21, 40, 0.2) + ". End."
+    rows = [(f"d{i:03}", f"{prose(100 + i, 20, 0)}.\n{passage}\n{prose(300 + i, 20, 0)}.", i, i, "x") for i in range(150)]
+    table = spark.createDataFrame(rows, "`doc.id` string, text string, __row int, __covered int, n_removed string")
+    got = sentence_spans.without_repeats(table, doc_id="doc.id").collect()
+    assert [r.n_removed > 0 for r in sorted(got)] == [False] + [True] * 149
+    assert {r["doc.id"]: r.text for r in got} == {d: t if d == "d000" else t.replace(passage + "\n", "") for d, t, *_ in rows}
+    assert all(r["__row"] == r["__covered"] == int(r["doc.id"][1:]) for r in got)
+
+
+def test_single_sentences_count_from_the_words_asked_for(docs):
+    line = "one two three four five six seven eight."
+    rows = [(i, f"{prose(400 + i, 9, 0)}\n{line}\n{prose(500 + i, 9, 0)}") for i in range(2)]
+    assert {r.n_removed for r in sentence_spans.without_repeats(docs(*rows)).collect()} == {0}
+    assert {r.doc_id: r.n_removed for r in sentence_spans.without_repeats(docs(*rows), alone=8).collect()} == {0: 0, 1: 1}
+
+
 def test_runs_cover_every_passage_inside_it():
     rng = np.random.default_rng(4)
     for _ in range(200):
