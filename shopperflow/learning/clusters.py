@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 from ..operators.segmentation import standardised
 from ..plans.durable import settle
+from . import many_means
 
 # Features, seed, restarts and iterations of a fit.
 AXES = ("recency", "frequency", "monetary")
 SEED = 42
 RESTARTS = 10
 ITERATIONS = 300
-# Fits of one search that may run at the same time; each is itself a distributed job.
+# Fits that may run at the same time; each is itself a distributed job.
 CONCURRENT_FITS = RESTARTS
 
 
@@ -30,20 +31,16 @@ def scaled_vectors(rfm: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol="scaled").transform(standardised(rfm, AXES)).drop(*columns)
 
 
-def _best_models(vectors: DataFrame, ks: Iterable[int], restarts: int) -> dict[int, KMeansModel]:
-    """Per k the restart with the lowest inertia; fits do not depend on each other and overlap."""
+def _best_model(vectors: DataFrame, k: int, restarts: int) -> KMeansModel:
+    """The restart with the lowest inertia; fits do not depend on each other and overlap."""
 
-    def fit(k: int, seed: int) -> tuple[int, KMeansModel]:
+    def fit(seed: int) -> KMeansModel:
         means = KMeans(k=k, seed=seed, maxIter=ITERATIONS, featuresCol="scaled", predictionCol="cluster")
-        return k, means.fit(vectors)
+        return means.fit(vectors)
 
-    runs = [(k, SEED + n) for k in ks for n in range(restarts)]
-    best: dict[int, KMeansModel] = {}
     with ThreadPool(CONCURRENT_FITS) as pool:
-        for k, model in pool.starmap(inheritable_thread_target(vectors.sparkSession)(fit), runs):
-            if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-                best[k] = model
-    return best
+        models = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), [SEED + n for n in range(restarts)])
+    return min(models, key=lambda model: model.summary.trainingCost)
 
 
 def fit_clusters(rfm: DataFrame, k: int = 5, restarts: int = RESTARTS) -> tuple[KMeansModel, DataFrame, float]:
@@ -53,7 +50,7 @@ def fit_clusters(rfm: DataFrame, k: int = 5, restarts: int = RESTARTS) -> tuple[
     """
     vectors = scaled_vectors(settle(rfm)).persist()
     try:
-        model = _best_models(vectors, [k], restarts)[k]
+        model = _best_model(vectors, k, restarts)
         labelled = settle(model.transform(vectors))
     finally:
         vectors.unpersist()
@@ -65,16 +62,20 @@ def silhouette(labelled: DataFrame) -> float:
 
 
 def optimal_k(rfm: DataFrame, ks: Iterable[int] = range(2, 11), restarts: int = RESTARTS) -> DataFrame:
-    """k, inertia, silhouette: one row per number of clusters tried."""
-    vectors = scaled_vectors(settle(rfm)).persist()
+    """k, inertia, silhouette: one row per number of clusters tried; the silhouette of fewer than two clusters is null.
+
+    All numbers of clusters and restarts share each pass over the customers.
+    """
+    columns = [f"{axis}_z" for axis in AXES]
+    scaled = standardised(settle(rfm), AXES).select(*[F.col(c).cast("double") for c in columns], F.xxhash64("customer_id").alias("noise"))
+    # A pass is arithmetic, so the rows, however few, are dealt to all cores.
+    rows = settle(scaled.repartition(rfm.sparkSession.sparkContext.defaultParallelism)).persist()
     try:
-        rows = [
-            (k, float(model.summary.trainingCost), float(silhouette(model.transform(vectors))))
-            for k, model in _best_models(vectors, ks, restarts).items()
-        ]
+        models = many_means.fit(rows, columns, ks, [SEED + n for n in range(restarts)], ITERATIONS)
     finally:
-        vectors.unpersist()
-    return rfm.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+        rows.unpersist()
+    found = [(m.k, m.inertia, m.silhouette) for m in models]
+    return rfm.sparkSession.createDataFrame(found, "k int, inertia double, silhouette double")
 
 
 def cluster_labels(rfm: DataFrame, k: int = 5, restarts: int = RESTARTS) -> DataFrame:
