@@ -36,17 +36,32 @@ FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN names USING (doc_id)
 """
 
 _RULES = ", ".join("('{}', '{}')".format(name, "\n" + "\n\n".join(ids) + "\n") for name, ids in RULES)
+#: A known sentence fills lines that follow one another; of those that begin at a line the longest counts, and the next begins after it.
 OP9 = f"""
-WITH known(id, s) AS (VALUES {", ".join(f"('{i}', '{s}')" for i, s in SENTENCES.items())}),
+WITH RECURSIVE known(id, s) AS (VALUES {", ".join(f"('{i}', '{s}')" for i, s in SENTENCES.items())}),
 rules(license, seq) AS (VALUES {_RULES}),
 cut AS (
   SELECT doc_id, regexp_split_to_array(regexp_replace(regexp_replace(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
-    '([^.!?\\n][.!?])[ \\t\\r]+', '\\1' || chr(10), 'g'), '[^a-z0-9\\n]+', ' ', 'g'), '\\n') AS l FROM documents),
+    '([^.!?\\n][.!?])(?:[ \\t\\r]+\\n?|\\n)', '\\1' || chr(10) || chr(10), 'g'), '[^a-z0-9\\n]+', ' ', 'g'), '\\n') AS l FROM documents),
 lines AS (SELECT doc_id, trim(unnest(l)) AS s, generate_subscripts(l, 1) AS i FROM cut),
+begun AS (
+  SELECT doc_id, i, i AS j, s FROM lines
+  WHERE s <> '' AND EXISTS (SELECT 1 FROM known k WHERE k.s = lines.s OR starts_with(k.s, lines.s || ' '))
+  UNION ALL
+  SELECT b.doc_id, b.i, n.i, b.s || ' ' || n.s FROM begun b JOIN lines n ON n.doc_id = b.doc_id AND n.i = b.j + 1
+  WHERE n.s <> '' AND EXISTS (SELECT 1 FROM known k WHERE k.s = b.s || ' ' || n.s OR starts_with(k.s, b.s || ' ' || n.s || ' '))),
+longest AS (SELECT doc_id, i, max(j) AS j, arg_max(id, j) AS id FROM begun JOIN known USING (s) GROUP BY doc_id, i),
+chained AS (
+  SELECT a.doc_id, a.i, any_value(a.id) AS id, min(b.i) AS after
+  FROM longest a LEFT JOIN longest b ON b.doc_id = a.doc_id AND b.i > a.j GROUP BY a.doc_id, a.i),
+taken AS (
+  SELECT * FROM chained WHERE (doc_id, i) IN (SELECT doc_id, min(i) FROM longest GROUP BY doc_id)
+  UNION ALL
+  SELECT c.* FROM taken t JOIN chained c ON c.doc_id = t.doc_id AND c.i = t.after),
 ids AS (
   SELECT doc_id, count(*) AS n_known, string_agg(id, ',' ORDER BY i) AS sentence_ids,
     chr(10) || string_agg(id, chr(10) || chr(10) ORDER BY i) || chr(10) AS seq
-  FROM lines JOIN known USING (s) GROUP BY doc_id),
+  FROM taken GROUP BY doc_id),
 found AS (
   SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses
   FROM ids, rules WHERE contains(ids.seq, rules.seq) GROUP BY doc_id)

@@ -14,6 +14,8 @@ treated alike; empty tables give no rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,6 +70,13 @@ SENTENCES = {
     "cc-by-sa-4.0.work2": "this work is licensed under the creative commons attribution sharealike 4 0 international license",
     "cc0.notice": "this work is dedicated to the public domain under cc0 1 0",
     "unlicense.notice": "this is free and unencumbered software released into the public domain",
+    "isc.grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "zlib.grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "bsl-1.0.title": "boost software license version 1 0 august 17th 2003",
+    "epl-2.0.title": "eclipse public license v 2 0",
+    "wtfpl.title": "do what the fuck you want to public license",
+    "bsd.third": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd.disclaimer": "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
 }
 #: Ordered rules and the licence that each stands for.
 RULES = [
@@ -115,7 +124,46 @@ RULES = [
     ("CC-BY-SA-4.0", ["cc-by-sa-4.0.work2"]),
     ("CC0-1.0", ["cc0.notice"]),
     ("Unlicense", ["unlicense.notice"]),
+    ("ISC", ["isc.grant"]),
+    ("Zlib", ["zlib.grant"]),
+    ("BSL-1.0", ["bsl-1.0.title"]),
+    ("EPL-2.0", ["epl-2.0.title"]),
+    ("WTFPL", ["wtfpl.title"]),
+    ("BSD-3-Clause", ["bsd.redistribution", "bsd.third"]),
+    ("BSD-2-Clause", ["bsd.redistribution", "bsd.disclaimer"]),
 ]
+#: How notices begin, and the names they give a licence.
+NOTICES = ("licensed under", "released under", "distributed under", "this project is licensed under", "this software is licensed under")
+NAMES = {
+    "Apache-2.0": "apache license version 2 0", "MIT": "mit license", "GPL-2.0": "gnu general public license version 2",
+    "GPL-3.0": "gnu general public license version 3", "LGPL-3.0": "gnu lesser general public license version 3",
+    "AGPL-3.0": "gnu affero general public license version 3", "BSD-2-Clause": "bsd 2 clause license",
+    "BSD-3-Clause": "bsd 3 clause license", "MPL-2.0": "mozilla public license version 2 0", "ISC": "isc license",
+    "Zlib": "zlib license", "BSL-1.0": "boost software license version 1 0", "EPL-2.0": "eclipse public license version 2 0",
+}
+#: Licences that SPDX tags name, and those that tags name with -only or -or-later.
+TAGS = ("Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "ISC", "Zlib", "BSL-1.0", "EPL-2.0", "WTFPL", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0")
+DATED_TAGS = ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
+
+
+def _plain(name: str) -> str:
+    return re.sub("[^a-z0-9]+", " ", name.lower())
+
+
+def _built() -> list[tuple[str, str, str]]:
+    """(licence, identifier, sentence) of the notices in usual words and of the SPDX tags."""
+    found = [
+        (name, f"{name.lower()}.{_plain(lead).replace(' ', '-')}{k}", f"{lead} {of} {title}")
+        for name, title in NAMES.items() for lead in NOTICES for k, of in enumerate(("the", "the terms of the"))
+    ]
+    tags = [(name, name) for name in TAGS] + [(name, name + end) for name in DATED_TAGS for end in ("", "-only", "-or-later")]
+    return found + [(name, f"spdx.{tag.lower()}", f"spdx license identifier {_plain(tag)}") for name, tag in tags]
+
+
+for _name, _id, _sentence in _built():
+    if _sentence not in SENTENCES.values():
+        SENTENCES[_id] = _sentence
+        RULES.append((_name, [_id]))
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -146,8 +194,16 @@ def identified(text: Column, known: dict[str, str] = SENTENCES) -> Column:
 def licences(ids: Column, rules: list[tuple[str, list[str]]] = RULES) -> Column:
     """Names of the licences whose rule matches consecutive identifiers, sorted."""
     joined = F.concat(F.lit("\n"), F.concat_ws("\n\n", ids), F.lit("\n"))
-    found = [F.when(joined.contains("\n" + "\n\n".join(rule) + "\n"), F.lit(name)) for name, rule in rules]
-    return F.array_sort(F.array_distinct(F.array_compact(F.array(*found))))
+    found = [F.when(joined.contains("\n" + "\n\n".join(rule) + "\n"), F.lit(name)) for name, rule in rules if len(rule) > 1]
+    alone: dict[str, list[str]] = {}
+    for name, rule in rules:
+        if len(rule) == 1:
+            alone.setdefault(rule[0], []).append(name)
+    several = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+    if alone:
+        by_id = F.create_map(*[x for i, names in alone.items() for x in (F.lit(i), F.array(*map(F.lit, names)))])
+        several = F.concat(several, F.flatten(F.array_compact(F.transform(ids, lambda i: F.try_element_at(by_id, i)))))
+    return F.array_sort(F.array_distinct(several))
 
 
 def scanned(documents: DataFrame, text: str = "text") -> DataFrame:

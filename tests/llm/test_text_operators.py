@@ -4,9 +4,11 @@ import hashlib
 import itertools
 import re
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
-from shopperflow.llm import decontaminate, license_rules, order_minhash, piece_lattice, pseudonyms, sentence_spans
+from shopperflow.llm import decontaminate, duckdb_sql, license_rules, order_minhash, piece_lattice, pseudonyms, sentence_spans
 from shopperflow.llm.queries import model_file
 
 from .conftest import edited, prose
@@ -318,6 +320,37 @@ def test_wrapped_licences(docs):
     assert [got[i] for i in range(len(rows))] == [name for _, name in headers for _ in marks]
 
 
+GRANT = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+THIRD = "3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission."
+DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\"\nAND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE\n"
+    "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE\nDISCLAIMED. More words follow."
+)
+NOTICES = [
+    ("This project is licensed under the terms of the MIT license.", "MIT"), ("// SPDX-License-Identifier: MIT", "MIT"), ("/* SPDX-License-Identifier: GPL-2.0-or-later */", "GPL-2.0"),
+    ("SPDX-License-Identifier: MIT-0", ""), ("Distributed under the Boost Software License, Version 1.0.\n(See the file)", "BSL-1.0"),
+    (GRANT + "\n\n1. Keep.\n\n2. Show.\n\n" + DISCLAIMER, "BSD,BSD-2-Clause"), (GRANT + "\n\n1. Keep.\n\n" + THIRD + "\n\n" + DISCLAIMER, "BSD,BSD-3-Clause"),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.", "ISC"),
+    ("Licensed under the Apache License, Version 2.0. Released under\nthe MIT License", "Apache-2.0,MIT"),
+]
+
+
+def test_notices_tags_and_clauses(docs):
+    got = {r.doc_id: ",".join(r.licenses) for r in license_rules.scanned(docs(*((k, t) for k, (t, _) in enumerate(NOTICES)))).collect()}
+    assert [got[k] for k in range(len(NOTICES))] == [name for _, name in NOTICES]
+
+
+def test_licence_sql_joins_lines_as_the_code_does(docs):
+    texts = [APACHE, MIT, GPL, LGPL, BSD, MPL, ASF, ECL, None, "", "\n\n", "MIT License\nMIT License", "Licensed under the MIT license\nsee", "This project is licensed under\nthe MIT license\n see the LICENSE\nfile for details"]
+    texts += [t for t, _ in NOTICES] + [t.replace("\n", "\r\n # ") for t, _ in NOTICES] + ["\n".join(t for t, _ in NOTICES)]
+    table = docs(*enumerate(texts)).select("doc_id", "text")
+    found = license_rules.scanned(table).collect()
+    with duckdb.connect() as connection:
+        connection.register("documents", pa.Table.from_pylist([r.asDict() for r in table.collect()]))
+        stated = connection.execute(duckdb_sql.OP9).fetchall()
+    assert sorted(stated) == sorted((r.doc_id, len(r.sentence_ids), ",".join(r.sentence_ids), ",".join(r.licenses)) for r in found)
+
+
 # --- pieces
 
 
