@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from functools import reduce
 
 import ahocorasick
@@ -34,6 +35,8 @@ SIZE = 10
 #: Text of items that go into one automaton (windows of them take about ten times as much, their automaton
 #: about a hundred bytes for a byte of its windows); of a larger benchmark, the parts are scanned one by one.
 PART_BYTES = 1 << 19
+#: Windows of one piece of a long item.
+PIECE_WINDOWS = 2000
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -99,20 +102,45 @@ def spans(text: bytes, hit: np.ndarray | None) -> list[tuple[int, int]]:
     return out
 
 
-def automata(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", size: int = SIZE) -> list[Automata]:
+class Parts:
+    """The automata of a benchmark, each built when its turn comes: the driver holds the windows of one part."""
+
+    def __init__(self, pieces: DataFrame, parts: int, size: int):
+        """pieces: i (item id), t (its words, or a stretch of them)."""
+        self.pieces, self.parts, self.size = pieces, parts, size
+
+    def __len__(self) -> int:
+        return self.parts
+
+    def __iter__(self) -> Iterator[Automata]:
+        part = F.pmod(F.xxhash64("i", "t"), F.lit(self.parts))
+        for n in range(self.parts):
+            yield _automata(self.pieces.where(part == n).collect(), self.size)
+
+
+def pieces_of(words: list[bytes], size: int = SIZE, windows: int = PIECE_WINDOWS) -> list[bytes]:
+    """Stretches of the words that have so many windows each; every window is in one."""
+    return [b" ".join(words[i : i + windows + size - 1]) for i in range(0, max(1, len(words) - size + 1), windows)] if words else []
+
+
+def automata(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", size: int = SIZE) -> Parts:
     """Of the benchmark's distinct windows: one, or if the items have more than PART_BYTES of text one for
-    each part of them, dealt by hash."""
-    items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).distinct()
-    held = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
-    parts = max(1, -(-held // PART_BYTES))
-    part = F.pmod(F.xxhash64("i", "t"), F.lit(parts))
-    return [_automata(items.where(part == n).collect(), size) for n in range(parts)]
+    each part of them, dealt by hash. Long items are cut into pieces that overlap by `size` - 1 words."""
+    items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t"))
+
+    def cut(part: pa.RecordBatch) -> dict:
+        found = [(i, p) for i, t in zip(part.column("i").to_pylist(), texts_of(part.column("t"))) for p in pieces_of(words_of(t), size)]
+        return {"i": [i for i, _ in found], "t": [p for _, p in found]}
+
+    pieces = folder_of(mapped(items, "t", cut, "i string, t binary").distinct())
+    held = pieces.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+    return Parts(pieces, max(1, -(-held // PART_BYTES)), size)
 
 
 def _automata(rows: list, size: int) -> Automata:
     held: dict[bytes, tuple[int, set[str]]] = {}
     for row in rows:
-        words = words_of((row.t or "").encode())
+        words = words_of(bytes(row.t))
         for window in windows_of(words, size):
             held.setdefault(window, (min(size, len(words)), set()))[1].update([row.i] if row.i is not None else [])
     return Automata({w: (n, sorted(items)) for w, (n, items) in sorted(held.items())})
@@ -132,11 +160,11 @@ def _columns(texts: list[bytes], scans: list[tuple[int, np.ndarray | None, set[s
     return out
 
 
-def contaminated(documents: DataFrame, found: list[Automata], text: str = "text", passed: list[str] | None = None) -> DataFrame:
+def contaminated(documents: DataFrame, found: Parts, text: str = "text", passed: list[str] | None = None) -> DataFrame:
     """Adds n_words, n_hit, n_items, items_sha256, contaminated and the byte ranges hit_spans."""
     if len(found) > 1:
         return _by_parts(documents, found, text, passed)
-    shared = documents.sparkSession.sparkContext.broadcast(found[0])  # PART_BYTES of items at most
+    shared = documents.sparkSession.sparkContext.broadcast(next(iter(found)))  # PART_BYTES of items at most
 
     def make(part: pa.RecordBatch) -> dict:
         texts = texts_of(part.column("__text"))
@@ -145,7 +173,7 @@ def contaminated(documents: DataFrame, found: list[Automata], text: str = "text"
     return annotated(documents, text, make, SCHEMA, passed)
 
 
-def _by_parts(documents: DataFrame, found: list[Automata], text: str, passed: list[str] | None) -> DataFrame:
+def _by_parts(documents: DataFrame, found: Parts, text: str, passed: list[str] | None) -> DataFrame:
     """One scan of the texts for each part; only hits are kept, and brought together by the hash of the text."""
     spark = documents.sparkSession
     key = F.struct(F.xxhash64(text).alias("a"), F.md5(text).alias("b"))
@@ -153,6 +181,7 @@ def _by_parts(documents: DataFrame, found: list[Automata], text: str, passed: li
     hits = []
     for one in found:
         shared = spark.sparkContext.broadcast(one)
+        del one
 
         def make(part: pa.RecordBatch, shared=shared) -> dict | None:
             scans = [shared.value.scan(t) for t in texts_of(part.column("text"))]
@@ -161,7 +190,7 @@ def _by_parts(documents: DataFrame, found: list[Automata], text: str, passed: li
                     "items": [sorted(scans[i][2]) for i in at]} if at else None
 
         hits.append(folder_of(mapped(keyed, "text", make, "key struct<a:long,b:string>, hit array<int>, items array<string>")))
-        shared.unpersist()
+        shared.destroy()
     together = reduce(DataFrame.unionByName, hits).distinct().groupBy(F.col("key").alias("__key"))
     together = together.agg(F.flatten(F.collect_list("hit")).alias("__hit"), F.flatten(F.collect_list("items")).alias("__items"))
     joined = documents.withColumn("__key", key).join(together, "__key", "left").drop("__key")

@@ -60,6 +60,28 @@ def test_decontamination_of_nothing(spark, docs):
     assert decontaminate.contaminated(docs(), none).collect() == []
 
 
+def test_pieces_hold_every_window_once():
+    words = [b"w%d" % i for i in range(57)]
+    for n in (0, 1, 9, 10, 11, 29, 30, 57):
+        pieces = [p.split() for p in decontaminate.pieces_of(words[:n], 10, 20)]
+        assert set().union(*(decontaminate.windows_of(p) for p in pieces)) == decontaminate.windows_of(words[:n])
+        assert sum(max(1, len(p) - 9) for p in pieces) == (max(1, n - 9) if n else 0)
+
+
+def test_long_items_in_many_parts(spark, docs, monkeypatch):
+    """One item far beyond a part: the same hits, and one part's windows at a time."""
+    long = prose(31, 5000, 0)
+    words = long.split()
+    items = spark.createDataFrame([(1, long), (2, "short one")], "item_id long, text string")
+    rows = [(1, " ".join(words[1995:2012])), (2, "a short one b"), (3, " ".join(words[4990:])), (4, " ".join(words[100:109])), (5, None)]
+    whole = decontaminate.contaminated(docs(*rows), decontaminate.automata(items)).select("doc_id", "n_hit", "items_sha256").collect()
+    monkeypatch.setattr(decontaminate, "PART_BYTES", 8000)
+    found = decontaminate.automata(items)
+    assert len(found) > 2 and max(len(one.windows) for one in found) <= 2 * decontaminate.PIECE_WINDOWS
+    parts = decontaminate.contaminated(docs(*rows), found).select("doc_id", "n_hit", "items_sha256").collect()
+    assert sorted(whole) == sorted(parts) and {r.doc_id: r.n_hit for r in whole} == {1: 17, 2: 2, 3: 10, 4: 0, 5: 0}
+
+
 # --- pseudonyms
 
 VALUES = {
