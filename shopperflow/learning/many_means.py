@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 # Tasks carry the functions of this module with them, so workers need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Rows whose distances to all centres are held at once.
-SLICE_ROWS = 2000
+#: Rows whose distances to the centres of a model are held at once.
+SLICE_ROWS = 4000
 #: A model is settled when no centre moves farther.
 TOLERANCE = 1e-4
 
@@ -49,18 +49,32 @@ def _uniform(noise: np.ndarray, salt: int) -> np.ndarray:
 
 
 def _distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    """Squared, of each point to each centre; exactly 0 where they are equal."""
-    return sum((points[:, i, None] - centres[None, :, i]) ** 2 for i in range(points.shape[1]))
+    """Squared, a row for each centre; exactly 0 where a point and a centre are equal.
+
+    Points lie along the rows, so that numpy goes through them in one stretch for each of the few centres.
+    """
+    total, gap = np.zeros((len(centres), points.shape[1])), np.empty((len(centres), points.shape[1]))
+    for axis, at in zip(points, centres.T):
+        np.subtract(axis, at[:, None], out=gap)
+        total += np.multiply(gap, gap, out=gap)
+    return total
+
+
+def _nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each point the nearest centre, the first of equals, and the squared distance to it."""
+    distances = _distances(points, centres)
+    least = distances.min(0)
+    return (distances == least).argmax(0), least
 
 
 def _passed(rows: DataFrame, axes: list[str], reduce: Callable[[Iterator[tuple[np.ndarray, np.ndarray]]], dict], schema: str) -> DataFrame:
-    """`reduce` turns the (points, hashes) of a partition, in slices, into columns."""
+    """`reduce` turns the (points, hashes) of a partition, in slices, into columns. Points have a row for each axis."""
 
     def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(start, SLICE_ROWS)
-                points = np.column_stack([part.column(a).to_numpy(zero_copy_only=False).astype(float) for a in axes])
+                points = np.vstack([part.column(a).to_numpy(zero_copy_only=False).astype(float) for a in axes])
                 if np.isnan(points).any():
                     raise ValueError("a feature is null")
                 yield points, part.column("noise").to_numpy()
@@ -79,11 +93,11 @@ def _draw(rows: DataFrame, axes: list[str], models: list[Model], turn: int) -> N
         key, at = np.full(len(centres), np.inf), np.zeros((len(centres), len(axes)))
         for points, noise in slices:
             for i, (held, salt) in enumerate(zip(centres, salts)):
-                weight = _distances(points, held).min(1) if len(held) else np.ones(len(points))
-                keys = np.divide(-np.log(_uniform(noise, salt)), weight, out=np.full(len(points), np.inf), where=weight > 0)
+                weight = _distances(points, held).min(0) if len(held) else np.ones(len(noise))
+                keys = np.divide(-np.log(_uniform(noise, salt)), weight, out=np.full(len(noise), np.inf), where=weight > 0)
                 least = keys.argmin()
                 if keys[least] < key[i]:
-                    key[i], at[i] = keys[least], points[least]
+                    key[i], at[i] = keys[least], points[:, least]
         won = np.flatnonzero(np.isfinite(key))
         return {"model": won.astype(np.int32), "key": key[won], "at": pa.array(at[won].tolist(), pa.list_(pa.float64()))}
 
@@ -92,28 +106,30 @@ def _draw(rows: DataFrame, axes: list[str], models: list[Model], turn: int) -> N
         models[row.model].centres = np.vstack([models[row.model].centres, row.at])
 
 
-def _assign(rows: DataFrame, axes: list[str], models: list[Model]) -> None:
-    """Per model: size, sums and squares of its clusters, and its inertia."""
+def _assign(rows: DataFrame, axes: list[str], models: list[Model], settled: bool = False) -> None:
+    """Per model the size and sums of its clusters; once `settled`, their squares and its inertia as well."""
     stacked, ends = np.vstack([m.centres for m in models]), np.cumsum([len(m.centres) for m in models])
+    width = 1 + len(axes) + 2 * settled  # size, sums, inertia, squares
 
     def totals(slices: Iterator[tuple[np.ndarray, np.ndarray]]) -> dict:
-        held = np.zeros((len(stacked), 3 + len(axes)))  # size, inertia, squares, sums
+        held = np.zeros((len(stacked), width))
         for points, _ in slices:
-            distances, squares = _distances(points, stacked), (points**2).sum(1)
+            squares = (points**2).sum(0)
             for start, end in zip([0, *ends[:-1]], ends):
-                own = distances[:, start:end]
-                nearest = own.argmin(1)
-                for j, weights in enumerate([None, own.min(1), squares, *points.T]):
+                nearest, least = _nearest(points, stacked[start:end])
+                for j, weights in enumerate([None, *points, least, squares][:width]):
                     held[start:end, j] += np.bincount(nearest, weights, end - start)
-        return {"centre": np.arange(len(stacked), dtype=np.int32), **{f"v{j}": held[:, j] for j in range(held.shape[1])}}
+        return {"centre": np.arange(len(stacked), dtype=np.int32), **{f"v{j}": held[:, j] for j in range(width)}}
 
-    names = [f"v{j}" for j in range(3 + len(axes))]
+    names = [f"v{j}" for j in range(width)]
     found = _passed(rows, axes, totals, ", ".join(["centre int", *(f"{n} double" for n in names)]))
     held = np.zeros((len(stacked), len(names)))
     for row in found.groupBy("centre").agg(*[F.sum(n).alias(n) for n in names]).collect():  # a row per centre
         held[row.centre] = row[1:]
     for m, start, end in zip(models, [0, *ends[:-1]], ends):
-        m.sizes, m.squares, m.sums, m.inertia = held[start:end, 0], held[start:end, 2], held[start:end, 3:], float(held[start:end, 1].sum())
+        m.sizes, m.sums = held[start:end, 0], held[start:end, 1 : 1 + len(axes)]
+        if settled:
+            m.inertia, m.squares = float(held[start:end, -2].sum()), held[start:end, -1]
 
 
 def _silhouettes(rows: DataFrame, axes: list[str], models: list[Model]) -> None:
@@ -123,18 +139,18 @@ def _silhouettes(rows: DataFrame, axes: list[str], models: list[Model]) -> None:
     def totals(slices: Iterator[tuple[np.ndarray, np.ndarray]]) -> dict:
         held, n = np.zeros(len(stated)), 0
         for points, _ in slices:
-            n += len(points)
+            n += points.shape[1]
             for i, (centres, sizes, sums, squares) in enumerate(stated):
                 if len(sizes) < 2:
                     continue
-                own, each = _distances(points, centres).argmin(1), np.arange(len(points))
-                mean = (points**2).sum(1)[:, None] + squares / sizes - 2 * points @ (sums / sizes[:, None]).T
+                own, each = _nearest(points, centres)[0], np.arange(points.shape[1])
+                mean = (points**2).sum(0) + (squares / sizes)[:, None] - 2 * (sums / sizes[:, None]) @ points
                 mean = np.maximum(mean, 0)
-                inside = mean[each, own] * sizes[own] / np.maximum(sizes[own] - 1, 1)
-                mean[each, own] = np.inf
-                outside = mean.min(1)
+                inside = mean[own, each] * sizes[own] / np.maximum(sizes[own] - 1, 1)
+                mean[own, each] = np.inf
+                outside = mean.min(0)
                 larger = np.maximum(inside, outside)
-                value = np.divide(outside - inside, larger, out=np.zeros(len(points)), where=larger > 0)
+                value = np.divide(outside - inside, larger, out=np.zeros(len(larger)), where=larger > 0)
                 held[i] += value[sizes[own] > 1].sum()
         return {"model": np.arange(len(stated), dtype=np.int32), "total": held, "n": np.full(len(stated), n)}
 
@@ -168,7 +184,7 @@ def fit(rows: DataFrame, axes: list[str], ks: Iterable[int], seeds: Iterable[int
                 moving.append(m)
         live = moving
     if placed:
-        _assign(rows, axes, placed)
+        _assign(rows, axes, placed, settled=True)
     best: dict[int, Model] = {}
     for m in models:
         if m.k not in best or m.inertia < best[m.k].inertia:

@@ -57,3 +57,15 @@ def test_few_equal_or_no_rows(spark):
     lacking = spark.createDataFrame([(1.0, None, 1)], "a double, b double, noise long")
     with pytest.raises(Exception, match="a feature is null"):
         many_means.fit(lacking, AXES, [2], [1], 10)
+
+
+def test_nearest_centres_lie_along_the_rows():
+    """Distances are laid out centre by centre, so a pass goes through the rows in long stretches."""
+    rng = np.random.default_rng(5)
+    points, centres = rng.integers(0, 4, (2, 500)).astype(float), np.array([[1.0, 2.0], [3.0, 0.0], [1.0, 2.0]])
+    distances = many_means._distances(points, centres)
+    assert distances.shape == (3, 500) and distances.flags.c_contiguous
+    nearest, least = many_means._nearest(points, centres)
+    own = ((points.T[:, None] - centres[None]) ** 2).sum(2)
+    assert (nearest == own.argmin(1)).all() and (least == own.min(1)).all()
+    assert 2 not in nearest and (least[(points.T == centres[0]).all(1)] == 0).all()
