@@ -144,6 +144,34 @@ def test_models(features, kind, tmp_path):
     assert len(PipelineModel.load(str(tmp_path / kind)).stages) == 3
 
 
+def test_large_tables_are_dealt_evenly(spark, monkeypatch):
+    wide = churn_model.settle(spark.range(3000).selectExpr("id as customer_id").repartition(3).coalesce(1))
+    assert churn_model._dealt(wide) is wide and churn_model._fits_at_once("rf", False) == 6
+    monkeypatch.setattr(churn_model, "TASK_ROWS", 100)
+    found = [[r[0] for r in part] for part in churn_model._dealt(wide).rdd.glom().collect()]
+    assert len(found) == spark.sparkContext.defaultParallelism and max(map(len, found)) < 2 * min(map(len, found))
+    assert sorted(sum(found, [])) == list(range(3000)) and all(part == sorted(part) for part in found)
+    monkeypatch.setattr(churn_model, "MOST_ROWS", 100)
+    assert churn_model._dealt(wide).rdd.getNumPartitions() == 30
+    assert [churn_model._fits_at_once(kind, True) for kind in ("rf", "gbm", "lr")] == [1, 6, 6]
+
+
+def test_dealt_rows_make_a_whole_model(features, monkeypatch):
+    monkeypatch.setattr(churn_model, "TASK_ROWS", 10)
+    metrics = {r["metric"]: r["value"] for r in churn_model.train(features, "rf").metrics().collect()}
+    split = cf.stratified_split(features).filter("is_test")
+    assert metrics["support_0"] + metrics["support_1"] == split.count() and 0 <= metrics["cv_auc_mean"] <= 1
+
+
+def test_forest_with_kept_nodes_is_the_same(features):
+    columns = churn_model.numeric_columns(features, churn_model.LEAKING)
+    rows = churn_model.VectorAssembler(inputCols=columns, outputCol="scaled").transform(churn_model._model_input(features, columns)).coalesce(2).cache()
+    ours = churn_model._estimator("rf", 60)
+    assert ours.getCacheNodeIds()
+    searched = ours.copy().setCacheNodeIds(False).fit(rows)
+    assert ours.fit(rows).toDebugString.split("\n", 1)[1] == searched.toDebugString.split("\n", 1)[1]
+
+
 def test_the_leaking_input_separates_the_classes(features):
     model = churn_model.train(features, "rf", cross_validate=False, exclude=())
     assert "recency_days" in model.columns
