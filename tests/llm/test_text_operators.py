@@ -8,7 +8,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
-from shopperflow.llm import decontaminate, duckdb_sql, license_rules, order_minhash, piece_lattice, pseudonyms, sentence_spans
+from shopperflow.llm import decontaminate, duckdb_sql, html_blocks, license_rules, order_minhash, piece_lattice, pseudonyms, sentence_spans
 from shopperflow.llm.queries import model_file
 
 from .conftest import edited, prose
